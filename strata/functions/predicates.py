@@ -78,21 +78,31 @@ def duration_minutes_decimal(start: str, end: str) -> Column:
     return F.expr(f"timestampdiff(SECOND, `{start}`, `{end}`) / 60.0")
 
 
-def quality_flags(
+def flag_predicates(
     distance: str = C.DISTANCE,
     fare: str = C.FARE,
     total: str = C.TOTAL,
     passengers: str = C.PASSENGERS,
-) -> list[Column]:
-    """The four non-blocking anomaly flags, kept on silver for analysis."""
+) -> list[tuple[str, Column]]:
+    """The four non-blocking anomaly flags as (name, predicate)."""
     return [
-        (F.col(distance) == 0).alias(C.IS_ZERO_DISTANCE),
-        (F.col(fare) < 0).alias(C.HAS_NEGATIVE_FARE),
-        (F.col(total) < 0).alias(C.HAS_NEGATIVE_TOTAL),
-        F.col(passengers).isNull().alias(C.IS_PASSENGER_COUNT_NULL),
+        (C.IS_ZERO_DISTANCE, F.col(distance) == 0),
+        (C.HAS_NEGATIVE_FARE, F.col(fare) < 0),
+        (C.HAS_NEGATIVE_TOTAL, F.col(total) < 0),
+        (C.IS_PASSENGER_COUNT_NULL, F.col(passengers).isNull()),
     ]
 
 
+def quality_flags(
+    distance: str = C.DISTANCE,
+    fare: str = C.FARE,
+    total: str = C.TOTAL,
+    passengers: str = C.PASSENGERS,
+) -> list[Column]:
+    """The flags as named columns, kept on silver for analysis."""
+    return [pred.alias(name) for name, pred in flag_predicates(distance, fare, total, passengers)]
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` when the denominator is positive, else NULL.
 
