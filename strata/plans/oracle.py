@@ -219,6 +219,9 @@ CROSS JOIN ({_SILVER_METRICS}) s
 CROSS JOIN (SELECT COUNT(*) AS quarantine_count FROM quarantine) q
 """
 
+_SILVER_YM = (f"SELECT *, CAST(year({_PICK}) AS INTEGER) AS year, "
+              f"CAST(month({_PICK}) AS INTEGER) AS month FROM silver")
+
 ORACLE: dict[str, str] = {
     "scan_raw": with_ctes("SELECT * FROM raw", "raw"),
     "scan_pruned": with_ctes(
@@ -355,4 +358,13 @@ ORACLE: dict[str, str] = {
         "SELECT 'mart_daily_taxi_metrics' AS mart, COUNT(*) AS row_count FROM daily UNION ALL "
         "SELECT 'mart_monthly_taxi_kpis', COUNT(*) FROM monthly UNION ALL "
         "SELECT 'mart_data_quality_summary', COUNT(*) FROM quality", "daily", "monthly", "quality"),
+    "scan_table": with_ctes("SELECT * FROM bronze", "bronze"),
+    "publish_roundtrip": with_ctes("SELECT * FROM bronze", "bronze"),
+    "publish_atomic": with_ctes("SELECT * FROM bronze", "bronze"),
+    "full_refresh_idempotent": with_ctes("SELECT * FROM bronze", "bronze"),
+    "job_bronze": with_ctes("SELECT * FROM bronze", "bronze"),
+    "publish_partitioned": with_ctes(_SILVER_YM, "silver"),
+    "scan_partitioned": with_ctes(_SILVER_YM, "silver"),
+    "job_silver": with_ctes(_SILVER_YM, "silver"),
+    "job_gold": with_ctes("SELECT * FROM daily", "daily"),
 }

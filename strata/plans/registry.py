@@ -16,7 +16,12 @@ from strata.functions import predicates as P
 from strata.functions.names import lowercase_columns
 from strata.operators import checks, consumption, joins, marts, profile, reports, silver
 from strata.plans import fixtures as X
+from strata.plans import jobs as J
 from strata.plans import layers as L
+from strata.sources import audit as A
+from strata.sources import inspect as I
+from strata.sources import landing, publish, storage
+from strata.sources.raw import read_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -298,6 +303,177 @@ def mart_row_counts(spark, d):
     return consumption.mart_row_counts(daily, marts.monthly_mart(daily), marts.quality_mart(daily))
 
 
+# ---------------------------------------------------------------------------
+# Jobs and sinks: these write under the session's checkpoint folder and
+# return what a reader of the published output sees.
+# ---------------------------------------------------------------------------
+
+def _cfg(spark, root: str | None = None) -> J.PipelineConfig:
+    """A run configuration with its own root (audit and versions) per query."""
+    return J.default_config(spark, period_start=X.PERIOD_START, period_end=X.PERIOD_END,
+                            source_file=X.SOURCE_FILE,
+                            root=root or storage.new_dir(spark, "runs"))
+
+
+def job_bronze(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    return spark.table(cfg.bronze_table)
+
+
+def scan_table(spark, d):
+    return job_bronze(spark, d)
+
+
+def full_refresh_idempotent(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    J.job_bronze(spark, X.trips(spark, d), _cfg(spark, root=cfg.root))
+    return spark.table(cfg.bronze_table)
+
+
+def publish_roundtrip(spark, d):
+    cfg = _cfg(spark)
+    J.ensure_layers(spark, cfg)
+    name = f"{cfg.bronze_schema}.trips_overwrite"
+    path = storage.new_dir(spark, "tables", name)
+    publish.publish_table(L.bronze(spark, d), name, path)
+    return spark.table(name)
+
+
+def publish_atomic(spark, d):
+    cfg = _cfg(spark)
+    J.ensure_layers(spark, cfg)
+    name = f"{cfg.bronze_schema}.trips_atomic"
+    publish.publish_atomic(L.bronze(spark, d), name, storage.work_root(spark))
+    return spark.table(name)
+
+
+def publish_partitioned(spark, d):
+    path = storage.new_dir(spark, "layout", "silver")
+    publish.publish_partitioned(L.silver_trips(spark, d), path,
+                                months=publish.months_between(X.PERIOD_START, X.PERIOD_END))
+    return read_partitioned(spark, path)
+
+
+def job_silver(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    J.job_silver(spark, cfg)
+    return spark.table(cfg.silver_table)
+
+
+def scan_partitioned(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    rec = J.job_silver(spark, cfg)
+    root = f"{rec['table_location']}/_layer=silver"
+    years = range(int(X.PERIOD_START[:4]), int(X.PERIOD_END[:4]) + 1)
+    return read_partitioned(spark, root, years=years).drop(C.REASON_COLUMN)
+
+
+def job_gold(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    J.job_silver(spark, cfg)
+    J.job_gold(spark, cfg)
+    return spark.table(cfg.daily_table)
+
+
+def stale_quarantine(spark, d):
+    """Two runs: the second has no rejected rows, so quarantine must read empty."""
+    cfg = _cfg(spark)
+    raw = X.trips(spark, d)
+    J.job_bronze(spark, raw, cfg)
+    first = J.job_silver(spark, cfg)
+    valid = L.silver_trips(spark, d).select(
+        F.col("vendorid").alias(C.VENDOR), C.PICKUP, C.DROPOFF, C.PASSENGERS, C.DISTANCE,
+        F.col("pulocationid").alias(C.PU_LOCATION), F.col("dolocationid").alias(C.DO_LOCATION),
+        C.PAYMENT, C.FARE, C.TOTAL)
+    second_cfg = _cfg(spark, root=cfg.root)
+    J.job_bronze(spark, valid, second_cfg)
+    second = J.job_silver(spark, second_cfg)
+    visible = spark.table(second_cfg.quarantine_table).agg(
+        F.count(F.lit(1)).alias("quarantine_rows_visible"))
+    return visible.select(
+        F.lit(first["quarantine_count"]).cast("bigint").alias("first_run_quarantine"),
+        F.lit(second["quarantine_count"]).cast("bigint").alias("second_run_quarantine"),
+        "quarantine_rows_visible",
+    )
+
+
+def reconcile_before_publish(spark, d):
+    """Counts observed on the staged write, compared before anything is published."""
+    cfg = _cfg(spark)
+    staged = J.stage_silver(spark, L.bronze(spark, d), cfg)
+    raw, s, q = J.reconcile(staged.metrics)
+    return staged_counts(spark, staged.path, raw, s, q)
+
+
+def staged_counts(spark, path, raw, s, q):
+    return (spark.read.parquet(path).groupBy(silver.LAYER_COLUMN)
+            .agg(F.count(F.lit(1)).alias("rows_read_back"))
+            .select(F.col(silver.LAYER_COLUMN).alias("layer"), "rows_read_back",
+                    F.when(F.col(silver.LAYER_COLUMN) == silver.SILVER, F.lit(s))
+                    .otherwise(F.lit(q)).cast("bigint").alias("rows_observed"),
+                    F.lit(raw).cast("bigint").alias("raw_observed"),
+                    F.lit(raw == s + q).alias("reconciled")))
+
+
+def audit_append(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    J.job_silver(spark, cfg)
+    return J.run_audit(spark, cfg)
+
+
+def table_history(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    J.job_bronze(spark, X.trips(spark, d), _cfg(spark, root=cfg.root))
+    history = A.table_history(A.read_audit(spark, cfg.audit_path))
+    return history.filter(F.col("table_name") == cfg.bronze_table)
+
+
+def run_pipeline(spark, d):
+    cfg = _cfg(spark)
+    return J.run_pipeline(spark, X.trips_clean(spark, d), cfg,
+                          landing_glob=f"{d}/lineitem.parquet")
+
+
+def landing_integrity(spark, d):
+    return landing.check_landing(landing.list_files(spark, f"{d}/*.parquet"))
+
+
+def _landed_log(spark, d):
+    """A first landing pass recorded as a table: the files accepted and their lengths."""
+    checked = landing_integrity(spark, d)
+    path = storage.new_dir(spark, "landing", "log")
+    checked.filter("valid").select("path", F.col("length").alias("announced_length")) \
+        .write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def landing_length(spark, d):
+    manifest = _landed_log(spark, d)
+    return landing.check_lengths(landing_integrity(spark, d), manifest)
+
+
+def landing_new_files(spark, d):
+    landed = _landed_log(spark, d)
+    return landing.new_files(landing_integrity(spark, d), landed)
+
+
+def inspect_schema(spark, d):
+    return I.inspect(spark, f"{d}/lineitem.parquet")
+
+
+def table_detail(spark, d):
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    return I.table_detail(spark, cfg.bronze_table)
+
+
 QUERIES: dict[str, Query] = {
     # scans
     "scan_raw": scan_raw,
@@ -362,4 +538,24 @@ QUERIES: dict[str, Query] = {
     "widget_daily_avg": widget_daily_avg,
     "widget_quality": widget_quality,
     "mart_row_counts": mart_row_counts,
+    # sources, sinks and jobs
+    "scan_table": scan_table,
+    "scan_partitioned": scan_partitioned,
+    "publish_roundtrip": publish_roundtrip,
+    "publish_atomic": publish_atomic,
+    "publish_partitioned": publish_partitioned,
+    "stale_quarantine": stale_quarantine,
+    "landing_integrity": landing_integrity,
+    "landing_length": landing_length,
+    "landing_new_files": landing_new_files,
+    "inspect_schema": inspect_schema,
+    "table_detail": table_detail,
+    "audit_append": audit_append,
+    "full_refresh_idempotent": full_refresh_idempotent,
+    "job_bronze": job_bronze,
+    "job_silver": job_silver,
+    "job_gold": job_gold,
+    "run_pipeline": run_pipeline,
+    "reconcile_before_publish": reconcile_before_publish,
+    "table_history": table_history,
 }
