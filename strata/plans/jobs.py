@@ -8,6 +8,7 @@ Every step appends one audit record (success or failure) for the run.
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -75,7 +76,8 @@ def default_config(spark: SparkSession, **overrides) -> PipelineConfig:
 
 
 def _version_dir(cfg: PipelineConfig, table: str) -> str:
-    return posixpath.join(cfg.versions(table), cfg.run_id)
+    """A new folder per write, named after the run that made it."""
+    return posixpath.join(cfg.versions(table), f"{cfg.run_id}-{uuid.uuid4().hex[:12]}")
 
 
 def _audited(spark: SparkSession, cfg: PipelineConfig, step: str,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 
 def _is_missing_path(err: AnalysisException) -> bool:
-    cond = getattr(err, "getErrorClass", lambda: None)() or ""
+    cond = getattr(err, "getCondition", lambda: None)() or ""
     return "PATH_NOT_FOUND" in cond or "Path does not exist" in str(err)
 
 
