@@ -165,7 +165,7 @@ _DAILY_STUDY = f"""
 SELECT CAST({_PICK} AS DATE) AS pickup_date, COUNT(*) AS trip_count,
        {dsum('trip_distance')} AS total_distance,
        CASE WHEN COUNT({_DUR}) > 0
-            THEN {dsum(_DUR, 6)} / CAST(COUNT({_DUR}) AS DOUBLE) END AS avg_duration_minutes
+            THEN {dsum(_DUR)} / CAST(COUNT({_DUR}) AS DOUBLE) END AS avg_duration_minutes
 FROM raw WHERE {_PICK} >= {_PS} AND {_PICK} < {_PE}
 GROUP BY 1
 """

@@ -1,7 +1,7 @@
 """DuckDB texts of the fixture layers, used as CTEs by every oracle query.
 
 These restate the silver rules, staging casts and marts in plain SQL over the
-registered driver tables. Sums are taken in the same fixed-point decimals as
+registered driver tables. Sums are taken in the same fixed-point integers as
 the Spark marts so both sides produce identical doubles.
 """
 
@@ -87,13 +87,15 @@ FROM stg
 
 
 def dsum(expr: str, scale: int = 4) -> str:
-    """Exact sum as double, matching ``measures.exact_sum``."""
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+    """Exact fixed-point sum as double, matching ``measures.exact_sum``."""
+    unit = float(10 ** scale)
+    return (f"(CAST(SUM(CAST(floor(({expr}) * {unit} + 0.5) AS BIGINT)) AS DOUBLE) "
+            f"/ CAST({unit} AS DOUBLE))")
 
 
 def rsum(expr: str, scale: int = 4) -> str:
     """Exact roll-up sum of summed doubles, matching ``measures.rollup_sum``."""
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(28,{scale}))) AS DOUBLE)"
+    return dsum(expr, scale)
 
 
 def davg(expr: str, scale: int = 4) -> str:
@@ -108,7 +110,7 @@ SELECT pickup_date,
        CAST(SUM(passenger_count) AS BIGINT) AS known_passenger_count,
        {dsum('trip_distance_miles')} AS total_distance_miles,
        {davg('trip_distance_miles')} AS average_trip_distance_miles,
-       {davg('trip_duration_minutes', 6)} AS average_trip_duration_minutes,
+       {davg('trip_duration_minutes')} AS average_trip_duration_minutes,
        {dsum('fare_amount')} AS total_fare_amount,
        {dsum('total_amount')} AS total_amount,
        CASE WHEN COUNT(*) > 0 THEN {dsum('total_amount')} / CAST(COUNT(*) AS DOUBLE) END

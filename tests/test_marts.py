@@ -36,7 +36,7 @@ def silver_df(utc):
 
 @pytest.mark.parametrize("scale", [4, None])
 def test_daily_mart_values(silver_df, scale):
-    daily = marts.daily_mart(marts.enrich(marts.stage(silver_df)), scale, None if scale is None else 6)
+    daily = marts.daily_mart(marts.enrich(marts.stage(silver_df)), scale, scale)
     got = {r["pickup_date"]: r.asDict() for r in daily.collect()}
     d10, d11 = got[date(2026, 1, 10)], got[date(2026, 1, 11)]
     assert (d10["trip_count"], d10["trips_with_passenger_count"], d10["known_passenger_count"]) == (2, 2, 3)
