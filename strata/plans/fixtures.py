@@ -77,3 +77,18 @@ TRIPS_CLEAN_DUCKDB = (
     "SELECT * FROM (" + TRIPS_DUCKDB + ") "
     "WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL"
 )
+
+
+def trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip fact as a stream: lineitem files arrive, orders is a static side.
+
+    A stream-static inner join needs no state; every lineitem row is joined
+    with the order it belongs to as it arrives.
+    """
+    schema = table(spark, sf_dir, "lineitem").schema
+    # a glob that matches the lineitem file(s): the file source watches a folder
+    pattern = os.path.join(sf_dir, "lineitem*.parquet")
+    lineitem = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(pattern)
+    orders = table(spark, sf_dir, "orders")
+    return spark.sql(_TRIPS_SPARK.format(lineitem="{lineitem}", orders="{orders}"),
+                     lineitem=lineitem, orders=orders)

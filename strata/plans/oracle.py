@@ -367,4 +367,5 @@ ORACLE: dict[str, str] = {
     "scan_partitioned": with_ctes(_SILVER_YM, "silver"),
     "job_silver": with_ctes(_SILVER_YM, "silver"),
     "job_gold": with_ctes("SELECT * FROM daily", "daily"),
+    "silver_trips_stream": with_ctes("SELECT * FROM silver", "silver"),
 }

@@ -441,6 +441,19 @@ def run_pipeline(spark, d):
                           landing_glob=f"{d}/lineitem.parquet")
 
 
+def silver_trips_stream(spark, d):
+    """The silver split run as a stream (availableNow) over the lineitem files."""
+    from strata.operators.silver import SILVER
+    from strata.streaming import silver_stream as S
+
+    base = storage.new_dir(spark, "streams", "silver")
+    bronze = silver.add_lineage(X.trips_stream(spark, d), X.SOURCE_FILE)
+    query = S.start_silver_stream(bronze, f"{base}/out", f"{base}/checkpoint",
+                                  X.PERIOD_START, X.PERIOD_END)
+    S.run_to_completion(query)
+    return S.read_layer(spark, f"{base}/out", SILVER).drop("year", "month")
+
+
 def landing_integrity(spark, d):
     return landing.check_landing(landing.list_files(spark, f"{d}/*.parquet"))
 
@@ -558,4 +571,6 @@ QUERIES: dict[str, Query] = {
     "run_pipeline": run_pipeline,
     "reconcile_before_publish": reconcile_before_publish,
     "table_history": table_history,
+    # streaming execution of the split
+    "silver_trips_stream": silver_trips_stream,
 }
