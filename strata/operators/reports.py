@@ -53,12 +53,34 @@ def checkpoint_report(
 ) -> DataFrame:
     """One row: three counts, ``reconciled`` and the six silver issue counts.
 
-    Three one-row aggregates joined by a 1 x 1 x 1 cross join.
+    The three inputs are stacked (a narrow union) and counted by a single
+    aggregate; bronze and quarantine contribute no data columns.
     """
-    b = bronze.agg(F.count(F.lit(1)).alias("bronze_count"))
-    q = quarantine.agg(F.count(F.lit(1)).alias("quarantine_count"))
-    s = silver_metrics(silver, period_start, period_end)
-    return b.crossJoin(s).crossJoin(q).select(
+    from strata.operators.checks import tagged_union
+
+    pick, drop = C.PICKUP.lower(), C.DROPOFF.lower()
+    ptype = P.column_type(silver, pick)
+    start, end = P.ts_bound(period_start, ptype), P.ts_bound(period_end, ptype)
+    p = F.col(pick)
+    s = silver.select(
+        ((p < start) | (p >= end)).alias("_outside"),
+        (F.col(drop) < p).alias("_before"),
+        *[F.col(c) for c in (C.IS_ZERO_DISTANCE, C.HAS_NEGATIVE_FARE, C.HAS_NEGATIVE_TOTAL,
+                             C.IS_PASSENGER_COUNT_NULL)],
+    )
+    u = tagged_union(bronze=bronze.select(), silver=s, quarantine=quarantine.select())
+    counts = u.agg(
+        F.count("_bronze").alias("bronze_count"),
+        F.count("_silver").alias("silver_count"),
+        F.count("_quarantine").alias("quarantine_count"),
+        P.count_true(F.col("_outside")).alias("pickup_outside_period"),
+        P.count_true(F.col("_before")).alias("dropoff_before_pickup"),
+        count_flag(C.IS_ZERO_DISTANCE).alias("zero_distance_rows"),
+        count_flag(C.HAS_NEGATIVE_FARE).alias("negative_fare_rows"),
+        count_flag(C.HAS_NEGATIVE_TOTAL).alias("negative_total_rows"),
+        count_flag(C.IS_PASSENGER_COUNT_NULL).alias("passenger_count_null_rows"),
+    )
+    return counts.select(
         "bronze_count",
         "silver_count",
         "quarantine_count",

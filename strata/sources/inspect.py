@@ -52,22 +52,28 @@ def footers(spark: SparkSession, pattern: str) -> DataFrame:
     return listing.mapInPandas(_footer_batches, FOOTER_SCHEMA)
 
 
-def schema_fields(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(
-        rows, "position int, field_name string, field_type string, nullable boolean"
-    )
-
-
 def inspect(spark: SparkSession, pattern: str) -> DataFrame:
-    """One row per field, each carrying the dataset's rows, columns and row groups."""
+    """One row per field, each carrying the dataset's rows, columns and row groups.
+
+    The field list is schema metadata; it is attached to the one-row footer
+    aggregate with a generator, so no join is needed.
+    """
     df = spark.read.parquet(pattern)
     counts = footers(spark, pattern).agg(
         F.sum("file_rows").alias("num_rows"),
         F.sum("row_groups").alias("num_row_groups"),
         F.count(F.lit(1)).alias("num_files"),
-    ).withColumn("num_columns", F.lit(len(df.columns)))
-    return schema_fields(spark, df.schema).crossJoin(counts)
+    )
+    fields = F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("field_name"),
+                 F.lit(f.dataType.simpleString()).alias("field_type"),
+                 F.lit(f.nullable).alias("nullable"))
+        for i, f in enumerate(df.schema.fields)
+    ])
+    return counts.select(
+        F.inline(fields), "num_rows", "num_row_groups", "num_files",
+        F.lit(len(df.columns)).alias("num_columns"),
+    )
 
 
 def table_detail(spark: SparkSession, name: str) -> DataFrame:
