@@ -37,9 +37,10 @@ def trips_for_join(trips: DataFrame, period_start: str, period_end: str) -> Data
     )
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     """True when the dimension has at most ``max_rows`` rows (stops counting early)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    return dim.limit(bound + 1).count() <= bound
 
 
 def zone_join(
