@@ -79,23 +79,26 @@ def inspect(spark: SparkSession, pattern: str) -> DataFrame:
 def table_detail(spark: SparkSession, name: str) -> DataFrame:
     """Format, name, location, file count and bytes of a catalog table.
 
-    Files are taken from the scan's ``_metadata`` columns (no data columns are
-    read) and de-duplicated with a partial aggregate per task.
+    Files and sizes come from a listing of the table's folder (the
+    ``binaryFile`` source with only ``length`` selected reads no file
+    contents), so the cost grows with the number of files, not of rows.
     """
     info = {r["col_name"]: r["data_type"] for r in
             spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    location = info.get("Location")
     files = (
-        spark.table(name)
-        .select(F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_size").alias("file_size"))
-        .distinct()
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(location)
+        .select("length")
         .agg(F.count(F.lit(1)).alias("numFiles"),
-             F.coalesce(F.sum("file_size"), F.lit(0)).alias("sizeInBytes"))
+             F.coalesce(F.sum("length"), F.lit(0)).alias("sizeInBytes"))
     )
     return files.select(
         F.lit(info.get("Provider")).alias("format"),
         F.lit(name).alias("name"),
-        F.lit(info.get("Location")).alias("location"),
+        F.lit(location).alias("location"),
         "numFiles",
         "sizeInBytes",
     )

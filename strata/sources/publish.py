@@ -77,23 +77,31 @@ def stage(
     path: str,
     partition_by: Sequence[str] = (),
     metrics: Sequence = (),
+    rebalance: bool = False,
 ) -> Staged:
     """Write ``df`` once to a fresh folder and return it with observed metrics.
 
-    Partitioned writes use a REBALANCE hint on the partition columns: AQE
-    groups rows of a partition into few tasks (few files) and splits a
-    partition that holds a large share of the rows over several tasks.
+    A partitioned write stays map-only by default: Spark sorts each task's
+    rows by the partition columns and writes one file per partition value the
+    task holds, so there is no shuffle and a partition holding a large share
+    of the rows cannot skew anything. When the input is not clustered by the
+    partition columns (many partitions per task, many small files), pass
+    ``rebalance=True``: a REBALANCE hint lets AQE group each partition into
+    few tasks and split a heavy one, at the cost of one shuffle.
+
+    Metrics are observed in the final (write) stage, where Spark merges each
+    partition's metrics once even when tasks are retried.
     """
     obs = Observation()
     rows = F.count(F.lit(1)).alias("rows")
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     observed = df.observe(obs, rows, *metrics)
-    if partition_by:
-        observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.mode("errorifexists").option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return Staged(path, dict(obs.get), df.schema, tuple(partition_by))
+    return Staged(path, dict(obs.get), observed.schema, tuple(partition_by))
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -172,6 +180,7 @@ def publish_partitioned(
     path: str,
     ts: str = C.PICKUP.lower(),
     months: Sequence[tuple[int, int]] = (),
+    rebalance: bool = False,
 ) -> dict:
     """In-place ``year=/month=`` layout with dynamic partition overwrite.
 
@@ -185,10 +194,10 @@ def publish_partitioned(
     out = with_year_month(df, ts)
     obs = Observation()
     key = F.col("year") * 100 + F.col("month")
+    if rebalance:
+        out = out.hint("rebalance", "year", "month")
     (
-        out.observe(obs, F.count(F.lit(1)).alias("rows"),
-                    F.collect_set(key).alias("months"))
-        .hint("rebalance", "year", "month")
+        out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(key).alias("months"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION)

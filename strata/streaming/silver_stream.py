@@ -25,8 +25,7 @@ from strata.sources import publish
 def _writer(output: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.hint("rebalance", silver.LAYER_COLUMN, "year", "month")
-            .write.mode("overwrite")
+            batch.write.mode("overwrite")
             .option("compression", publish.COMPRESSION)
             .partitionBy(silver.LAYER_COLUMN, "year", "month")
             .parquet(posixpath.join(output, f"batch={batch_id}"))
