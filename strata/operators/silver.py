@@ -1,9 +1,9 @@
 """Bronze lineage and the silver / quarantine split.
 
-The split is a pure row-wise plan: one Project computing the four blocking
-rules, the duration and the four flags, then a Filter for each output. It has
-no shuffle, so it scales linearly with the number of input splits, and the
-same function runs unchanged on a streaming DataFrame.
+The split is a pure row-wise plan: each output is one Filter on the four
+blocking rules and one Project adding the duration and the four flags under
+lowercased names. It has no shuffle, so it scales linearly with the number of
+input splits, and the same function runs unchanged on a streaming DataFrame.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from strata.functions import contract as C
 from strata.functions import predicates as P
-from strata.functions.names import lowercase_collisions, lowercase_columns
+from strata.functions.names import lowercase_collisions
 
-_RULE_PREFIX = "_is_"
 LAYER_COLUMN = "_layer"
 SILVER = "silver"
 QUARANTINE = "quarantine"
@@ -68,44 +67,61 @@ def blocking_rules(
     ]
 
 
-def prepare(
+def _outputs(
     bronze: DataFrame,
     period_start: datetime | date | str,
     period_end: datetime | date | str,
-    cols: SplitColumns = SplitColumns(),
-) -> tuple[DataFrame, list[str]]:
-    """Bronze plus rule columns, duration and flags (one Project)."""
+    cols: SplitColumns,
+) -> tuple[list[tuple[str, Column]], list[Column]]:
+    """Rules in reason order and the output columns (lowercased names,
+    duration, flags), computed once from the bronze schema."""
     if not isinstance(period_start, str) or not isinstance(period_end, str):
         P.check_period(period_start, period_end)
-    collisions = lowercase_collisions(bronze.columns + [C.DURATION_COLUMN])
+    names = bronze.columns
+    collisions = lowercase_collisions(names + [C.DURATION_COLUMN])
     if collisions:
         raise ValueError(
             "lowercasing column names would create duplicate columns: " + ", ".join(collisions)
         )
     rules = blocking_rules(bronze, period_start, period_end, cols)
-    rule_cols = [f"{_RULE_PREFIX}{name}" for name, _ in rules]
-    prepared = bronze.select(
-        "*",
-        *[pred.alias(name) for (_, pred), name in zip(rules, rule_cols)],
-        P.duration_minutes(cols.pickup, cols.dropoff).alias(C.DURATION_COLUMN),
-        *P.quality_flags(cols.distance, cols.fare, cols.total, cols.passengers),
-    )
-    return prepared, rule_cols
+    out = [F.col(f"`{n}`").alias(n.lower()) for n in names]
+    out.append(P.duration_minutes(cols.pickup, cols.dropoff).alias(C.DURATION_COLUMN))
+    out.extend(P.quality_flags(cols.distance, cols.fare, cols.total, cols.passengers))
+    return rules, out
 
 
-def _any(rule_cols: list[str]) -> Column:
-    cond = F.col(rule_cols[0])
-    for name in rule_cols[1:]:
-        cond = cond | F.col(name)
+def _any(rules: list[tuple[str, Column]]) -> Column:
+    cond = rules[0][1]
+    for _, pred in rules[1:]:
+        cond = cond | pred
     return cond
 
 
-def reason(rule_cols: list[str]) -> Column:
+def reason(rules: list[tuple[str, Column]]) -> Column:
     """Broken rules in fixed order joined by ``;`` (``concat_ws`` skips NULLs)."""
-    return F.concat_ws(
-        C.REASON_SEPARATOR,
-        *[F.when(F.col(c), F.lit(c[len(_RULE_PREFIX):])) for c in rule_cols],
-    )
+    return F.concat_ws(C.REASON_SEPARATOR, *[F.when(pred, F.lit(name)) for name, pred in rules])
+
+
+def silver_rows(
+    bronze: DataFrame,
+    period_start: datetime | date | str,
+    period_end: datetime | date | str,
+    cols: SplitColumns = SplitColumns(),
+) -> DataFrame:
+    """Rows that break no blocking rule, with duration and flags (one Filter + Project)."""
+    rules, out = _outputs(bronze, period_start, period_end, cols)
+    return bronze.where(~_any(rules)).select(*out)
+
+
+def quarantine_rows(
+    bronze: DataFrame,
+    period_start: datetime | date | str,
+    period_end: datetime | date | str,
+    cols: SplitColumns = SplitColumns(),
+) -> DataFrame:
+    """Rows that break a blocking rule, with ``_quarantine_reason``."""
+    rules, out = _outputs(bronze, period_start, period_end, cols)
+    return bronze.where(_any(rules)).select(*out, reason(rules).alias(C.REASON_COLUMN))
 
 
 def split(
@@ -117,15 +133,11 @@ def split(
     """Return ``(silver, quarantine)`` with lowercased names.
 
     Silver holds rows breaking no blocking rule; quarantine holds the others
-    with ``_quarantine_reason``. Internal rule columns are dropped.
+    with ``_quarantine_reason``. Rules never evaluate to NULL, so every row
+    lands in exactly one of the two.
     """
-    prepared, rule_cols = prepare(bronze, period_start, period_end, cols)
-    bad = _any(rule_cols)
-    silver = prepared.filter(~bad).drop(*rule_cols)
-    quarantine = (
-        prepared.filter(bad).withColumn(C.REASON_COLUMN, reason(rule_cols)).drop(*rule_cols)
-    )
-    return lowercase_columns(silver), lowercase_columns(quarantine)
+    return (silver_rows(bronze, period_start, period_end, cols),
+            quarantine_rows(bronze, period_start, period_end, cols))
 
 
 def labelled(
@@ -141,11 +153,10 @@ def labelled(
     layer is NULL only if a rule evaluates to NULL, which reconciliation then
     catches as a lost row.
     """
-    prepared, rule_cols = prepare(bronze, period_start, period_end, cols)
-    bad = _any(rule_cols)
-    out = prepared.select(
-        "*",
+    rules, out = _outputs(bronze, period_start, period_end, cols)
+    bad = _any(rules)
+    return bronze.select(
+        *out,
         F.when(bad, F.lit(QUARANTINE)).when(~bad, F.lit(SILVER)).alias(LAYER_COLUMN),
-        F.when(bad, reason(rule_cols)).alias(C.REASON_COLUMN),
-    ).drop(*rule_cols)
-    return lowercase_columns(out)
+        F.when(bad, reason(rules)).alias(C.REASON_COLUMN),
+    )

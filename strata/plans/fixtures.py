@@ -55,8 +55,19 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
+# Schemas of the (immutable) driver tables, read once per path: later reads
+# skip the footer read of schema inference.
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

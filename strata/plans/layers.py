@@ -22,11 +22,12 @@ def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split(spark, sf_dir)[0]
+    return silver.silver_rows(bronze(spark, sf_dir), fixtures.PERIOD_START, fixtures.PERIOD_END)
 
 
 def quarantine_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split(spark, sf_dir)[1]
+    return silver.quarantine_rows(bronze(spark, sf_dir), fixtures.PERIOD_START,
+                                  fixtures.PERIOD_END)
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from strata.functions.names import lowercase_columns
 from strata.operators import marts, silver
 from strata.plans import layers as L
 from tests.conftest import SF_SMALL
@@ -40,7 +41,7 @@ def test_split_partitions_bronze(spark, rows):
     key = ["vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
            "trip_distance", "fare_amount", "total_amount"]
     both = sorted(s.select(key).collect() + q.select(key).collect(), key=repr)
-    assert both == sorted(silver.lowercase_columns(bronze).select(key).collect(), key=repr)
+    assert both == sorted(lowercase_columns(bronze).select(key).collect(), key=repr)
     assert s.filter(F.col("tpep_pickup_datetime").isNull()
                     | (F.col("tpep_dropoff_datetime") < F.col("tpep_pickup_datetime"))).count() == 0
     daily = marts.daily_mart(marts.enrich(marts.stage(s)))
