@@ -137,12 +137,17 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig) ->
     labelled = silver.labelled(bronze, cfg.period_start, cfg.period_end)
     labelled = publish.with_year_month(labelled, C.PICKUP.lower())
     layer = F.col(silver.LAYER_COLUMN)
+    # One month (the regular run): every task holds rows of that month only, so
+    # the write stays map-only. A multi-month backfill is not clustered by
+    # month; a REBALANCE shuffle then keeps files per month few and large.
+    backfill = len(publish.months_between(cfg.period_start, cfg.period_end)) > 1
     return publish.stage(
         labelled,
         _version_dir(cfg, cfg.silver_table),
         partition_by=(silver.LAYER_COLUMN, *SILVER_PARTITIONS),
         metrics=[F.count_if(layer == F.lit(silver.SILVER)).alias("silver"),
                  F.count_if(layer == F.lit(silver.QUARANTINE)).alias("quarantine")],
+        rebalance=backfill,
     )
 
 

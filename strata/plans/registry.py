@@ -351,8 +351,9 @@ def publish_atomic(spark, d):
 
 def publish_partitioned(spark, d):
     path = storage.new_dir(spark, "layout", "silver")
-    publish.publish_partitioned(L.silver_trips(spark, d), path,
-                                months=publish.months_between(X.PERIOD_START, X.PERIOD_END))
+    months = publish.months_between(X.PERIOD_START, X.PERIOD_END)
+    publish.publish_partitioned(L.silver_trips(spark, d), path, months=months,
+                                rebalance=len(months) > 1)
     return read_partitioned(spark, path)
 
 

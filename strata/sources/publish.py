@@ -215,10 +215,16 @@ def publish_partitioned(
     return metrics
 
 
-def months_between(period_start: str, period_end: str) -> list[tuple[int, int]]:
+def months_between(period_start, period_end) -> list[tuple[int, int]]:
     """The (year, month) pairs that intersect the half-open period."""
-    start = datetime.fromisoformat(period_start)
-    end = datetime.fromisoformat(period_end)
+    def as_dt(v):
+        if isinstance(v, datetime):
+            return v
+        if isinstance(v, str):
+            return datetime.fromisoformat(v)
+        return datetime(v.year, v.month, v.day)
+
+    start, end = as_dt(period_start), as_dt(period_end)
     y, m = start.year, start.month
     out = []
     while datetime(y, m, 1) < end:
