@@ -42,6 +42,19 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_mart(enriched(spark, sf_dir))
 
 
+def daily_checkpointed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart computed once and saved in the shared checkpoint folder.
+
+    For queries that read the daily mart several times (monthly, quality and
+    their checks): the fact table is aggregated once and the small result is
+    reread, instead of every branch aggregating the trips again.
+    """
+    from strata.sources import storage
+
+    storage.checkpoint_root(spark)
+    return daily(spark, sf_dir).checkpoint(eager=True)
+
+
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.monthly_mart(daily(spark, sf_dir))
 

@@ -146,7 +146,7 @@ def quarantine_reasons(spark, d):
 
 
 def check_unique_grain(spark, d):
-    daily = L.daily(spark, d)
+    daily = L.daily_checkpointed(spark, d)
     return (
         checks.unique_summary("mart_daily_taxi_metrics", daily, ["pickup_date"])
         .unionByName(checks.unique_summary(
@@ -194,7 +194,7 @@ def dash_quality(spark, d):
 
 
 def mart_quality_union(spark, d):
-    return marts.quality_mart_union(L.daily(spark, d))
+    return marts.quality_mart_union(L.daily_checkpointed(spark, d))
 
 
 def distinct_source_files(spark, d):
@@ -230,7 +230,7 @@ def check_silver_verdict(spark, d):
 
 def check_not_null(spark, d):
     stg = L.staged(spark, d)
-    daily = marts.daily_mart(marts.enrich(stg))
+    daily = L.daily_checkpointed(spark, d)
     return (
         checks.not_null_summary("stg_yellow_taxi", stg, ["pickup_at", "dropoff_at", "_source_file"])
         .unionByName(checks.not_null_summary(
@@ -299,7 +299,7 @@ def widget_quality(spark, d):
 
 
 def mart_row_counts(spark, d):
-    daily = L.daily(spark, d)
+    daily = L.daily_checkpointed(spark, d)
     return consumption.mart_row_counts(daily, marts.monthly_mart(daily), marts.quality_mart(daily))
 
 
