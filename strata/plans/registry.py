@@ -403,6 +403,20 @@ def stale_quarantine(spark, d):
     )
 
 
+def optional_count(spark, d):
+    """Rows of a required published dataset, and 0 for a missing optional one."""
+    from strata.sources.raw import row_count
+
+    cfg = _cfg(spark)
+    J.job_bronze(spark, X.trips(spark, d), cfg)
+    rec = J.job_silver(spark, cfg)
+    silver_path = f"{rec['table_location']}/_layer=silver"
+    missing_path = f"{cfg.root}/never_written"
+    rows = [("silver", True, row_count(spark, silver_path, required=True)),
+            ("not_written", False, row_count(spark, missing_path, required=False))]
+    return spark.createDataFrame(rows, "dataset string, required boolean, row_count long")
+
+
 def reconcile_before_publish(spark, d):
     """Counts observed on the staged write, compared before anything is published."""
     cfg = _cfg(spark)
@@ -559,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "publish_atomic": publish_atomic,
     "publish_partitioned": publish_partitioned,
     "stale_quarantine": stale_quarantine,
+    "optional_count": optional_count,
     "landing_integrity": landing_integrity,
     "landing_length": landing_length,
     "landing_new_files": landing_new_files,
