@@ -16,9 +16,17 @@ from pyspark.sql import types as T
 from strata.functions import contract as C
 
 
-def check_period(period_start: datetime | date, period_end: datetime | date) -> None:
+def _as_datetime(value: datetime | date | str) -> datetime:
+    if isinstance(value, datetime):
+        return value
+    if isinstance(value, str):
+        return datetime.fromisoformat(value.strip())
+    return datetime(value.year, value.month, value.day)
+
+
+def check_period(period_start: datetime | date | str, period_end: datetime | date | str) -> None:
     """Reject an empty or inverted half-open period before any plan is built."""
-    if period_start >= period_end:
+    if _as_datetime(period_start) >= _as_datetime(period_end):
         raise ValueError("period_start must be earlier than period_end")
 
 

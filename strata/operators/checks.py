@@ -155,8 +155,8 @@ def required_columns_check(spark: SparkSession, df: DataFrame,
     absent = missing_columns(required, df.columns)
     return (
         metadata_result(spark, C.REQUIRED_COLUMNS_RULE, C.FAIL, len(absent),
-                        "no required column absent: " + ",".join(absent) if absent
-                        else "no required column absent"),
+                        "no required column absent (missing: " + ", ".join(absent) + ")"
+                        if absent else "no required column absent"),
         absent,
     )
 

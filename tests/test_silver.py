@@ -99,6 +99,8 @@ def test_upper_bound_is_exclusive(utc):
 def test_invalid_period(bronze):
     with pytest.raises(ValueError):
         silver.split(bronze, END, START)
+    with pytest.raises(ValueError):
+        silver.split(bronze, "2026-02-01 00:00:00", "2026-01-01 00:00:00")
 
 
 @pytest.mark.parametrize("name", ["", "   "])
