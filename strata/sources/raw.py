@@ -55,6 +55,12 @@ def row_count(spark: SparkSession, path: str, required: bool = True,
 
     A Parquet ``count()`` reads no columns (empty ``ReadSchema``).
     """
+    from strata.sources import storage
+
+    if not storage.exists(spark, path):
+        if required:
+            raise FileNotFoundError(f"dataset not found: {path}")
+        return 0
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path).count()
