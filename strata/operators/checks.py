@@ -41,7 +41,6 @@ class Rule:
     severity: str
     violation: Column | None
     expectation: str
-    blocking_in_split: bool = False
 
 
 def status(passed: Column, severity: Column) -> Column:
@@ -69,6 +68,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     A rule whose ``violation`` is ``None`` could not be evaluated (a column it
     needs is absent); it is reported with a NULL count and ``passed`` false.
     """
+    if not rules:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     counted = [r for r in rules if r.violation is not None]
     aggs = [P.count_true(r.violation).alias(f"c{i}") for i, r in enumerate(counted)]
     wide = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()

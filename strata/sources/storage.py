@@ -54,10 +54,3 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path``; False when it did not exist."""
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
-
-
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()]

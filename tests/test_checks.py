@@ -159,3 +159,8 @@ def test_profile_rules(utc):
 def test_status(utc, severity, passed, expected):
     df = utc.createDataFrame([(severity, passed)], "severity string, passed boolean")
     assert df.select(checks.status(F.col("passed"), F.col("severity"))).first()[0] == expected
+
+
+def test_evaluate_without_rules_is_empty(utc):
+    out = checks.evaluate(raw(utc), [])
+    assert out.count() == 0 and out.columns == [f.name for f in checks.RESULT_SCHEMA.fields]
