@@ -74,7 +74,7 @@ def mart_row_counts(daily: DataFrame, monthly: DataFrame, quality: DataFrame) ->
         return df.agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("row_count"))
 
     return (
-        count("mart_daily_taxi_metrics", daily)
-        .unionByName(count("mart_monthly_taxi_kpis", monthly))
+        count("mart_daily_trip_metrics", daily)
+        .unionByName(count("mart_monthly_trip_kpis", monthly))
         .unionByName(count("mart_data_quality_summary", quality))
     )

@@ -1,6 +1,6 @@
 """Trip-shaped input derived from the driver tables.
 
-The driver tables hold no taxi trips, so a trip fact is derived from
+The driver tables hold no trips, so a trip fact is derived from
 ``lineitem`` joined with ``orders``: timestamps from the order and ship dates
 plus a minute offset, NULLs and negative amounts from key arithmetic. The
 view reads every row of both tables, so its size grows with the scale factor.

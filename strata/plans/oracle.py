@@ -286,8 +286,8 @@ ORACLE: dict[str, str] = {
         "GROUP BY _quarantine_reason ORDER BY _quarantine_reason", "quarantine"),
     "check_unique_grain": with_ctes(
         " UNION ALL ".join([
-            _unique_part("mart_daily_taxi_metrics", "daily", ["pickup_date"]),
-            _unique_part("mart_monthly_taxi_kpis", "monthly", ["pickup_month"]),
+            _unique_part("mart_daily_trip_metrics", "daily", ["pickup_date"]),
+            _unique_part("mart_monthly_trip_kpis", "monthly", ["pickup_month"]),
             _unique_part("mart_data_quality_summary", "quality", ["pickup_month", "quality_issue"]),
         ]), "daily", "monthly", "quality"),
     "validate_gold": with_ctes(
@@ -330,9 +330,9 @@ ORACLE: dict[str, str] = {
         "COUNT(*) AS checks FROM {}"),
     "check_not_null": with_ctes(
         " UNION ALL ".join([
-            _not_null_part("stg_yellow_taxi", "stg", ["pickup_at", "dropoff_at", "_source_file"]),
-            _not_null_part("mart_daily_taxi_metrics", "daily", ["pickup_date", "trip_count"]),
-            _not_null_part("mart_monthly_taxi_kpis", "monthly", ["pickup_month", "total_trips"]),
+            _not_null_part("stg_trips", "stg", ["pickup_at", "dropoff_at", "_source_file"]),
+            _not_null_part("mart_daily_trip_metrics", "daily", ["pickup_date", "trip_count"]),
+            _not_null_part("mart_monthly_trip_kpis", "monthly", ["pickup_month", "total_trips"]),
             _not_null_part("mart_data_quality_summary", "quality",
                            ["pickup_month", "quality_issue", "issue_count"]),
         ]), "stg", "daily", "monthly", "quality"),
@@ -355,8 +355,8 @@ ORACLE: dict[str, str] = {
     "widget_quality": with_ctes(
         "SELECT quality_issue, issue_count FROM quality ORDER BY issue_count DESC", "quality"),
     "mart_row_counts": with_ctes(
-        "SELECT 'mart_daily_taxi_metrics' AS mart, COUNT(*) AS row_count FROM daily UNION ALL "
-        "SELECT 'mart_monthly_taxi_kpis', COUNT(*) FROM monthly UNION ALL "
+        "SELECT 'mart_daily_trip_metrics' AS mart, COUNT(*) AS row_count FROM daily UNION ALL "
+        "SELECT 'mart_monthly_trip_kpis', COUNT(*) FROM monthly UNION ALL "
         "SELECT 'mart_data_quality_summary', COUNT(*) FROM quality", "daily", "monthly", "quality"),
     "scan_table": with_ctes("SELECT * FROM bronze", "bronze"),
     "publish_roundtrip": with_ctes("SELECT * FROM bronze", "bronze"),

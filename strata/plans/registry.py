@@ -148,9 +148,9 @@ def quarantine_reasons(spark, d):
 def check_unique_grain(spark, d):
     daily = L.daily_checkpointed(spark, d)
     return (
-        checks.unique_summary("mart_daily_taxi_metrics", daily, ["pickup_date"])
+        checks.unique_summary("mart_daily_trip_metrics", daily, ["pickup_date"])
         .unionByName(checks.unique_summary(
-            "mart_monthly_taxi_kpis", marts.monthly_mart(daily), ["pickup_month"]))
+            "mart_monthly_trip_kpis", marts.monthly_mart(daily), ["pickup_month"]))
         .unionByName(checks.unique_summary(
             "mart_data_quality_summary", marts.quality_mart(daily),
             ["pickup_month", "quality_issue"]))
@@ -232,11 +232,11 @@ def check_not_null(spark, d):
     stg = L.staged(spark, d)
     daily = L.daily_checkpointed(spark, d)
     return (
-        checks.not_null_summary("stg_yellow_taxi", stg, ["pickup_at", "dropoff_at", "_source_file"])
+        checks.not_null_summary("stg_trips", stg, ["pickup_at", "dropoff_at", "_source_file"])
         .unionByName(checks.not_null_summary(
-            "mart_daily_taxi_metrics", daily, ["pickup_date", "trip_count"]))
+            "mart_daily_trip_metrics", daily, ["pickup_date", "trip_count"]))
         .unionByName(checks.not_null_summary(
-            "mart_monthly_taxi_kpis", marts.monthly_mart(daily), ["pickup_month", "total_trips"]))
+            "mart_monthly_trip_kpis", marts.monthly_mart(daily), ["pickup_month", "total_trips"]))
         .unionByName(checks.not_null_summary(
             "mart_data_quality_summary", marts.quality_mart(daily),
             ["pickup_month", "quality_issue", "issue_count"]))

@@ -29,7 +29,7 @@ def local_rows():
 def cfg(utc, tmp_path):
     tag = uuid.uuid4().hex[:8]
     return J.PipelineConfig(period_start=START, period_end=END,
-                            source_file="yellow_tripdata_2026-01.parquet",
+                            source_file="trips_2026-01.parquet",
                             root=str(tmp_path / "root"),
                             bronze_schema=f"t_bronze_{tag}", silver_schema=f"t_silver_{tag}",
                             gold_schema=f"t_gold_{tag}")

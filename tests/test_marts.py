@@ -98,5 +98,5 @@ def test_dashboard_counters(silver_df):
     assert consumption.average_amount_for_month(monthly, "2026-02-01").first()[0] is None
     counts = {r["mart"]: r["row_count"] for r in consumption.mart_row_counts(
         daily, monthly, marts.quality_mart(daily)).collect()}
-    assert counts == {"mart_daily_taxi_metrics": 2, "mart_monthly_taxi_kpis": 1,
+    assert counts == {"mart_daily_trip_metrics": 2, "mart_monthly_trip_kpis": 1,
                       "mart_data_quality_summary": 4}

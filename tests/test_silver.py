@@ -21,7 +21,7 @@ SCHEMA = (
 
 
 def rows():
-    src = "yellow_tripdata_2026-01.parquet"
+    src = "trips_2026-01.parquet"
     return [
         (1, datetime(2026, 1, 10, 10, 0), datetime(2026, 1, 10, 10, 15), 1, 3.5, 15.0, 18.0, src),
         (1, datetime(2025, 12, 31, 23, 59), datetime(2026, 1, 1, 0, 10), 1, 2.0, 10.0, 12.0, src),
