@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from strata.llm.chat_format import OP9_SQL, op9_chat_format
 from strata.llm.quality_rules import op10_quality_rules
 from strata.llm.url_filter import OP2_SQL, op2_url_filter
 
 QUERIES = {
     "op2_url_filter": op2_url_filter,
+    "op9_chat_format": op9_chat_format,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE = {
     "op2_url_filter": OP2_SQL,
+    "op9_chat_format": OP9_SQL,
 }
