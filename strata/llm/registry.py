@@ -7,8 +7,10 @@ from strata.llm.curve_packing import op3_curve_packing
 from strata.llm.elias_fano import op8_token_output
 from strata.llm.quality_rules import op10_quality_rules
 from strata.llm.url_filter import OP2_SQL, op2_url_filter
+from strata.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
     "op3_curve_packing": op3_curve_packing,
     "op8_token_output": op8_token_output,
