@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from strata.llm.chat_format import OP9_SQL, op9_chat_format
 from strata.llm.curve_packing import op3_curve_packing
+from strata.llm.decontamination import op7_decontamination
 from strata.llm.elias_fano import op8_token_output
 from strata.llm.near_dup import op4_near_dup
 from strata.llm.quality_rules import op10_quality_rules
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_curve_packing": op3_curve_packing,
     "op4_near_dup": op4_near_dup,
+    "op7_decontamination": op7_decontamination,
     "op8_token_output": op8_token_output,
     "op9_chat_format": op9_chat_format,
     "op10_quality_rules": op10_quality_rules,
