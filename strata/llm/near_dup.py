@@ -323,13 +323,15 @@ def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, doc: str = "doc_i
                text: str = "text") -> DataFrame:
     """``docs`` with one document of each component, its columns unchanged.
 
-    Rows that repeat a kept id stay once: of equal ids one row is taken.
+    Rows that repeat both the id and the text of a kept row stay once.
     """
     dropped = near_duplicates(docs, k, percent, doc, text).filter(~F.col("kept")).select(
         F.col("doc_id").alias("_gone")).distinct()
     gone = fresh(docs, "_gone")
     kept = docs.join(dropped.withColumnRenamed("_gone", gone), F.col(doc) == F.col(gone), "left_anti")
-    named = kept.filter(F.col(doc).isNotNull()).dropDuplicates([doc])
+    same = fresh(docs, "_same")
+    named = (kept.filter(F.col(doc).isNotNull()).withColumn(same, F.xxhash64(text))
+             .dropDuplicates([doc, same]).drop(same))
     return named.unionByName(kept.filter(F.col(doc).isNull()))
 
 

@@ -6,6 +6,7 @@ from strata.llm.chat_format import OP9_SQL, op9_chat_format
 from strata.llm.curve_packing import op3_curve_packing
 from strata.llm.decontamination import op7_decontamination
 from strata.llm.elias_fano import op8_token_output
+from strata.llm.license_lookup import OP6_SQL, op6_license_lookup
 from strata.llm.near_dup import op4_near_dup
 from strata.llm.quality_rules import op10_quality_rules
 from strata.llm.url_filter import OP2_SQL, op2_url_filter
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_curve_packing": op3_curve_packing,
     "op4_near_dup": op4_near_dup,
+    "op6_license_lookup": op6_license_lookup,
     "op7_decontamination": op7_decontamination,
     "op8_token_output": op8_token_output,
     "op9_chat_format": op9_chat_format,
@@ -24,5 +26,6 @@ QUERIES = {
 
 ORACLE = {
     "op2_url_filter": OP2_SQL,
+    "op6_license_lookup": OP6_SQL,
     "op9_chat_format": OP9_SQL,
 }
