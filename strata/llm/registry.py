@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strata.llm.chat_format import OP9_SQL, op9_chat_format
+from strata.llm.context_mixing import op5_context_mixing
 from strata.llm.curve_packing import op3_curve_packing
 from strata.llm.decontamination import op7_decontamination
 from strata.llm.elias_fano import op8_token_output
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_curve_packing": op3_curve_packing,
     "op4_near_dup": op4_near_dup,
+    "op5_context_mixing": op5_context_mixing,
     "op6_license_lookup": op6_license_lookup,
     "op7_decontamination": op7_decontamination,
     "op8_token_output": op8_token_output,
