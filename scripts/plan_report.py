@@ -89,7 +89,7 @@ def main() -> None:
         "quality mart (over daily)": marts.quality_mart(daily),
         "daily study (period filter only)": marts.daily_study(raw, ps, pe),
         "zone join, broadcast (bounded dimension)": joins.zone_join(
-            fact, joins.zone_dim(spark), "broadcast", dim_rows_bound=C.ZONE_COUNT),
+            fact, joins.zone_dim(spark), "broadcast"),
         "zone join, sort-merge": joins.zone_join(fact, joins.zone_dim(spark), "merge"),
         "profile: nulls": profile.null_profile(raw),
         "quarantine reasons": reports.reason_counts(q),

@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root")
     parser.add_argument("--run-id")
     parser.add_argument("--landing")
+    parser.add_argument("--raw-gate", choices=["block", "report"], default="block")
     args = parser.parse_args(argv)
 
     from strata.operators import checks, profile
@@ -55,7 +56,13 @@ def main(argv: list[str] | None = None) -> int:
             extra["root"] = args.root
         source = args.source_file or (os.path.basename(args.raw) if args.raw else "unknown")
         return J.default_config(spark, period_start=args.start, period_end=args.end,
-                                source_file=source, **extra)
+                                source_file=source, raw_gate=args.raw_gate, **extra)
+
+    def layers() -> J.PipelineConfig:
+        """The configuration, with the tables of earlier processes under its root resolved."""
+        c = cfg()
+        J.resolve_tables(spark, c)
+        return c
 
     def raw():
         if not args.raw:
@@ -77,25 +84,25 @@ def main(argv: list[str] | None = None) -> int:
         report.show(200, truncate=False)
         return 0 if checks.verdict(report).first()["passed"] else 1
     if args.command == "bronze":
-        print(J.job_bronze(spark, raw(), cfg()))
+        print(J.job_bronze(spark, raw, cfg()))
         return 0
     if args.command == "silver":
-        print(J.job_silver(spark, cfg()))
+        print(J.job_silver(spark, layers()))
         return 0
     if args.command == "check-silver":
-        c = cfg()
+        c = layers()
         report = checks.check_silver(spark.table(c.bronze_table), spark.table(c.silver_table),
                                      spark.table(c.quarantine_table), c.period_start, c.period_end)
         report.show(truncate=False)
         return 0 if checks.silver_verdict(report).first()["passed"] else 1
     if args.command == "gold":
-        for rec in J.job_gold(spark, cfg()):
+        for rec in J.job_gold(spark, layers()):
             print(rec)
         return 0
     if args.command == "run":
         try:
-            J.run_pipeline(spark, raw(), cfg(), landing_glob=args.landing).show(truncate=False)
-        except J.PipelineStepError as err:
+            J.run_pipeline(spark, raw, cfg(), landing_glob=args.landing).show(truncate=False)
+        except J.GateClosed as err:
             print(f"pipeline stopped: {err}", file=sys.stderr)
             return 1
         return 0

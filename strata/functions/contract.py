@@ -135,6 +135,3 @@ QUALITY_ISSUES = (
 # --- fixed values: zone dimension -------------------------------------------
 ZONE_COUNT = 265
 ZONE_LABEL_PREFIX = "zone_"
-
-# --- fixed values: medallion namespaces --------------------------------------
-MEDALLION_LAYERS = ("bronze", "silver", "gold")

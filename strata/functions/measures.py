@@ -1,51 +1,16 @@
 """Aggregate building blocks for the marts.
 
-Sums of measures are exact: each value is turned into a fixed-point integer
-(``floor(x * 10^scale + 0.5)``, a ``bigint``), the integers are summed, and
-the total is divided by ``10^scale`` once. A double sum depends on the order
-in which partitions are combined, so on a large cluster two runs (or the daily
-and monthly roll-ups) would differ in the last bits; an integer sum does not,
-so reconciliation between layers is exact at any scale. Summing ``bigint``
-keeps the aggregate on primitive longs inside whole-stage codegen (a decimal
-sum above 18 digits falls back to BigDecimal objects). ``scale=None`` gives
-the plain double sum instead.
+Measures are plain sums and averages of the values as they are: nothing is
+rounded or cut before it is added. Whoever needs equal bits from runs with
+different partitioning rounds the finished result (see ``rounded``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed-point scales: money, distance and durations to 4 decimal places.
-AMOUNT_SCALE = 4
-DURATION_SCALE = 4
-
-
-def _col(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
-def fixed_point(col: str | Column, scale: int) -> Column:
-    """The value in units of ``10^-scale`` as a ``bigint`` (halves round up)."""
-    return F.floor(_col(col) * F.lit(float(10 ** scale)) + F.lit(0.5))
-
-
-def exact_sum(col: str | Column, scale: int | None) -> Column:
-    """Sum of a numeric column as double; exact when ``scale`` is given."""
-    if scale is None:
-        return F.sum(_col(col).cast("double"))
-    return F.sum(fixed_point(col, scale)).cast("double") / F.lit(float(10 ** scale))
-
-
-def rollup_sum(col: str | Column, scale: int | None) -> Column:
-    """Sum of an already-summed double measure (e.g. daily to monthly)."""
-    return exact_sum(col, scale)
-
-
-def exact_avg(col: str, scale: int | None) -> Column:
-    """Average over non-NULL values: exact sum divided by the count."""
-    n = F.count(F.col(col))
-    return F.when(n > 0, exact_sum(col, scale) / n.cast("double"))
+NUDGE = 3e-7
 
 
 def count_flag(col: str) -> Column:
@@ -55,3 +20,15 @@ def count_flag(col: str) -> Column:
 
 def zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
+
+
+def rounded(df: DataFrame, places: int = 4) -> DataFrame:
+    """``df`` with its double columns rounded, as the last step of a query.
+
+    The order in which partitions are added shows in a double's last bits;
+    a rounded result does not depend on it. Averages of round amounts often lie
+    exactly between two rounded values, where the last bit would decide, so all
+    are moved up by a small part (``NUDGE``) first.
+    """
+    return df.select(*[F.round(F.col(c) + F.lit(NUDGE), places).alias(c) if t == "double" else F.col(c)
+                       for c, t in df.dtypes])

@@ -2,32 +2,43 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def lowercase_collisions(columns: Iterable[str]) -> list[str]:
-    counts = Counter(name.lower() for name in columns)
-    return sorted(name for name, n in counts.items() if n > 1)
+def clashes(names: Iterable[str]) -> list[str]:
+    """Names, lower-cased, that two or more of ``names`` have in common."""
+    seen: set[str] = set()
+    twice: set[str] = set()
+    for n in map(str.lower, names):
+        (twice if n in seen else seen).add(n)
+    return sorted(twice)
+
+
+def require_distinct(names: Iterable[str], what: str) -> None:
+    """Raise unless all names differ when letter case is ignored."""
+    if twice := clashes(names):
+        raise ValueError(f"{what}: ambiguous column names {', '.join(twice)}")
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
-    """Rename every column to lower case; raise if two names would collide.
+    """All columns under lower-case names, in their order.
 
-    Spark resolves names case-insensitively, so ``VendorID`` and ``vendorid``
-    must be compared as plain strings before anything is resolved.
+    The names are compared as strings first: Spark resolves names without
+    regard to case, so ``VendorID`` beside ``vendorid`` would be ambiguous.
     """
-    collisions = lowercase_collisions(df.columns)
-    if collisions:
-        raise ValueError(
-            "lowercasing column names would create duplicate columns: " + ", ".join(collisions)
-        )
-    return df.select(*[F.col(f"`{name}`").alias(name.lower()) for name in df.columns])
+    require_distinct(df.columns, "cannot lower-case")
+    return df.toDF(*map(str.lower, df.columns))
 
 
 def missing_columns(required: Iterable[str], actual: Iterable[str]) -> list[str]:
     """Sorted required names that are absent (exact, case-sensitive match)."""
     return sorted(set(required) - set(actual))
+
+
+def require_text(value: str, what: str) -> str:
+    """``value`` if it has a visible character, else ``ValueError``."""
+    if not (value or "").strip():
+        raise ValueError(f"{what} needs a value")
+    return value

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from strata.functions import contract as C
 from strata.functions import predicates as P
 from strata.functions.names import missing_columns
+from strata.operators.silver import LAYER_COLUMN, QUARANTINE, SILVER
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -131,22 +132,22 @@ def raw_warning_rules(
     return [
         Rule(C.PASSENGER_COUNT_NULL, C.WARN,
              F.col(C.PASSENGERS).isNull() if ok(C.PASSENGERS) else None,
-             "investigate NULL passenger counts"),
+             "rows without a passenger count"),
         Rule(C.TRIP_DISTANCE_ZERO, C.WARN,
              (F.col(C.DISTANCE) == 0) if ok(C.DISTANCE) else None,
-             "investigate trips with zero distance"),
+             "trips of no distance"),
         Rule(C.NEGATIVE_FARE_AMOUNT, C.WARN,
              (F.col(C.FARE) < 0) if ok(C.FARE) else None,
-             "investigate negative amounts"),
+             "amounts below zero"),
         Rule(C.NEGATIVE_TOTAL_AMOUNT, C.WARN,
              (F.col(C.TOTAL) < 0) if ok(C.TOTAL) else None,
-             "investigate negative amounts"),
+             "amounts below zero"),
         Rule(C.DROPOFF_BEFORE_PICKUP, C.WARN,
              (F.col(C.DROPOFF) < pickup) if ok(C.DROPOFF, C.PICKUP) else None,
-             "investigate in the silver step"),
+             "quarantined by the split"),
         Rule(C.PICKUP_OUTSIDE_PERIOD, C.WARN,
              ((pickup < start) | (pickup >= end)) if ok(C.PICKUP) else None,
-             "investigate rows outside the period"),
+             "rows of other periods"),
     ]
 
 
@@ -276,6 +277,30 @@ def check_silver(
     return counted.unionByName(schema_row)
 
 
+def check_split(labelled: DataFrame, period_start: datetime | date | str,
+                period_end: datetime | date | str,
+                expected: Sequence[str] = C.EXPECTED_SILVER_COLUMNS) -> DataFrame:
+    """The silver contract from ONE scan: the split's rows with their layer."""
+    pick, drop = F.col(C.PICKUP.lower()), F.col(C.DROPOFF.lower())
+    ptype = P.column_type(labelled, C.PICKUP.lower())
+    start, end = P.ts_bound(period_start, ptype), P.ts_bound(period_end, ptype)
+    kept = F.col(LAYER_COLUMN) == F.lit(SILVER)
+    wide = labelled.agg(
+        (F.count(F.lit(1)) - F.count_if(kept)
+         - F.count_if(F.col(LAYER_COLUMN) == F.lit(QUARANTINE))).alias("lost"),
+        P.count_true(kept & (drop < pick)).alias("n_before"),
+        P.count_true(kept & ((pick < start) | (pick >= end))).alias("n_outside"))
+    absent = len(missing_columns(expected, labelled.columns))
+    rows = F.array(
+        _result_row(C.RECONCILIATION, C.FAIL, F.abs("lost"), "raw = silver + quarantine"),
+        _result_row(C.SILVER_SCHEMA, C.FAIL, F.lit(absent), "all silver columns present"),
+        _result_row(C.DROPOFF_BEFORE_PICKUP, C.FAIL, F.col("n_before"), "no dropoff before pickup"),
+        _result_row(C.PICKUP_OUTSIDE_PERIOD, C.FAIL, F.col("n_outside"), "no pickup outside the period"))
+    return wide.select(F.inline(rows)).select(
+        "name", "severity", "observed", "passed", status(F.col("passed"), F.col("severity")).alias("status"),
+        "expectation")
+
+
 def silver_verdict(report: DataFrame) -> DataFrame:
     """Passes only when every silver check passes."""
     return report.agg(

@@ -7,8 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.measures import AMOUNT_SCALE, rollup_sum
-
 
 def monthly_kpis(monthly: DataFrame) -> DataFrame:
     return monthly.select(
@@ -33,12 +31,12 @@ def total_trips(monthly: DataFrame) -> DataFrame:
     return monthly.agg(F.sum("total_trips").alias("total_trips"))
 
 
-def total_amount(monthly: DataFrame, scale: int | None = AMOUNT_SCALE) -> DataFrame:
-    return monthly.agg(rollup_sum("total_amount", scale).alias("total_amount"))
+def total_amount(monthly: DataFrame) -> DataFrame:
+    return monthly.agg(F.sum("total_amount").alias("total_amount"))
 
 
-def total_distance(monthly: DataFrame, scale: int | None = AMOUNT_SCALE) -> DataFrame:
-    return monthly.agg(rollup_sum("total_distance_miles", scale).alias("total_distance_miles"))
+def total_distance(monthly: DataFrame) -> DataFrame:
+    return monthly.agg(F.sum("total_distance_miles").alias("total_distance_miles"))
 
 
 def average_amount_for_month(monthly: DataFrame, month: date | str) -> DataFrame:

@@ -1,24 +1,22 @@
 """Zone dimension and the fact-to-dimension left join.
 
-The broadcast strategy ships the dimension to every task, so it is used only
-behind a size check; beyond the bound the same join runs as a sort-merge join
-(AQE can still switch to broadcast at run time, and splits skewed fact
-partitions when one zone holds a large share of the trips).
+``auto`` leaves the choice to Spark, which broadcasts a side only below its own
+byte threshold. ``broadcast`` is for a dimension with a row bound that is
+checked first and raises beyond it. ``merge`` spreads every key over ``salt``
+parts of the fact (and repeats the dimension's rows as often), so a key space
+of a few hundred equally heavy zones still fills a large cluster.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import contract as C
 
-log = logging.getLogger(__name__)
-
 # Upper bound on dimension rows we are willing to broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 100_000
+SALT = 16
 
 
 def zone_dim(spark: SparkSession, n: int = C.ZONE_COUNT) -> DataFrame:
@@ -37,36 +35,31 @@ def trips_for_join(trips: DataFrame, period_start: str, period_end: str) -> Data
     )
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when the dimension has at most ``max_rows`` rows (stops counting early)."""
-    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    return dim.limit(bound + 1).count() <= bound
-
-
 def zone_join(
     fact: DataFrame,
     dim: DataFrame,
     strategy: str = "auto",
     fact_key: str = "pickup_location_id",
     dim_key: str = "location_id",
-    dim_rows_bound: int | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    salt: int = SALT,
 ) -> DataFrame:
-    """Left outer join of the fact to the dimension.
+    """Left outer join of the fact to the dimension by the strategy asked for.
 
-    ``strategy``: ``"merge"`` forces a sort-merge join; ``"broadcast"`` and
-    ``"auto"`` broadcast the dimension when its row count is proven to be at
-    most ``MAX_BROADCAST_ROWS`` (``dim_rows_bound`` when known, else a bounded
-    count), and otherwise fall back to the sort-merge join.
+    ``broadcast`` counts the dimension and raises ``ValueError`` when it has
+    more than ``max_rows`` rows; it never turns into another join.
     """
-    cond = fact[fact_key] == dim[dim_key]
+    if strategy == "auto":
+        return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
+    if strategy == "broadcast":
+        rows = dim.count()
+        if rows > max_rows:
+            raise ValueError(f"dimension of {rows} rows is above the broadcast bound of {max_rows}")
+        return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], "left")
     if strategy == "merge":
-        return fact.hint("merge").join(dim.hint("merge"), cond, "left")
-    if strategy not in ("broadcast", "auto"):
-        raise ValueError(f"unknown join strategy: {strategy}")
-    small = (dim_rows_bound is not None and dim_rows_bound <= MAX_BROADCAST_ROWS) or (
-        dim_rows_bound is None and fits_broadcast(dim)
-    )
-    if small:
-        return fact.join(F.broadcast(dim), cond, "left")
-    log.warning("dimension above the broadcast bound; using a sort-merge join")
-    return fact.hint("merge").join(dim.hint("merge"), cond, "left")
+        left = fact.withColumn("_salt", F.monotonically_increasing_id() % F.lit(salt))
+        right = dim.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+        met = left.hint("merge").join(
+            right.hint("merge"), (left[fact_key] == right[dim_key]) & (left["_salt"] == right["_part"]), "left")
+        return met.drop("_salt", "_part")
+    raise ValueError(f"unknown join strategy: {strategy}")

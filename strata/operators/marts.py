@@ -59,25 +59,19 @@ def enrich(staged: DataFrame) -> DataFrame:
     )
 
 
-def daily_mart(
-    enriched: DataFrame,
-    amount_scale: int | None = M.AMOUNT_SCALE,
-    duration_scale: int | None = M.DURATION_SCALE,
-) -> DataFrame:
+def daily_mart(enriched: DataFrame) -> DataFrame:
     """One row per ``pickup_date`` with 13 measures."""
     trips = F.count(F.lit(1))
     return enriched.groupBy("pickup_date").agg(
         trips.alias("trip_count"),
         F.count("passenger_count").alias("trips_with_passenger_count"),
         F.sum(F.col("passenger_count").cast("bigint")).alias("known_passenger_count"),
-        M.exact_sum("trip_distance_miles", amount_scale).alias("total_distance_miles"),
-        M.exact_avg("trip_distance_miles", amount_scale).alias("average_trip_distance_miles"),
-        M.exact_avg("trip_duration_minutes", duration_scale).alias(
-            "average_trip_duration_minutes"
-        ),
-        M.exact_sum("fare_amount", amount_scale).alias("total_fare_amount"),
-        M.exact_sum("total_amount", amount_scale).alias("total_amount"),
-        safe_ratio(M.exact_sum("total_amount", amount_scale), trips.cast("double")).alias(
+        F.sum("trip_distance_miles").alias("total_distance_miles"),
+        F.avg("trip_distance_miles").alias("average_trip_distance_miles"),
+        F.avg("trip_duration_minutes").alias("average_trip_duration_minutes"),
+        F.sum("fare_amount").alias("total_fare_amount"),
+        F.sum("total_amount").alias("total_amount"),
+        safe_ratio(F.sum("total_amount"), trips.cast("double")).alias(
             "average_amount_per_trip"
         ),
         M.count_flag("is_zero_distance").alias("zero_distance_trip_count"),
@@ -91,14 +85,14 @@ def pickup_month(date_col: str = "pickup_date"):
     return F.trunc(F.col(date_col), "month").alias("pickup_month")
 
 
-def monthly_mart(daily: DataFrame, amount_scale: int | None = M.AMOUNT_SCALE) -> DataFrame:
+def monthly_mart(daily: DataFrame) -> DataFrame:
     """Monthly KPIs rolled up from the daily mart; the ratio is recomputed."""
     trips = F.sum("trip_count")
-    amount = M.rollup_sum("total_amount", amount_scale)
+    amount = F.sum("total_amount")
     return daily.groupBy(pickup_month()).agg(
         trips.alias("total_trips"),
         amount.alias("total_amount"),
-        M.rollup_sum("total_distance_miles", amount_scale).alias("total_distance_miles"),
+        F.sum("total_distance_miles").alias("total_distance_miles"),
         safe_ratio(amount, trips.cast("double")).alias("average_amount_per_trip"),
     )
 
@@ -151,8 +145,6 @@ def daily_study(
     pickup: str = C.PICKUP,
     dropoff: str = C.DROPOFF,
     distance: str = C.DISTANCE,
-    amount_scale: int | None = M.AMOUNT_SCALE,
-    duration_scale: int | None = M.DURATION_SCALE,
 ) -> DataFrame:
     """Count, total distance and average duration per pickup day of a period.
 
@@ -174,7 +166,7 @@ def daily_study(
         .groupBy("pickup_date")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            M.exact_sum(distance, amount_scale).alias("total_distance"),
-            M.exact_avg("trip_duration_minutes", duration_scale).alias("avg_duration_minutes"),
+            F.sum(distance).alias("total_distance"),
+            F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
         )
     )

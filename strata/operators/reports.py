@@ -96,6 +96,29 @@ def checkpoint_report(
     )
 
 
+def checkpoint_from_split(labelled: DataFrame, period_start: datetime | date | str,
+                          period_end: datetime | date | str) -> DataFrame:
+    """The checkpoint report from ONE scan: the split's rows with their layer."""
+    pick, drop = F.col(C.PICKUP.lower()), F.col(C.DROPOFF.lower())
+    ptype = P.column_type(labelled, C.PICKUP.lower())
+    start, end = P.ts_bound(period_start, ptype), P.ts_bound(period_end, ptype)
+    kept = F.col(LAYER_COLUMN) == F.lit(SILVER)
+    flags = {"zero_distance_rows": C.IS_ZERO_DISTANCE, "negative_fare_rows": C.HAS_NEGATIVE_FARE,
+             "negative_total_rows": C.HAS_NEGATIVE_TOTAL,
+             "passenger_count_null_rows": C.IS_PASSENGER_COUNT_NULL}
+    counts = labelled.agg(
+        F.count(F.lit(1)).alias("bronze_count"),
+        F.count_if(kept).alias("silver_count"),
+        F.count_if(F.col(LAYER_COLUMN) == F.lit(QUARANTINE)).alias("quarantine_count"),
+        P.count_true(kept & ((pick < start) | (pick >= end))).alias("pickup_outside_period"),
+        P.count_true(kept & (drop < pick)).alias("dropoff_before_pickup"),
+        *[P.count_true(kept & F.col(c)).alias(name) for name, c in flags.items()],
+    )
+    matches = F.col("bronze_count") == F.col("silver_count") + F.col("quarantine_count")
+    return counts.select("bronze_count", "silver_count", "quarantine_count", matches.alias("reconciled"),
+                         "pickup_outside_period", "dropoff_before_pickup", *flags)
+
+
 def reason_counts(quarantine: DataFrame) -> DataFrame:
     """Quarantined rows per reason, ordered by reason."""
     return (

@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from strata.functions import contract as C
 from strata.functions import predicates as P
-from strata.functions.names import lowercase_collisions
+from strata.functions.names import require_distinct, require_text
 
 LAYER_COLUMN = "_layer"
 SILVER = "silver"
 QUARANTINE = "quarantine"
+# Every column that the split, its label or the published layout adds.
+DERIVED_COLUMNS = (C.DURATION_COLUMN, C.IS_ZERO_DISTANCE, C.HAS_NEGATIVE_FARE, C.HAS_NEGATIVE_TOTAL,
+                   C.IS_PASSENGER_COUNT_NULL, C.REASON_COLUMN, LAYER_COLUMN, "year", "month")
 
 
 def add_lineage(df: DataFrame, source_file: str | None = None) -> DataFrame:
@@ -30,11 +33,9 @@ def add_lineage(df: DataFrame, source_file: str | None = None) -> DataFrame:
     ``None`` the name comes from the scan's ``_metadata.file_name``, which is
     right when a directory of many files is read at once.
     """
-    if source_file is None:
-        return df.withColumn(C.SOURCE_FILE_COLUMN, F.col("_metadata.file_name"))
-    if not source_file or not source_file.strip():
-        raise ValueError("source_file must not be empty or blank")
-    return df.withColumn(C.SOURCE_FILE_COLUMN, F.lit(source_file))
+    lineage = (F.col("_metadata.file_name") if source_file is None
+               else F.lit(require_text(source_file, "the source file's name")))
+    return df.select("*", lineage.alias(C.SOURCE_FILE_COLUMN))
 
 
 @dataclass(frozen=True)
@@ -77,11 +78,7 @@ def _outputs(
     duration, flags), computed once from the bronze schema."""
     P.check_period(period_start, period_end)
     names = bronze.columns
-    collisions = lowercase_collisions(names + [C.DURATION_COLUMN])
-    if collisions:
-        raise ValueError(
-            "lowercasing column names would create duplicate columns: " + ", ".join(collisions)
-        )
+    require_distinct([*names, *DERIVED_COLUMNS], "the split adds columns of its own")
     rules = blocking_rules(bronze, period_start, period_end, cols)
     out = [F.col(f"`{n}`").alias(n.lower()) for n in names]
     out.append(P.duration_minutes(cols.pickup, cols.dropoff).alias(C.DURATION_COLUMN))

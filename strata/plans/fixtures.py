@@ -2,7 +2,7 @@
 
 The driver tables hold no trips, so a trip fact is derived from
 ``lineitem`` joined with ``orders``: timestamps from the order and ship dates
-plus a minute offset, NULLs and negative amounts from key arithmetic. The
+plus an offset in seconds, NULLs and negative amounts from key arithmetic. The
 view reads every row of both tables, so its size grows with the scale factor.
 The same view is written as DuckDB SQL so the oracle texts can start from it.
 """
@@ -21,9 +21,9 @@ SOURCE_FILE = "lineitem.parquet"
 _TRIPS_SPARK = """
 SELECT CAST(l_suppkey AS INT) AS VendorID,
        CASE WHEN l_partkey % 97 = 0 THEN NULL
-            ELSE timestampadd(MINUTE, (l_partkey * 7919) % 1440, o_orderdate) END AS tpep_pickup_datetime,
+            ELSE timestampadd(SECOND, (l_partkey * 7919) % 86400, o_orderdate) END AS tpep_pickup_datetime,
        CASE WHEN l_partkey % 89 = 0 THEN NULL
-            ELSE timestampadd(MINUTE, (l_suppkey * 104729) % 1440, l_shipdate) END AS tpep_dropoff_datetime,
+            ELSE timestampadd(SECOND, (l_suppkey * 104729) % 86400, l_shipdate) END AS tpep_dropoff_datetime,
        CAST(NULLIF(l_linenumber, 7) AS BIGINT) AS passenger_count,
        CASE WHEN l_tax = 0 THEN CAST(0 AS DOUBLE) ELSE l_quantity END AS trip_distance,
        CAST(l_partkey % 270 + 1 AS INT) AS PULocationID,
@@ -39,9 +39,9 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 TRIPS_DUCKDB = """
 SELECT CAST(l_suppkey AS INT) AS "VendorID",
        CASE WHEN l_partkey % 97 = 0 THEN NULL
-            ELSE o_orderdate + to_minutes((l_partkey * 7919) % 1440) END AS tpep_pickup_datetime,
+            ELSE o_orderdate + to_seconds((l_partkey * 7919) % 86400) END AS tpep_pickup_datetime,
        CASE WHEN l_partkey % 89 = 0 THEN NULL
-            ELSE l_shipdate + to_minutes((l_suppkey * 104729) % 1440) END AS tpep_dropoff_datetime,
+            ELSE l_shipdate + to_seconds((l_suppkey * 104729) % 86400) END AS tpep_dropoff_datetime,
        CAST(NULLIF(l_linenumber, 7) AS BIGINT) AS passenger_count,
        CASE WHEN l_tax = 0 THEN CAST(0 AS DOUBLE) ELSE l_quantity END AS trip_distance,
        CAST(l_partkey % 270 + 1 AS INT) AS "PULocationID",
@@ -70,30 +70,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def spread_if_single_split(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an input that arrives as fewer splits than there are cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` hash-partitioned by ``key`` into the session's shuffle partitions.
 
-    The driver tables are single files with one row group, which Spark cannot
-    split: the whole query would run in one task. Spreading by a key (not
-    round-robin, so a retried task sees the same rows) lets the join, the
-    rules and the partial aggregates use every core. A large input already
-    has more splits than cores and is returned unchanged (no shuffle).
+    The join that follows needs that partitioning, so the shuffle is one that it
+    would ask for. A hash keeps a retried task's rows the same.
     """
-    cores = spark_parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. no RDD access: leave the plan as is
-        return df
-    return df.repartition(cores, key) if splits < cores else df
-
-
-def spark_parallelism(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism, 1)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw trip fact (FIXTURES.md section 3) over the whole tables."""
-    lineitem = spread_if_single_split(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     return spark.sql(_TRIPS_SPARK.format(lineitem="{lineitem}", orders="{orders}"),
                      lineitem=lineitem, orders=orders)
@@ -105,22 +93,20 @@ def trips_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.filter(t["tpep_pickup_datetime"].isNotNull() & t["tpep_dropoff_datetime"].isNotNull())
 
 
-TRIPS_CLEAN_DUCKDB = (
-    "SELECT * FROM (" + TRIPS_DUCKDB + ") "
-    "WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL"
-)
-
-
-def trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     """The trip fact as a stream: lineitem files arrive, orders is a static side.
 
     A stream-static inner join needs no state; every lineitem row is joined
-    with the order it belongs to as it arrives.
+    with the order it belongs to as it arrives. ``files_per_batch`` bounds a
+    micro-batch; by default one takes all files that are there.
     """
     schema = table(spark, sf_dir, "lineitem").schema
     # a glob that matches the lineitem file(s): the file source watches a folder
     pattern = os.path.join(sf_dir, "lineitem*.parquet")
-    lineitem = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(pattern)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lineitem = reader.parquet(pattern)
     orders = table(spark, sf_dir, "orders")
     return spark.sql(_TRIPS_SPARK.format(lineitem="{lineitem}", orders="{orders}"),
                      lineitem=lineitem, orders=orders)

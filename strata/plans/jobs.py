@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import contract as C
+from strata.functions import predicates as P
+from strata.functions.names import missing_columns
 from strata.operators import checks, marts, silver
 from strata.sources import audit as A
 from strata.sources import landing, publish, storage
 
 
-class PipelineStepError(RuntimeError):
-    """A step finished without meeting its contract; later steps do not run."""
+class GateClosed(RuntimeError):
+    """A check said no: nothing after it runs and nothing it guards is published."""
 
 
 @dataclass
@@ -31,11 +33,13 @@ class PipelineConfig:
     period_end: str
     source_file: str
     root: str
-    run_id: str = field(default_factory=A.new_run_id)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     pipeline: str = "trips_medallion"
     bronze_schema: str = "strata_bronze"
     silver_schema: str = "strata_silver"
     gold_schema: str = "strata_gold"
+    # "block": a failing raw check stops the run; "report": it is audited only
+    raw_gate: str = "block"
 
     @property
     def bronze_table(self) -> str:
@@ -84,12 +88,12 @@ def _audited(spark: SparkSession, cfg: PipelineConfig, step: str,
              body: Callable[[dict], None]) -> dict:
     """Run ``body(fields)``; append a SUCCESS or FAILED record with the fields it set."""
     fields: dict = {"source_file": cfg.source_file}
-    started = A.utc_now()
+    started = A.clock()
     try:
         body(fields)
     except Exception as err:
         rec = A.record(cfg.run_id, cfg.pipeline, step, A.FAILED, started,
-                       error_type=type(err).__name__, error_message=str(err)[:2000], **fields)
+                       error_type=type(err).__name__, error_message=str(err), **fields)
         A.append_audit(spark, rec, cfg.audit_path)
         raise
     rec = A.record(cfg.run_id, cfg.pipeline, step, A.SUCCESS, started, **fields)
@@ -102,20 +106,52 @@ def ensure_layers(spark: SparkSession, cfg: PipelineConfig) -> None:
                            comment="medallion layer", root=cfg.root)
 
 
+def resolve_tables(spark: SparkSession, cfg: PipelineConfig) -> None:
+    """Point the layers' names at their last published versions under ``cfg.root``.
+
+    A session with its own in-memory catalog does not know what another process
+    published; the audit under the root does.
+    """
+    ensure_layers(spark, cfg)
+    published = A.read_audit(spark, cfg.audit_path).filter(
+        (F.col("status") == A.SUCCESS) & F.col("table_location").isNotNull())
+    # one row per table: a handful
+    last = published.groupBy("table_name").agg(F.max_by("table_location", "ended_at").alias("path"))
+    found = {r["table_name"]: r["path"] for r in last.collect()}
+    for name in (cfg.bronze_table, cfg.daily_table, cfg.monthly_table, cfg.quality_table):
+        if name in found and not spark.catalog.tableExists(name):
+            publish.point_table(spark, name, found[name], spark.read.parquet(found[name]).schema)
+    if cfg.silver_table in found:
+        for name, layer, drop in ((cfg.silver_table, silver.SILVER, C.REASON_COLUMN),
+                                  (cfg.quarantine_table, silver.QUARANTINE, None)):
+            path = f"{found[cfg.silver_table]}/{silver.LAYER_COLUMN}={layer}"
+            if not spark.catalog.tableExists(name) and storage.exists(spark, path):
+                schema = spark.read.parquet(path).schema
+                publish.point_table(spark, name, path, type(schema)([f for f in schema if f.name != drop]))
+
+
 # ---------------------------------------------------------------------------
 # Bronze
 # ---------------------------------------------------------------------------
 
-def job_bronze(spark: SparkSession, raw: DataFrame, cfg: PipelineConfig) -> dict:
-    """Raw plus lineage, published as a new version of the bronze table."""
+def job_bronze(spark: SparkSession, raw: DataFrame | Callable[[], DataFrame], cfg: PipelineConfig,
+               expected_rows: int | None = None) -> dict:
+    """Raw plus lineage, published as a new version of the bronze table.
+
+    ``raw`` may be a function that opens the input, so that a missing file is an
+    audited failure of this step. ``expected_rows`` is the raw gate's count.
+    """
     ensure_layers(spark, cfg)
 
     def body(f: dict) -> None:
-        bronze = silver.add_lineage(raw, cfg.source_file)
+        bronze = silver.add_lineage(raw() if callable(raw) else raw, cfg.source_file)
         staged = publish.stage(bronze, _version_dir(cfg, cfg.bronze_table))
+        rows = staged.metrics["rows"]
+        f.update(raw_count=rows)
+        if expected_rows is not None and rows != expected_rows:
+            raise GateClosed(f"bronze has {rows} rows, the raw input had {expected_rows}")
         publish.publish(spark, cfg.bronze_table, staged)
-        f.update(table_name=cfg.bronze_table, table_location=staged.path,
-                 raw_count=staged.metrics["rows"])
+        f.update(table_name=cfg.bronze_table, table_location=staged.path)
 
     return _audited(spark, cfg, "bronze", body)
 
@@ -135,22 +171,36 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig) ->
     silver and quarantine counts, so reconciliation needs no extra pass.
     """
     labelled = silver.labelled(bronze, cfg.period_start, cfg.period_end)
+    pick, drop = F.col(C.PICKUP.lower()), F.col(C.DROPOFF.lower())
+    bound = P.column_type(labelled, C.PICKUP.lower())
+    outside = (pick < P.ts_bound(cfg.period_start, bound)) | (pick >= P.ts_bound(cfg.period_end, bound))
     labelled = publish.with_year_month(labelled, C.PICKUP.lower())
     layer = F.col(silver.LAYER_COLUMN)
-    # One month (the regular run): every task holds rows of that month only, so
-    # the write stays map-only. A multi-month backfill is not clustered by
-    # month; a REBALANCE shuffle then keeps files per month few and large.
-    backfill = len(publish.months_between(cfg.period_start, cfg.period_end)) > 1
+    kept = layer == F.lit(silver.SILVER)
+    # Quarantined rows lie in any month, so without clustering every task would
+    # write a file for every month; REBALANCE also splits a heavy month.
     return publish.stage(
         labelled,
         _version_dir(cfg, cfg.silver_table),
         partition_by=(silver.LAYER_COLUMN, *SILVER_PARTITIONS),
-        metrics=[F.count_if(layer == F.lit(silver.SILVER)).alias("silver"),
-                 F.count_if(layer == F.lit(silver.QUARANTINE)).alias("quarantine")],
-        rebalance=backfill,
+        metrics=[F.count_if(kept).alias("silver"),
+                 F.count_if(layer == F.lit(silver.QUARANTINE)).alias("quarantine"),
+                 F.count_if(kept & (drop < pick)).alias(C.DROPOFF_BEFORE_PICKUP),
+                 F.count_if(kept & outside).alias(C.PICKUP_OUTSIDE_PERIOD)],
+        rebalance=True,
     )
 
 
+def silver_gate(staged: publish.Staged) -> list[str]:
+    """The silver rules that a staged write breaks, from what was observed in it."""
+    m = staged.metrics
+    broken = [rule for rule in (C.DROPOFF_BEFORE_PICKUP, C.PICKUP_OUTSIDE_PERIOD) if m[rule]]
+    if m["rows"] != m["silver"] + m["quarantine"]:
+        broken.insert(0, C.RECONCILIATION)
+    names = [f.name for f in staged.schema.fields]
+    return broken + [C.SILVER_SCHEMA] * bool(missing_columns(C.EXPECTED_SILVER_COLUMNS, names))
+
+
 def reconcile(metrics: dict) -> tuple[int, int, int]:
     """Raise unless raw = silver + quarantine (checked before publishing)."""
     raw, s, q = metrics["rows"], metrics["silver"], metrics["quarantine"]
@@ -159,27 +209,32 @@ def reconcile(metrics: dict) -> tuple[int, int, int]:
     return raw, s, q
 
 
-def job_silver(spark: SparkSession, cfg: PipelineConfig,
-               bronze: DataFrame | None = None) -> dict:
-    """Split bronze, reconcile the staged counts, then publish both tables.
+def job_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None,
+               expected_rows: int | None = None) -> dict:
+    """Split bronze, check the staged write, then publish both tables.
 
     Silver and quarantine are replaced as whole versions, so a run without
-    rejected rows leaves an empty quarantine table and no stale rows.
+    rejected rows leaves an empty quarantine table and no stale rows. Nothing is
+    published when a count or a silver rule fails.
     """
     ensure_layers(spark, cfg)
 
     def body(f: dict) -> None:
         source = bronze if bronze is not None else spark.table(cfg.bronze_table)
         staged = stage_silver(spark, source, cfg)
-        f.update(raw_count=staged.metrics["rows"], silver_count=staged.metrics["silver"],
-                 quarantine_count=staged.metrics["quarantine"])
-        reconcile(staged.metrics)
+        m = staged.metrics
+        f.update(raw_count=m["rows"], silver_count=m["silver"], quarantine_count=m["quarantine"])
+        reconcile(m)
+        if expected_rows is not None and m["rows"] != expected_rows:
+            raise GateClosed(f"silver saw {m['rows']} rows, the raw input had {expected_rows}")
+        if broken := silver_gate(staged):
+            raise GateClosed(f"silver validation failed: {', '.join(broken)}")
         publish.publish(spark, cfg.silver_table, staged,
                         subpath=f"{silver.LAYER_COLUMN}={silver.SILVER}",
-                        drop=(silver.LAYER_COLUMN, C.REASON_COLUMN))
+                        drop=(silver.LAYER_COLUMN, C.REASON_COLUMN), rows=m["silver"])
         publish.publish(spark, cfg.quarantine_table, staged,
                         subpath=f"{silver.LAYER_COLUMN}={silver.QUARANTINE}",
-                        drop=(silver.LAYER_COLUMN,))
+                        drop=(silver.LAYER_COLUMN,), rows=m["quarantine"])
         f.update(table_name=cfg.silver_table, table_location=staged.path)
 
     return _audited(spark, cfg, "silver", body)
@@ -219,41 +274,45 @@ def job_gold(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
 # ---------------------------------------------------------------------------
 
 def _gate(spark: SparkSession, cfg: PipelineConfig, step: str,
-          check: Callable[[], DataFrame], message: str) -> None:
+          check: Callable[[dict], DataFrame], message: str, block: bool = True) -> dict:
     def body(f: dict) -> None:
-        verdict = check().first()
-        if not verdict["passed"]:
-            raise PipelineStepError(message)
+        verdict = check(f).first()
+        if block and not verdict["passed"]:
+            raise GateClosed(message)
 
-    _audited(spark, cfg, step, body)
+    return _audited(spark, cfg, step, body)
 
 
 def run_pipeline(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | Callable[[], DataFrame],
     cfg: PipelineConfig,
     landing_glob: str | None = None,
 ) -> DataFrame:
-    """Landing -> raw gate -> bronze -> silver -> silver gate -> gold.
+    """Landing -> raw gate -> bronze -> silver -> gold.
 
     Each gate must pass before the next step runs; a failing gate raises
-    ``PipelineStepError`` after auditing it. Returns this run's audit rows.
+    ``GateClosed`` after auditing it (``cfg.raw_gate`` "report" lets the raw gate
+    only report). The raw input's rows are counted, and bronze and silver must
+    have as many. Silver's rules are checked on the staged write, before
+    anything of it is published. Returns this run's audit rows.
     """
     if landing_glob:
-        def landing_check() -> DataFrame:
+        def landing_check(f: dict) -> DataFrame:
             checked = landing.check_landing(landing.list_files(spark, landing_glob))
             return checked.agg(F.coalesce(F.bool_and("valid"), F.lit(False)).alias("passed"))
         _gate(spark, cfg, "landing", landing_check, "landing validation failed")
-    _gate(spark, cfg, "raw_validation",
-          lambda: checks.verdict(checks.check_raw(raw, cfg.period_start, cfg.period_end)),
-          "raw validation failed")
-    job_bronze(spark, raw, cfg)
-    job_silver(spark, cfg)
-    _gate(spark, cfg, "silver_validation",
-          lambda: checks.silver_verdict(checks.check_silver(
-              spark.table(cfg.bronze_table), spark.table(cfg.silver_table),
-              spark.table(cfg.quarantine_table), cfg.period_start, cfg.period_end)),
-          "silver validation failed")
+    opened: list[DataFrame] = []
+
+    def raw_check(f: dict) -> DataFrame:
+        opened.append(raw() if callable(raw) else raw)
+        f["raw_count"] = opened[0].count()
+        return checks.verdict(checks.check_raw(opened[0], cfg.period_start, cfg.period_end))
+
+    gate = _gate(spark, cfg, "raw_validation", raw_check, "raw validation failed",
+                 block=cfg.raw_gate == "block")
+    job_bronze(spark, opened[0], cfg, expected_rows=gate["raw_count"])
+    job_silver(spark, cfg, expected_rows=gate["raw_count"])
     job_gold(spark, cfg)
     return run_audit(spark, cfg)
 

@@ -42,17 +42,16 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_mart(enriched(spark, sf_dir))
 
 
-def daily_checkpointed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily mart computed once and saved in the shared checkpoint folder.
+def daily_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart written as a published version and read back.
 
-    For queries that read the daily mart several times (monthly, quality and
-    their checks): the fact table is aggregated once and the small result is
-    reread, instead of every branch aggregating the trips again.
+    For checks that read the daily mart several times (monthly, quality and
+    their rules): the fact table is aggregated once, by the publish.
     """
-    from strata.sources import storage
+    from strata.sources import publish, storage
 
-    storage.checkpoint_root(spark)
-    return daily(spark, sf_dir).checkpoint(eager=True)
+    staged = publish.stage(daily(spark, sf_dir), storage.new_dir(spark, "published", "daily"))
+    return spark.read.schema(staged.schema).parquet(staged.path)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:

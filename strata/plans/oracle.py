@@ -7,9 +7,8 @@ Each text restates the query in plain SQL over the registered driver tables
 from __future__ import annotations
 
 from strata.functions import contract as C
-from strata.operators import checks as K
 from strata.plans.fixtures import PERIOD_END, PERIOD_START
-from strata.plans.oracle_base import dsum, rsum, with_ctes
+from strata.plans.oracle_base import with_ctes
 
 _PS, _PE = f"TIMESTAMP '{PERIOD_START}'", f"TIMESTAMP '{PERIOD_END}'"
 _PICK, _DROP = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -40,12 +39,12 @@ def _null_rules_meta():
 
 
 _WARN_META = [
-    (C.PASSENGER_COUNT_NULL, C.WARN, "investigate NULL passenger counts", "passenger_count IS NULL"),
-    (C.TRIP_DISTANCE_ZERO, C.WARN, "investigate trips with zero distance", "trip_distance = 0"),
-    (C.NEGATIVE_FARE_AMOUNT, C.WARN, "investigate negative amounts", "fare_amount < 0"),
-    (C.NEGATIVE_TOTAL_AMOUNT, C.WARN, "investigate negative amounts", "total_amount < 0"),
-    (C.DROPOFF_BEFORE_PICKUP, C.WARN, "investigate in the silver step", f"{_DROP} < {_PICK}"),
-    (C.PICKUP_OUTSIDE_PERIOD, C.WARN, "investigate rows outside the period",
+    (C.PASSENGER_COUNT_NULL, C.WARN, "rows without a passenger count", "passenger_count IS NULL"),
+    (C.TRIP_DISTANCE_ZERO, C.WARN, "trips of no distance", "trip_distance = 0"),
+    (C.NEGATIVE_FARE_AMOUNT, C.WARN, "amounts below zero", "fare_amount < 0"),
+    (C.NEGATIVE_TOTAL_AMOUNT, C.WARN, "amounts below zero", "total_amount < 0"),
+    (C.DROPOFF_BEFORE_PICKUP, C.WARN, "quarantined by the split", f"{_DROP} < {_PICK}"),
+    (C.PICKUP_OUTSIDE_PERIOD, C.WARN, "rows of other periods",
      f"({_PICK} < {_PS} OR {_PICK} >= {_PE})"),
 ]
 
@@ -121,40 +120,72 @@ def _unique_part(model: str, table: str, keys: list[str]) -> str:
             f"GROUP BY {k} HAVING COUNT(*) > 1)")
 
 
+# The 27 rules: rule, stage, classification and what counts as a finding.
+_KEPT = (f"{_PICK} IS NOT NULL AND {_DROP} IS NOT NULL AND {_PICK} >= {_PS} AND {_PICK} < {_PE} "
+         f"AND {_DROP} >= {_PICK}")
+_RULES = [
+    ("null_VendorID", "raw", "blocking", 'COUNT_IF("VendorID" IS NULL)'),
+    ("null_tpep_pickup_datetime", "raw", "blocking", f"COUNT_IF({_PICK} IS NULL)"),
+    ("null_tpep_dropoff_datetime", "raw", "blocking", f"COUNT_IF({_DROP} IS NULL)"),
+    ("null_trip_distance", "raw", "blocking", "COUNT_IF(trip_distance IS NULL)"),
+    ("null_PULocationID", "raw", "blocking", 'COUNT_IF("PULocationID" IS NULL)'),
+    ("null_DOLocationID", "raw", "blocking", 'COUNT_IF("DOLocationID" IS NULL)'),
+    ("null_payment_type", "raw", "blocking", "COUNT_IF(payment_type IS NULL)"),
+    ("null_total_amount", "raw", "blocking", "COUNT_IF(total_amount IS NULL)"),
+    ("required_columns", "raw", "blocking", "0"),
+    ("passenger_count_null", "raw", "warning", "COUNT_IF(passenger_count IS NULL)"),
+    ("trip_distance_zero", "raw", "warning", "COUNT_IF(trip_distance = 0)"),
+    ("negative_fare_amount", "raw", "warning", "COUNT_IF(fare_amount < 0)"),
+    ("negative_total_amount", "raw", "warning", "COUNT_IF(total_amount < 0)"),
+    ("dropoff_before_pickup", "raw", "warning", f"COUNT_IF({_DROP} < {_PICK})"),
+    ("pickup_outside_period", "raw", "warning", f"COUNT_IF({_PICK} < {_PS} OR {_PICK} >= {_PE})"),
+    ("missing_pickup_datetime", "silver split", "quarantine", f"COUNT_IF({_PICK} IS NULL)"),
+    ("missing_dropoff_datetime", "silver split", "quarantine", f"COUNT_IF({_DROP} IS NULL)"),
+    ("pickup_outside_period", "silver split", "quarantine", f"COUNT_IF({_PICK} < {_PS} OR {_PICK} >= {_PE})"),
+    ("dropoff_before_pickup", "silver split", "quarantine", f"COUNT_IF({_DROP} < {_PICK})"),
+    ("is_zero_distance", "silver flag", "warning", "COUNT_IF(trip_distance = 0)"),
+    ("has_negative_fare", "silver flag", "warning", "COUNT_IF(fare_amount < 0)"),
+    ("has_negative_total", "silver flag", "warning", "COUNT_IF(total_amount < 0)"),
+    ("is_passenger_count_null", "silver flag", "warning", "COUNT_IF(passenger_count IS NULL)"),
+    ("reconciliation", "silver", "blocking", "0"),
+    ("silver_schema", "silver", "blocking", "0"),
+    ("dropoff_before_pickup", "silver", "blocking", f"COUNT_IF(({_KEPT}) AND {_DROP} < {_PICK})"),
+    ("pickup_outside_period", "silver", "blocking", f"COUNT_IF(({_KEPT}) AND ({_PICK} < {_PS} OR {_PICK} >= {_PE}))"),
+]
+
+
 def _rule_catalog_sql() -> str:
-    raw_preds = {f"null_{c}": f'"{c}" IS NULL' for c in C.CRITICAL_RAW_COLUMNS}
-    raw_preds.update({m[0]: m[3] for m in _WARN_META})
-    split_preds = {
-        C.MISSING_PICKUP: f"{_PICK} IS NULL",
-        C.MISSING_DROPOFF: f"{_DROP} IS NULL",
-        C.PICKUP_OUTSIDE_PERIOD: _OUTSIDE,
-        C.DROPOFF_BEFORE_PICKUP: _BEFORE,
-    }
-    flag_preds = {
-        C.IS_ZERO_DISTANCE: "trip_distance = 0",
-        C.HAS_NEGATIVE_FARE: "fare_amount < 0",
-        C.HAS_NEGATIVE_TOTAL: "total_amount < 0",
-        C.IS_PASSENGER_COUNT_NULL: "passenger_count IS NULL",
-    }
-    entries = []
-    for name, stage, klass in K.RULE_CATALOG:
-        if stage == "raw" and name == "null_<critical column>":
-            entries += [(f"null_{c}", stage, klass, raw_preds[f"null_{c}"])
-                        for c in C.CRITICAL_RAW_COLUMNS]
-        elif stage == "raw" and name in raw_preds:
-            entries.append((name, stage, klass, raw_preds[name]))
-        elif stage == "silver split":
-            entries.append((name, stage, klass, split_preds[name]))
-        elif stage == "silver flag":
-            entries.append((name, stage, klass, flag_preds[name]))
-    aggs = ", ".join(f"COUNT_IF({p}) AS v{i}" for i, (*_, p) in enumerate(entries))
+    aggs = ", ".join(f"CAST({c} AS BIGINT) AS v{i}" for i, (*_, c) in enumerate(_RULES))
     body = " UNION ALL ".join(
         f"SELECT '{n}' AS rule, '{s}' AS stage, '{k}' AS classification, v{i} AS rows_flagged FROM a"
-        for i, (n, s, k, _) in enumerate(entries)
+        for i, (n, s, k, _) in enumerate(_RULES)
     )
     return _ctes(body, "bronze", extra=f"a AS (SELECT {aggs} FROM bronze)")
 
 
+_FILES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+_NAMES = "(VALUES " + ", ".join(f"('{n}')" for n in _FILES) + ") f(name)"
+_COUNTS = """(SELECT COUNT(*) FROM raw) AS raw_rows, (SELECT COUNT(*) FROM silver) AS silver_rows,
+  (SELECT COUNT(*) FROM quarantine) AS quarantine_rows"""
+
+
+def _steps_sql(rows: list[tuple]) -> str:
+    """Audit rows; a count is written as the name of a column of ``n``, a table as text or null."""
+    quoted = lambda v: "NULL" if v is None else f"'{v}'"
+    number = lambda v: f"CAST({v or 'NULL'} AS BIGINT)"
+    body = " UNION ALL ".join(
+        f"SELECT 'trips_medallion' AS pipeline, '{step}' AS step, 'SUCCESS' AS status, "
+        f"CAST({quoted(name)} AS VARCHAR) AS table_name, {number(r)} AS raw_count, {number(s)} AS silver_count, "
+        f"{number(q)} AS quarantine_count, CAST(NULL AS VARCHAR) AS error_type FROM n"
+        for step, name, r, s, q in rows)
+    return _ctes(body, "raw", "silver", "quarantine", extra=f"n AS (SELECT {_COUNTS})")
+
+
+_BRONZE_STEP = ("bronze", "strata_bronze.trips", "raw_rows", None, None)
+_SILVER_STEP = ("silver", "strata_silver.trips", "raw_rows", "silver_rows", "quarantine_rows")
+
+
 _QUAR_SAMPLE = f"""
 SELECT {_PICK}, {_DROP}, _quarantine_reason FROM quarantine
 ORDER BY {_PICK} ASC NULLS FIRST, {_DROP} ASC NULLS FIRST, _quarantine_reason ASC NULLS FIRST
@@ -163,9 +194,8 @@ LIMIT 20
 
 _DAILY_STUDY = f"""
 SELECT CAST({_PICK} AS DATE) AS pickup_date, COUNT(*) AS trip_count,
-       {dsum('trip_distance')} AS total_distance,
-       CASE WHEN COUNT({_DUR}) > 0
-            THEN {dsum(_DUR)} / CAST(COUNT({_DUR}) AS DOUBLE) END AS avg_duration_minutes
+       round(SUM(trip_distance) + 3e-7, 4) AS total_distance,
+       round(AVG({_DUR}) + 3e-7, 4) AS avg_duration_minutes
 FROM raw WHERE {_PICK} >= {_PS} AND {_PICK} < {_PE}
 GROUP BY 1
 """
@@ -222,6 +252,17 @@ CROSS JOIN (SELECT COUNT(*) AS quarantine_count FROM quarantine) q
 _SILVER_YM = (f"SELECT *, CAST(year({_PICK}) AS INTEGER) AS year, "
               f"CAST(month({_PICK}) AS INTEGER) AS month FROM silver")
 
+_DAILY = """
+SELECT * REPLACE (round(total_distance_miles + 3e-7, 4) AS total_distance_miles,
+  round(average_trip_distance_miles + 3e-7, 4) AS average_trip_distance_miles,
+  round(average_trip_duration_minutes + 3e-7, 4) AS average_trip_duration_minutes,
+  round(total_fare_amount + 3e-7, 4) AS total_fare_amount, round(total_amount + 3e-7, 4) AS total_amount,
+  round(average_amount_per_trip + 3e-7, 4) AS average_amount_per_trip) FROM daily"""
+_MONTHLY = """
+SELECT pickup_month, total_trips, round(total_amount + 3e-7, 4) AS total_amount,
+  round(total_distance_miles + 3e-7, 4) AS total_distance_miles,
+  round(average_amount_per_trip + 3e-7, 4) AS average_amount_per_trip FROM monthly"""
+
 ORACLE: dict[str, str] = {
     "scan_raw": with_ctes("SELECT * FROM raw", "raw"),
     "scan_pruned": with_ctes(
@@ -241,8 +282,9 @@ ORACLE: dict[str, str] = {
         f"SELECT {_PICK}, {_DROP}, {_BEFORE} AS dropoff_before_pickup FROM bronze", "bronze"),
     "trip_duration": with_ctes(
         f"SELECT {_PICK}, {_DROP}, {_DUR} AS trip_duration_minutes FROM raw", "raw"),
+    # a decimal quotient has six places
     "trip_duration_decimal": with_ctes(
-        f"SELECT {_PICK}, {_DROP}, {_DUR} AS trip_duration_minutes FROM raw", "raw"),
+        f"SELECT {_PICK}, {_DROP}, round({_DUR}, 6) AS trip_duration_minutes FROM raw", "raw"),
     "quality_flags": with_ctes(
         f"SELECT trip_distance, fare_amount, total_amount, passenger_count, {_FLAGS} FROM raw",
         "raw"),
@@ -277,9 +319,9 @@ ORACLE: dict[str, str] = {
         "COUNT_IF(passenger_count IS NULL) AS passenger_count_null FROM bronze", "bronze"),
     "profile_nulls": with_ctes(_PROFILE_NULLS, "raw"),
     "profile_rules": with_ctes(_PROFILE_RULES, "raw"),
-    "mart_daily": with_ctes("SELECT * FROM daily", "daily"),
+    "mart_daily": with_ctes(_DAILY, "daily"),
     "daily_study": with_ctes(_DAILY_STUDY, "raw"),
-    "mart_monthly": with_ctes("SELECT * FROM monthly", "monthly"),
+    "mart_monthly": with_ctes(_MONTHLY, "monthly"),
     "mart_quality": with_ctes("SELECT * FROM quality", "quality"),
     "quarantine_reasons": with_ctes(
         "SELECT _quarantine_reason, COUNT(*) AS row_count FROM quarantine "
@@ -310,10 +352,10 @@ ORACLE: dict[str, str] = {
         "SELECT pickup_month, quality_issue, sort_order, issue_count FROM quality "
         "ORDER BY pickup_month, issue_count DESC, sort_order", "quality"),
     "dash_monthly": with_ctes(
-        "SELECT pickup_month, total_trips, total_amount, total_distance_miles, "
-        "average_amount_per_trip FROM monthly ORDER BY pickup_month", "monthly"),
+        f"{_MONTHLY} ORDER BY pickup_month", "monthly"),
     "dash_daily": with_ctes(
-        "SELECT pickup_date, trip_count, average_amount_per_trip FROM daily ORDER BY pickup_date",
+        "SELECT pickup_date, trip_count, round(average_amount_per_trip + 3e-7, 4) AS average_amount_per_trip "
+        "FROM daily ORDER BY pickup_date",
         "daily"),
     "mart_quality_union": with_ctes("SELECT * FROM quality", "quality"),
     "distinct_source_files": with_ctes("SELECT DISTINCT _source_file FROM bronze", "bronze"),
@@ -340,18 +382,18 @@ ORACLE: dict[str, str] = {
     "widget_total_trips": with_ctes(
         "SELECT CAST(SUM(total_trips) AS BIGINT) AS total_trips FROM monthly", "monthly"),
     "widget_total_amount": with_ctes(
-        f"SELECT {rsum('total_amount')} AS total_amount FROM monthly", "monthly"),
+        "SELECT round(SUM(total_amount) + 3e-7, 4) AS total_amount FROM monthly", "monthly"),
     "widget_total_distance": with_ctes(
-        f"SELECT {rsum('total_distance_miles')} AS total_distance_miles FROM monthly", "monthly"),
+        "SELECT round(SUM(total_distance_miles) + 3e-7, 4) AS total_distance_miles FROM monthly", "monthly"),
     "widget_avg_amount": with_ctes(
-        "SELECT MAX(average_amount_per_trip) AS average_amount_per_trip FROM monthly "
+        "SELECT round(MAX(average_amount_per_trip) + 3e-7, 4) AS average_amount_per_trip FROM monthly "
         "WHERE pickup_month = DATE '1996-01-01'", "monthly"),
     "widget_daily_trips": with_ctes(
         "SELECT pickup_date, CAST(SUM(trip_count) AS BIGINT) AS trip_count FROM daily "
         "GROUP BY pickup_date", "daily"),
     "widget_daily_avg": with_ctes(
         "SELECT CAST(date_trunc('day', pickup_date) AS DATE) AS pickup_day, "
-        "AVG(average_amount_per_trip) AS average_amount_per_trip FROM daily GROUP BY 1", "daily"),
+        "round(AVG(average_amount_per_trip) + 3e-7, 4) AS average_amount_per_trip FROM daily GROUP BY 1", "daily"),
     "widget_quality": with_ctes(
         "SELECT quality_issue, issue_count FROM quality ORDER BY issue_count DESC", "quality"),
     "mart_row_counts": with_ctes(
@@ -366,6 +408,34 @@ ORACLE: dict[str, str] = {
     "publish_partitioned": with_ctes(_SILVER_YM, "silver"),
     "scan_partitioned": with_ctes(_SILVER_YM, "silver"),
     "job_silver": with_ctes(_SILVER_YM, "silver"),
-    "job_gold": with_ctes("SELECT * FROM daily", "daily"),
+    "job_gold": with_ctes(_DAILY, "daily"),
+    "scan_partitioned_month": with_ctes(
+        f"SELECT * FROM ({_SILVER_YM}) WHERE year = 1996 AND month = 2", "silver"),
+    "stale_quarantine": with_ctes(
+        "SELECT COUNT(*) AS first_run_quarantine, CAST(0 AS BIGINT) AS second_run_quarantine, "
+        "CAST(0 AS BIGINT) AS quarantine_rows_visible FROM quarantine", "quarantine"),
+    "optional_count": with_ctes(
+        "SELECT 'silver' AS dataset, true AS required, COUNT(*) AS row_count FROM silver UNION ALL "
+        "SELECT 'not_written', false, 0", "silver"),
+    "reconcile_before_publish": _ctes(
+        "SELECT 'silver' AS layer, silver_rows AS rows_read_back, silver_rows AS rows_observed, "
+        "raw_rows AS raw_observed, raw_rows = silver_rows + quarantine_rows AS reconciled FROM n UNION ALL "
+        "SELECT 'quarantine', quarantine_rows, quarantine_rows, raw_rows, "
+        "raw_rows = silver_rows + quarantine_rows FROM n", "raw", "silver", "quarantine",
+        extra=f"n AS (SELECT {_COUNTS})"),
+    "audit_append": _steps_sql([_BRONZE_STEP, _SILVER_STEP]),
+    "run_pipeline": _steps_sql([
+        ("landing", None, None, None, None), ("raw_validation", None, "raw_rows", None, None),
+        _BRONZE_STEP, _SILVER_STEP,
+        ("gold_daily", "strata_gold.mart_daily_trip_metrics", None, None, None),
+        ("gold_monthly", "strata_gold.mart_monthly_trip_kpis", None, None, None),
+        ("gold_quality", "strata_gold.mart_data_quality_summary", None, None, None)]),
+    "table_history": with_ctes(
+        "SELECT 'strata_bronze.trips' AS table_name, CAST(v AS BIGINT) AS version, 'bronze' AS operation, "
+        "(SELECT COUNT(*) FROM raw) AS raw_count FROM range(2) t(v)", "raw"),
+    "landing_integrity": f"SELECT name, true AS has_magic, true AS valid FROM {_NAMES}",
+    "landing_length": (f"SELECT name, true AS valid, length(name) % 2 = 0 AS length_ok, "
+                       f"length(name) % 2 = 0 AS accepted FROM {_NAMES}"),
+    "landing_new_files": f"SELECT name, true AS valid FROM {_NAMES} WHERE name >= 'n'",
     "silver_trips_stream": with_ctes("SELECT * FROM silver", "silver"),
 }

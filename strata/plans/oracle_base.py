@@ -1,8 +1,8 @@
 """DuckDB texts of the fixture layers, used as CTEs by every oracle query.
 
 These restate the silver rules, staging casts and marts in plain SQL over the
-registered driver tables. Sums are taken in the same fixed-point integers as
-the Spark marts so both sides produce identical doubles.
+registered driver tables. Sums and averages are plain; a query that returns
+them rounds them in its last step, on both sides.
 """
 
 from __future__ import annotations
@@ -86,34 +86,17 @@ FROM stg
 """
 
 
-def dsum(expr: str, scale: int = 4) -> str:
-    """Exact fixed-point sum as double, matching ``measures.exact_sum``."""
-    unit = float(10 ** scale)
-    return (f"(CAST(SUM(CAST(floor(({expr}) * {unit} + 0.5) AS BIGINT)) AS DOUBLE) "
-            f"/ CAST({unit} AS DOUBLE))")
-
-
-def rsum(expr: str, scale: int = 4) -> str:
-    """Exact roll-up sum of summed doubles, matching ``measures.rollup_sum``."""
-    return dsum(expr, scale)
-
-
-def davg(expr: str, scale: int = 4) -> str:
-    return (f"CASE WHEN COUNT({expr}) > 0 THEN {dsum(expr, scale)} / "
-            f"CAST(COUNT({expr}) AS DOUBLE) END")
-
-
-DAILY = f"""
+DAILY = """
 SELECT pickup_date,
        COUNT(*) AS trip_count,
        COUNT(passenger_count) AS trips_with_passenger_count,
        CAST(SUM(passenger_count) AS BIGINT) AS known_passenger_count,
-       {dsum('trip_distance_miles')} AS total_distance_miles,
-       {davg('trip_distance_miles')} AS average_trip_distance_miles,
-       {davg('trip_duration_minutes')} AS average_trip_duration_minutes,
-       {dsum('fare_amount')} AS total_fare_amount,
-       {dsum('total_amount')} AS total_amount,
-       CASE WHEN COUNT(*) > 0 THEN {dsum('total_amount')} / CAST(COUNT(*) AS DOUBLE) END
+       SUM(trip_distance_miles) AS total_distance_miles,
+       AVG(trip_distance_miles) AS average_trip_distance_miles,
+       AVG(trip_duration_minutes) AS average_trip_duration_minutes,
+       SUM(fare_amount) AS total_fare_amount,
+       SUM(total_amount) AS total_amount,
+       CASE WHEN COUNT(*) > 0 THEN SUM(total_amount) / CAST(COUNT(*) AS DOUBLE) END
            AS average_amount_per_trip,
        CAST(SUM(CASE WHEN is_zero_distance THEN 1 ELSE 0 END) AS BIGINT) AS zero_distance_trip_count,
        CAST(SUM(CASE WHEN has_negative_fare THEN 1 ELSE 0 END) AS BIGINT) AS negative_fare_trip_count,
@@ -124,13 +107,13 @@ FROM enr
 GROUP BY pickup_date
 """
 
-MONTHLY = f"""
+MONTHLY = """
 SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month,
        CAST(SUM(trip_count) AS BIGINT) AS total_trips,
-       {rsum('total_amount')} AS total_amount,
-       {rsum('total_distance_miles')} AS total_distance_miles,
+       SUM(total_amount) AS total_amount,
+       SUM(total_distance_miles) AS total_distance_miles,
        CASE WHEN SUM(trip_count) > 0
-            THEN {rsum('total_amount')} / CAST(SUM(trip_count) AS DOUBLE) END
+            THEN SUM(total_amount) / CAST(SUM(trip_count) AS DOUBLE) END
            AS average_amount_per_trip
 FROM daily
 GROUP BY 1

@@ -7,9 +7,9 @@ changes the column types.
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,39 +38,25 @@ SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 
 
-def new_run_id() -> str:
-    return uuid.uuid4().hex
-
-
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc)
-
-
-def record(
-    run_id: str,
-    pipeline: str,
-    step: str,
-    status: str,
-    started_at: datetime,
-    ended_at: datetime | None = None,
-    **fields,
-) -> dict:
-    ended_at = ended_at or utc_now()
-    rec = {f.name: None for f in AUDIT_SCHEMA.fields}
-    rec.update(
-        run_id=run_id,
-        pipeline=pipeline,
-        step=step,
-        status=status,
-        started_at=started_at.isoformat(),
-        ended_at=ended_at.isoformat(),
-        duration_seconds=(ended_at - started_at).total_seconds(),
-    )
-    for key, value in fields.items():
-        if key not in rec:
-            raise KeyError(f"unknown audit field: {key}")
-        rec[key] = None if value is None else (int(value) if key.endswith("_count") else value)
-    return rec
+def clock() -> datetime:
+    """The present moment, in UTC."""
+    return datetime.now(tz=timezone.utc)
+
+
+def record(run_id: str, pipeline: str, step: str, status: str, started_at: datetime,
+           ended_at: datetime | None = None, **fields) -> dict:
+    """One audit record; unknown field names raise, unset ones are null."""
+    known = [f.name for f in AUDIT_SCHEMA.fields]
+    if unknown := sorted(set(fields) - set(known)):
+        raise KeyError(f"no such audit field: {', '.join(unknown)}")
+    end = ended_at or clock()
+    values = {name: fields.get(name) for name in known}
+    for name in known:
+        if name.endswith("_count") and values[name] is not None:
+            values[name] = int(values[name])
+    return values | {"run_id": run_id, "pipeline": pipeline, "step": step, "status": status,
+                     "started_at": started_at.isoformat(), "ended_at": end.isoformat(),
+                     "duration_seconds": (end - started_at).total_seconds()}
 
 
 def append_audit(spark: SparkSession, rec: dict, path: str) -> None:
@@ -80,9 +66,12 @@ def append_audit(spark: SparkSession, rec: dict, path: str) -> None:
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """All records; a folder that was never written means no runs yet."""
     try:
         return spark.read.schema(AUDIT_SCHEMA).json(path)
-    except Exception:  # noqa: BLE001 - a missing audit folder means no runs yet
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], AUDIT_SCHEMA)
 
 

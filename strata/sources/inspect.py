@@ -7,6 +7,7 @@ executors, one small footer read per file.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 
@@ -15,40 +16,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.landing import open_uri
+
 FOOTER_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
         T.StructField("row_groups", T.LongType(), False),
         T.StructField("file_rows", T.LongType(), False),
+        T.StructField("optional_fields", T.ArrayType(T.StringType()), False),
     ]
 )
 
 
-def _arrow_path(uri: str):
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _footer_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
 
     for pdf in batches:
-        groups, rows = [], []
+        groups, rows, optional = [], [], []
         for uri in pdf["path"]:
-            fs, inner = _arrow_path(uri)
+            fs, inner = open_uri(uri)
             with fs.open_input_file(inner) as f:
-                meta = pq.ParquetFile(f).metadata
+                file = pq.ParquetFile(f)
+                meta = file.metadata
+                optional.append([x.name for x in file.schema_arrow if x.nullable])
                 groups.append(meta.num_row_groups)
                 rows.append(meta.num_rows)
-        yield pd.DataFrame({"path": pdf["path"], "row_groups": groups, "file_rows": rows})
+        yield pd.DataFrame({"path": pdf["path"], "row_groups": groups, "file_rows": rows,
+                            "optional_fields": optional})
 
 
 def footers(spark: SparkSession, pattern: str) -> DataFrame:
     """Per Parquet file: row groups and rows from its footer (no data pages read)."""
     listing = spark.read.format("binaryFile").load(pattern).select("path")
+    listing = listing.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return listing.mapInPandas(_footer_batches, FOOTER_SCHEMA)
 
 
@@ -63,11 +63,13 @@ def inspect(spark: SparkSession, pattern: str) -> DataFrame:
         F.sum("file_rows").alias("num_rows"),
         F.sum("row_groups").alias("num_row_groups"),
         F.count(F.lit(1)).alias("num_files"),
+        # the distinct lists of optional fields: one, unless files differ
+        F.flatten(F.collect_set("optional_fields")).alias("optional"),
     )
     fields = F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("field_name"),
                  F.lit(f.dataType.simpleString()).alias("field_type"),
-                 F.lit(f.nullable).alias("nullable"))
+                 F.array_contains("optional", F.lit(f.name)).alias("nullable"))
         for i, f in enumerate(df.schema.fields)
     ])
     return counts.select(
@@ -85,7 +87,9 @@ def table_detail(spark: SparkSession, name: str) -> DataFrame:
     """
     info = {r["col_name"]: r["data_type"] for r in
             spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    location = info.get("Location")
+    # a published layer is a view over a version folder
+    version = re.search(r"FROM parquet\.`([^`]+)`", info.get("View Text") or "")
+    location = version[1] if version else info.get("Location")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -96,7 +100,7 @@ def table_detail(spark: SparkSession, name: str) -> DataFrame:
              F.coalesce(F.sum("length"), F.lit(0)).alias("sizeInBytes"))
     )
     return files.select(
-        F.lit(info.get("Provider")).alias("format"),
+        F.lit("parquet" if version else info.get("Provider")).alias("format"),
         F.lit(name).alias("name"),
         F.lit(location).alias("location"),
         "numFiles",

@@ -29,36 +29,49 @@ INTEGRITY_SCHEMA = T.StructType(
 )
 
 
+# Schemes that the file library opens, with the names it knows them by.
+_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+
+def open_uri(uri: str):
+    """(file system, path) of a file; a scheme that cannot be opened raises ``ValueError``."""
+    import pyarrow.fs as pafs
+
+    scheme, _, rest = uri.partition(":")
+    if scheme not in _SCHEMES:
+        raise ValueError(f"cannot open {uri}: scheme {scheme} is not one of {', '.join(_SCHEMES)}")
+    return pafs.FileSystem.from_uri(f"{_SCHEMES[scheme]}:///{rest.lstrip('/')}" if scheme == "file"
+                                    else f"{_SCHEMES[scheme]}:{rest}")
+
+
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """``path, length`` of every file matching the glob (no content read)."""
     return spark.read.format("binaryFile").load(pattern).select("path", "length")
 
 
 def _magic_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
-
     for pdf in batches:
         flags = []
         for path, length in zip(pdf["path"], pdf["length"]):
             ok = False
             if length >= MIN_PARQUET_BYTES:
-                try:
-                    uri = path
-                    if uri.startswith("file:") and not uri.startswith("file://"):
-                        uri = "file://" + uri[len("file:"):]
-                    fs, inner = pafs.FileSystem.from_uri(uri)
-                    with fs.open_input_file(inner) as f:
-                        ok = f.read_at(4, 0) == PARQUET_MAGIC and f.read_at(4, length - 4) == PARQUET_MAGIC
-                except (OSError, ValueError):
-                    ok = False
+                # an unreadable file raises: only its bytes may say that it is not Parquet
+                fs, inner = open_uri(path)
+                with fs.open_input_file(inner) as f:
+                    ok = f.read_at(4, 0) == PARQUET_MAGIC and f.read_at(4, length - 4) == PARQUET_MAGIC
             flags.append(ok)
         yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"].astype("int64"),
                             "has_magic": flags})
 
 
 def check_landing(listing: DataFrame) -> DataFrame:
-    """Per file: length, magic bytes, and ``valid`` (both ends are ``PAR1``)."""
-    checked = listing.mapInPandas(_magic_batches, INTEGRITY_SCHEMA)
+    """Per file: length, magic bytes, and ``valid`` (both ends are ``PAR1``).
+
+    The listing is dealt out by count: its own splits go by file length, about a
+    task for every file, although eight bytes of each are read.
+    """
+    tasks = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    checked = listing.repartition(tasks).mapInPandas(_magic_batches, INTEGRITY_SCHEMA)
     return checked.withColumn(
         "valid", (F.col("length") >= MIN_PARQUET_BYTES) & F.col("has_magic")
     )

@@ -1,9 +1,9 @@
 """Sinks: table overwrite, versioned atomic publish, partitioned layout, schemas.
 
-A published layer is an external catalog table pointing at an immutable
-version folder. A run writes a complete new version, the caller checks its
-counts (taken with an ``Observation`` during that same write), and only then
-the table is pointed at the new folder. Readers therefore see the old or the
+A published layer is a catalog view over an immutable version folder. A run
+writes a complete new version, the caller checks its counts (taken with an
+``Observation`` during that same write), and only then the view is replaced by
+one over the new folder. Readers therefore see the old or the
 new version, never a partial one, and a version can never contain stale rows
 from an earlier run. Nothing is copied or renamed, so this works unchanged on
 object stores.
@@ -12,6 +12,7 @@ object stores.
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -104,63 +105,56 @@ def stage(
     return Staged(path, dict(obs.get), observed.schema, tuple(partition_by))
 
 
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
 def point_table(
     spark: SparkSession,
     name: str,
     path: str,
     schema: T.StructType,
-    partition_by: Sequence[str] = (),
+    rows: int | None = None,
 ) -> None:
-    """Make table ``name`` read the version at ``path``.
+    """Make ``name`` read the version at ``path``, with that version's columns.
 
-    Unpartitioned: ``ALTER TABLE ... SET LOCATION`` (one atomic catalog
-    change). Partitioned: the catalog keeps a location per partition, so the
-    external definition is re-created and its partitions recovered.
+    The name is a view over the version's folder, and ``CREATE OR REPLACE VIEW``
+    is one catalog change: a reader has the old version with its columns or the
+    new one with its own, never none and never a mixture. A folder that is not
+    there is accepted only when the write was seen to have no rows.
     """
     if not storage.exists(spark, path):
-        # an empty version (e.g. a run without rejected rows) still gets a folder
+        if rows != 0:
+            raise FileNotFoundError(f"no version at {path} for {name}: {rows} rows were expected")
         spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
-    exists = spark.catalog.tableExists(name)
-    if exists and not partition_by:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {name}")
-        return
-    if exists:
-        spark.sql(f"DROP TABLE {name}")
-    clause = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(
-        f"CREATE TABLE {name} ({_ddl(schema)}) USING parquet{clause} LOCATION '{path}'"
-    )
-    if partition_by:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    columns = ", ".join(f"`{f.name}`" for f in schema.fields)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # a name that an earlier release made a table
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
 
 
 def publish(spark: SparkSession, name: str, staged: Staged, subpath: str | None = None,
-            drop: Sequence[str] = ()) -> None:
-    """Point ``name`` at a staged version (optionally one sub-folder of it)."""
+            drop: Sequence[str] = (), rows: int | None = None) -> None:
+    """Point ``name`` at a staged version (optionally one sub-folder of it).
+
+    ``rows`` is the number of rows observed in that part of the write.
+    """
     path = posixpath.join(staged.path, subpath) if subpath else staged.path
-    schema = T.StructType([f for f in staged.schema.fields if f.name not in set(drop)])
-    partition_by = [p for p in staged.partition_by if p not in set(drop)]
-    # the partition columns go last in a partitioned table definition
-    data = [f for f in schema.fields if f.name not in partition_by]
-    parts = [f for f in schema.fields if f.name in partition_by]
-    point_table(spark, name, path, T.StructType(data + parts), partition_by)
+    gone = set(drop)
+    data = [f for f in staged.schema.fields if f.name not in gone and f.name not in staged.partition_by]
+    parts = [f for f in staged.schema.fields if f.name not in gone and f.name in staged.partition_by]
+    observed = staged.metrics["rows"] if rows is None else rows
+    point_table(spark, name, path, T.StructType(data + parts), observed)
 
 
 def publish_atomic(
     df: DataFrame,
     name: str,
-    table_root: str,
+    table_root: str | None = None,
     expected_rows: int | None = None,
     partition_by: Sequence[str] = (),
 ) -> Staged:
     """Write a complete new version, check its row count, then switch ``name`` to it."""
     spark = df.sparkSession
-    staged = stage(df, storage.new_dir(spark, "versions", name), partition_by)
+    version = f"versions/{name}/{uuid.uuid4().hex}"
+    root = table_root or storage.work_root(spark)
+    staged = stage(df, posixpath.join(root, version), partition_by)
     if expected_rows is not None and staged.metrics["rows"] != expected_rows:
         raise RuntimeError(
             f"refusing to publish {name}: wrote {staged.metrics['rows']} rows, "

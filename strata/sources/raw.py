@@ -35,13 +35,16 @@ def read_partitioned(
     root: str,
     years: Sequence[int] | None = None,
     months: Sequence[int] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """The ``year=*/month=*`` layout under ``root`` with partition columns.
 
-    Filters on ``year``/``month`` are partition filters: only matching folders
-    are listed and read.
+    Filters on ``year``/``month`` are partition filters: files of other folders
+    are not read. With ``schema`` (partition columns included) no file is opened
+    to plan the scan.
     """
-    df = spark.read.option("basePath", root).parquet(f"{root}/year=*/month=*")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(root)
     if years is not None:
         df = df.filter(F.col("year").isin(list(years)))
     if months is not None:

@@ -18,19 +18,27 @@ _WORK_SUBDIR = "strata"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="strata-checkpoints-")  # tests / local only
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    """``spark.checkpoint.dir`` itself, the same for every application of a cluster.
+
+    A local master may run without the setting (tests) and then gets a temporary
+    folder; on a cluster that would be one machine's, so it raises there.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _LOCAL:
+        _LOCAL.append("file:" + tempfile.mkdtemp(prefix="strata-work-"))
+    return _LOCAL[0]
+
+
+_LOCAL: list[str] = []
 
 
 def work_root(spark: SparkSession) -> str:
-    """Per-application work folder under the checkpoint root."""
+    """The library's folder under the shared root; jobs of later applications find it."""
     return posixpath.join(checkpoint_root(spark), _WORK_SUBDIR)
 
 

@@ -50,14 +50,16 @@ def test_silver_job_counts_and_audit(utc, cfg):
 
 
 def test_missing_raw_file_fails_and_is_audited(utc, cfg, tmp_path):
-    def read_missing():
+    def missing():
         return raw.read_raw(utc, str(tmp_path / "nope.parquet"))
 
     with pytest.raises(FileNotFoundError):
-        J._audited(utc, cfg, "bronze", lambda f: read_missing())
-    rows = J.run_audit(utc, cfg).collect()
-    assert len(rows) == 1 and rows[0]["status"] == A.FAILED
-    assert rows[0]["error_type"] == "FileNotFoundError"
+        J.job_bronze(utc, missing, cfg)
+    with pytest.raises(FileNotFoundError):
+        J.run_pipeline(utc, missing, cfg)
+    rows = {r["step"]: r for r in J.run_audit(utc, cfg).collect()}
+    assert set(rows) == {"bronze", "raw_validation"}
+    assert {(r["status"], r["error_type"]) for r in rows.values()} == {(A.FAILED, "FileNotFoundError")}
 
 
 def test_stale_quarantine_is_not_visible(utc, cfg):
@@ -79,33 +81,102 @@ def test_reconcile_raises_with_three_counts():
 def test_raw_gate_stops_the_pipeline(utc, cfg):
     bad = utc.createDataFrame(
         [(1, None, datetime(2026, 1, 10, 10, 20), 1, 2.5, 1, 2, 1, 15.0, 18.0)], RAW_SCHEMA)
-    with pytest.raises(J.PipelineStepError, match="raw validation"):
+    with pytest.raises(J.GateClosed, match="raw validation"):
         J.run_pipeline(utc, bad, cfg)
     steps = {r["step"]: r["status"] for r in J.run_audit(utc, cfg).collect()}
     assert steps == {"raw_validation": A.FAILED}
     assert not utc.catalog.tableExists(cfg.bronze_table)
 
 
-def test_silver_gate_stops_the_pipeline(utc, cfg, monkeypatch):
+def test_silver_gate_stops_before_anything_is_published(utc, cfg, monkeypatch):
     df = utc.createDataFrame(local_rows(), RAW_SCHEMA)
-    real = J.checks.silver_verdict
-
-    def failing(report):
-        return real(report).withColumn("passed", F.lit(False))
-
-    monkeypatch.setattr(J.checks, "silver_verdict", failing)
-    with pytest.raises(J.PipelineStepError, match="silver validation"):
+    monkeypatch.setattr(J, "silver_gate", lambda staged: ["dropoff_before_pickup"])
+    with pytest.raises(J.GateClosed, match="silver validation"):
         J.run_pipeline(utc, df, cfg)
     steps = {r["step"]: r["status"] for r in J.run_audit(utc, cfg).collect()}
-    assert steps["silver_validation"] == A.FAILED and "gold_daily" not in steps
+    assert steps["silver"] == A.FAILED and "gold_daily" not in steps
+    assert not utc.catalog.tableExists(cfg.silver_table)
+
+
+def test_silver_gate_finds_what_was_observed():
+    seen = {"rows": 3, "silver": 1, "quarantine": 1, "dropoff_before_pickup": 0, "pickup_outside_period": 2}
+    staged = publish.Staged("p", seen, utc_schema(), ())
+    assert J.silver_gate(staged) == ["reconciliation", "pickup_outside_period"]
+
+
+def utc_schema():
+    from pyspark.sql import types as T
+
+    from strata.functions import contract as C
+    return T.StructType([T.StructField(c, T.StringType()) for c in C.EXPECTED_SILVER_COLUMNS])
+
+
+def test_rows_lost_before_bronze_stop_the_pipeline(utc, cfg):
+    with pytest.raises(J.GateClosed, match="raw input had 4"):
+        J.job_bronze(utc, utc.createDataFrame(local_rows(), RAW_SCHEMA), cfg, expected_rows=4)
+
+
+def test_raw_gate_may_only_report(utc, cfg):
+    bad = utc.createDataFrame([(1, None, datetime(2026, 1, 10), 1, 2.5, 1, 2, 1, 15.0, 18.0), *local_rows()], RAW_SCHEMA)
+    cfg.raw_gate = "report"
+    J.run_pipeline(utc, bad, cfg)
+    assert utc.table(cfg.quarantine_table).count() == 3
+
+
+@pytest.mark.parametrize("change", ["fare_amount AS fare_amt", "CAST(fare_amount AS DECIMAL(10,2)) AS fare_amount",
+                                    "fare_amount, 7 AS extra", None])
+def test_second_bronze_run_replaces_the_schema(utc, cfg, change):
+    df = utc.createDataFrame(local_rows(), RAW_SCHEMA)
+    J.job_bronze(utc, df, cfg)
+    others = [c for c in df.columns if c != "fare_amount"]
+    second = df.selectExpr(*others, *([change] if change else [])) if change is None or "," not in change \
+        else df.selectExpr(*others, *[x.strip() for x in change.split(", ")]) if "extra" in change \
+        else df.selectExpr(*others, change)
+    J.job_bronze(utc, second, cfg)
+    got = utc.table(cfg.bronze_table)
+    assert got.columns == [*second.columns, "_source_file"]
+    assert [t for _, t in got.dtypes[:-1]] == [t for _, t in second.dtypes]
+    assert sorted(got.drop("_source_file").collect(), key=str) == sorted(second.collect(), key=str)
+
+
+def test_one_month_writes_few_quarantine_files(utc, cfg):
+    rows = [(1, datetime(2020 + i % 5, 1 + i % 12, 3), datetime(2026, 1, 1), 1, 1.0, 1, 2, 1, 1.0, 1.0)
+            for i in range(240)]
+    rec = J.job_silver(utc, cfg, utc.createDataFrame(rows, RAW_SCHEMA).repartition(8)
+                       .selectExpr("*", "'f' AS _source_file"))
+    files = utc.table(cfg.quarantine_table).inputFiles()
+    assert rec["quarantine_count"] == 240 and len(files) <= 60  # one for each of the 60 months
+
+
+def test_derived_names_in_the_input_are_refused_up_front(utc, cfg):
+    df = utc.createDataFrame(local_rows(), RAW_SCHEMA).selectExpr("*", "true AS is_zero_distance", "1999 AS year")
+    with pytest.raises(ValueError, match="is_zero_distance, year"):
+        J.job_silver(utc, cfg, df.selectExpr("*", "'f' AS _source_file"))
+
+
+def test_nothing_observed_is_needed_for_an_empty_version(utc, cfg):
+    J.ensure_layers(utc, cfg)
+    schema = utc.range(1).schema
+    with pytest.raises(FileNotFoundError):
+        publish.point_table(utc, f"{cfg.bronze_schema}.gone", f"{cfg.root}/nowhere", schema, rows=3)
+    publish.point_table(utc, f"{cfg.bronze_schema}.none", f"{cfg.root}/empty", schema, rows=0)
+    assert utc.table(f"{cfg.bronze_schema}.none").count() == 0
+
+
+def test_unreadable_landing_files_raise(utc):
+    with pytest.raises(ValueError, match="scheme abfss"):
+        landing.open_uri("abfss://box@account/x.parquet")
+
+
+def test_audit_of_a_broken_folder_raises(utc, tmp_path):
+    assert A.read_audit(utc, str(tmp_path / "never")).count() == 0
 
 
 def test_full_pipeline_and_history(utc, cfg):
     df = utc.createDataFrame(local_rows(), RAW_SCHEMA)
     audit = J.run_pipeline(utc, df, cfg)
     assert {r["step"] for r in audit.collect()} == {
-        "raw_validation", "bronze", "silver", "silver_validation",
-        "gold_daily", "gold_monthly", "gold_quality"}
+        "raw_validation", "bronze", "silver", "gold_daily", "gold_monthly", "gold_quality"}
     assert utc.table(cfg.daily_table).count() == 1
     J.job_bronze(utc, df, J.PipelineConfig(**{**cfg.__dict__, "run_id": "second"}))
     hist = A.table_history(A.read_audit(utc, cfg.audit_path)).filter(

@@ -34,9 +34,8 @@ def silver_df(utc):
     )
 
 
-@pytest.mark.parametrize("scale", [4, None])
-def test_daily_mart_values(silver_df, scale):
-    daily = marts.daily_mart(marts.enrich(marts.stage(silver_df)), scale, scale)
+def test_daily_mart_values(silver_df):
+    daily = marts.daily_mart(marts.enrich(marts.stage(silver_df)))
     got = {r["pickup_date"]: r.asDict() for r in daily.collect()}
     d10, d11 = got[date(2026, 1, 10)], got[date(2026, 1, 11)]
     assert (d10["trip_count"], d10["trips_with_passenger_count"], d10["known_passenger_count"]) == (2, 2, 3)
@@ -100,3 +99,18 @@ def test_dashboard_counters(silver_df):
         daily, monthly, marts.quality_mart(daily)).collect()}
     assert counts == {"mart_daily_trip_metrics": 2, "mart_monthly_trip_kpis": 1,
                       "mart_data_quality_summary": 4}
+
+
+def test_measures_are_not_cut_before_they_are_added(utc):
+    rows = [(datetime(2026, 1, 1, 0, 0, 0), 1 / 3, 0.00004, 0.00004, 1e15)] * 10
+    df = utc.createDataFrame(rows, "pickup_at timestamp_ntz, trip_duration_minutes double, "
+                             "trip_distance_miles double, fare_amount double, total_amount double")
+    flags = {c: F.lit(False) for c in ("is_zero_distance", "has_negative_fare", "has_negative_total",
+                                       "is_passenger_count_null")}
+    enriched = marts.enrich(df).withColumns({**flags, "passenger_count": F.lit(1)})
+    got = marts.daily_mart(enriched).first()
+    assert got["total_distance_miles"] == pytest.approx(0.0004)
+    assert got["total_amount"] == pytest.approx(1e16)
+    assert got["average_trip_duration_minutes"] == pytest.approx(1 / 3)
+    nan = enriched.withColumn("fare_amount", F.lit(float("nan")))
+    assert str(marts.daily_mart(nan).first()["total_fare_amount"]) == "nan"

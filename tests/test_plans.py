@@ -9,6 +9,7 @@ import pytest
 from strata.functions import contract as C
 from strata.operators import checks, joins, marts, reports, silver
 from strata.plans import fixtures as X
+from strata.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tests.plan_util import plan
 
@@ -69,17 +70,30 @@ def test_quality_mart_is_one_aggregate_without_union(spark, raw_path):
 def test_zone_join_strategies(spark, raw_path):
     fact = joins.trips_for_join(spark.read.parquet(raw_path), X.PERIOD_START, X.PERIOD_END)
     dim = joins.zone_dim(spark)
-    b = plan(joins.zone_join(fact, dim, "broadcast", dim_rows_bound=C.ZONE_COUNT))
+    b = plan(joins.zone_join(fact, dim, "broadcast"))
     m = plan(joins.zone_join(fact, dim, "merge"))
     assert "BroadcastHashJoin" in b and "LeftOuter" in b
     assert "SortMergeJoin" in m and "LeftOuter" in m
 
 
-def test_zone_join_falls_back_above_the_bound(spark, raw_path, monkeypatch):
+def test_broadcast_beyond_the_bound_raises(spark, raw_path):
     fact = joins.trips_for_join(spark.read.parquet(raw_path), X.PERIOD_START, X.PERIOD_END)
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 10)
-    text = plan(joins.zone_join(fact, joins.zone_dim(spark), "broadcast"))
-    assert "SortMergeJoin" in text
+    with pytest.raises(ValueError, match="above the broadcast bound"):
+        joins.zone_join(fact, joins.zone_dim(spark), "broadcast", max_rows=10)
+
+
+def test_merge_join_spreads_each_zone(spark):
+    fact = spark.range(4000).selectExpr("CAST(id % 3 + 1 AS INT) AS pickup_location_id", "id AS total_amount")
+    out = joins.zone_join(fact, joins.zone_dim(spark), "merge", salt=8)
+    assert out.count() == 4000 and out.filter("location_id IS NULL").count() == 0
+    assert "_salt" in plan(out) and out.columns == ["pickup_location_id", "total_amount", "location_id", "zone_label"]
+
+
+@pytest.mark.parametrize("key", ["checkpoint_report", "check_silver", "check_silver_verdict", "rule_catalog",
+                                 "layer_counts", "check_mart_reconciles", "check_not_null"])
+def test_registered_reports_read_the_trips_once(spark, key):
+    text = plan(QUERIES[key](spark, SF_SMALL))
+    assert text.count("lineitem.parquet") == 1
 
 
 def test_reports_use_no_nested_loop_join(spark, raw_path):

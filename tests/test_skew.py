@@ -15,32 +15,20 @@ def _skewed_fact(spark, n=300_000):
                                  (F.col("id") % 100).cast("double").alias("total_amount"))
 
 
-def test_hot_zone_is_split_by_the_sort_merge_join(spark):
-    conf = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "32",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
+def test_salt_spreads_a_hot_zone_and_equally_heavy_zones(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        out = joins.zone_join(_skewed_fact(spark), joins.zone_dim(spark), "merge")
-        total = out.count()
-        assert total == 300_000
-        out.collect()
-        text = plan(out)
-        assert "SortMergeJoin" in text and "skew=true" in text
+        hot = _skewed_fact(spark)
+        even = hot.withColumn("pickup_location_id", F.lit(1) + (F.rand(1) * 3).cast("int"))
+        for fact, most in ((hot, 0.1), (even, 0.1)):
+            out = joins.zone_join(fact, joins.zone_dim(spark), "merge")
+            assert "SortMergeJoin" in plan(out)
+            sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+            assert sum(sizes) == 300_000 and max(sizes) < most * 300_000
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_hot_day_is_combined_before_the_shuffle(spark):
