@@ -92,14 +92,14 @@ def unescape(text: Column) -> Column:
 
 
 def _state_after(turns: Column, template: Template) -> Column:
-    """The machine's state after each turn; null from the first invalid turn on."""
+    """The machine's last state and the number of valid turns; "" once a turn was invalid."""
     step = F.create_map(*[F.lit(x) for state, row in template.machine.items()
                           for role, to in row.items() for x in (f"{state}>{role}", to)])
     begin = F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("n"))
 
     def advance(acc: Column, t: Column) -> Column:
-        to = F.try_element_at(step, F.concat(acc["state"], F.lit(">"), t["role"]))
-        return F.struct(to.alias("state"), (acc["n"] + F.when(to.isNotNull(), 1).otherwise(0)).alias("n"))
+        to = F.coalesce(F.try_element_at(step, F.concat(acc["state"], F.lit(">"), t["role"])), F.lit(""))
+        return F.struct(to.alias("state"), (acc["n"] + F.when(to != "", 1).otherwise(0)).alias("n"))
 
     return F.aggregate(turns, begin, advance)
 
@@ -145,7 +145,7 @@ def format_conversations(rows: DataFrame, template: Template = INSTRUCT, conv: s
         F.flatten(F.transform("turns", segments)).alias("segments"),
     ).select(
         "conv_id", "n_turns",
-        F.coalesce(F.col("end.state").isin(list(template.final)), F.lit(False)).alias("valid"),
+        F.col("end.state").isin(list(template.final)).alias("valid"),
         F.col("end.n").cast("long").alias("valid_turns"), "segments")
 
 
