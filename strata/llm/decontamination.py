@@ -1,21 +1,23 @@
 """Operator 7, benchmark decontamination: latent semantic retrieval, then LCS.
 
-Words are compared lower-cased and without punctuation around them. All
-documents give the inverse document frequencies of ``FEATURES`` hashed words. A
+Words are compared lower-cased and without punctuation around them, as
+32-bit hashes; documents are hashed once, into a scratch table. All documents
+give the inverse document frequencies of ``FEATURES`` hashed words. A
 randomised SVD of the benchmark's TF-IDF passages (Spark jobs that sum partial
 products, a fixed number of power rounds) gives a latent space. Every document
 is then cut into overlapping windows of several lengths; a window is projected,
 and benchmark passages with a cosine of at least ``MIN_COSINE`` are candidates.
 The cosine divides by the window's norm in the whole word space, so words that
-the benchmark never uses count against a match; the same norm bounds the cosine
-from above, and windows below the bound are not projected.
+the benchmark never uses count against a match. As the projection is linear, a
+window's dot product with a passage is a sum over its words, and the sum of each
+word's largest term bounds it from above; windows below the bound are skipped.
 
 A candidate is confirmed by the longest common subsequence of words: at least
 80 % of the passage within a stretch 1.25 times its length, or at least 60 %
 when the passage's answer (the ``answer`` column, else its last sentence) is
 there word for word in order.
 
-The benchmark is a stated query set: it is taken in blocks of ``BLOCK`` passages
+The benchmark is a stated query set: it is taken in blocks of about ``BLOCK`` items
 and each block's space, not the documents, is what tasks receive. Every document
 is read whole; no bucket, candidate or window is capped.
 
@@ -38,14 +40,15 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import cut, fresh, table
 
-FEATURES = 1 << 16
+FEATURES = 1 << 18
 RANK = 128
 OVERSAMPLE = 16
 POWER_ROUNDS = 2
 BLOCK = 256
+SVD_TASKS = 4  # a block's rows are few
 WINDOWS = (16, 32, 64)
 PASSAGE_WORDS = 64
-MIN_COSINE = 0.35
+MIN_COSINE = 0.4
 LCS_SHARE, LCS_SHARE_WITH_ANSWER = 0.8, 0.6
 STRETCH = 1.25
 MAX_CACHED_WORDS = 1_000_000
@@ -53,13 +56,13 @@ _AROUND = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Words(dict):
-    """Raw word (bytes) to a 64-bit hash of its lower-cased bare form; 0 if nothing is left."""
+    """Raw word (bytes) to a 32-bit hash of its lower-cased bare form; 0 if nothing is left."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MAX_CACHED_WORDS:
             self.clear()
         bare = word.decode("utf-8", "replace").lower().encode().strip(_AROUND)
-        self[word] = h = (xxhash.xxh64_intdigest(bare) >> 1 or 1) if bare else 0
+        self[word] = h = (xxhash.xxh64_intdigest(bare) & 0xFFFFFFFF or 1) if bare else 0
         return h
 
 
@@ -77,35 +80,37 @@ def _features(hashes: np.ndarray) -> np.ndarray:
     return hashes & (FEATURES - 1)
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+def hashed_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, words``: every document's word hashes, 32 bits each."""
+
+    def hashed(batches):
+        for batch in batches:
+            blobs = [word_hashes(t).astype("<u4").tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(blobs, pa.binary())], names=["doc_id", "words"])
+
+    return docs.mapInArrow(hashed, "doc_id long, words binary")
+
+
+def inverse_frequencies(hashed: DataFrame) -> np.ndarray:
     """IDF of every hashed word over all documents (at most ``FEATURES`` rows come back)."""
 
     def count(batches):
         total, n = np.zeros(FEATURES, np.int64), 0
-        seen = np.zeros(FEATURES, bool)
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                f = _features(word_hashes(text))
-                if len(f):
-                    seen[f] = True
-                    f = f[np.argsort(f, kind="stable")] if len(f) < 4096 else np.flatnonzero(seen)
-                    f = f[np.flatnonzero(np.diff(f, prepend=-1))]
-                    total[f] += 1
-                    seen[f] = False
+            for blob in batch["words"].to_pylist():
+                if blob:
+                    total[np.unique(np.frombuffer(blob, "<u4") & (FEATURES - 1))] += 1
                     n += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], names=["feature", "n"])
 
-    sums = (docs.select("text").mapInArrow(count, "feature long, n long")
+    sums = (hashed.select("words").mapInArrow(count, "feature long, n long")
             .groupBy("feature").agg(F.sum("n").alias("n")).toArrow())
-    df, n = np.zeros(FEATURES), 0
-    for f, c in zip(sums["feature"].to_pylist(), sums["n"].to_pylist(), strict=True):
-        if f < 0:
-            n = c
-        else:
-            df[f] = c
-    return np.maximum(np.log((n + 1) / (df + 1)), 0.05).astype(np.float32)
+    feature, n = sums["feature"].to_numpy(), sums["n"].to_numpy()
+    df = np.zeros(FEATURES)
+    df[feature[feature >= 0]] = n[feature >= 0]
+    return np.maximum(np.log((n[feature < 0].sum() + 1) / (df + 1)), 0.05).astype(np.float32)
 
 
 class Item:
@@ -137,11 +142,14 @@ class Item:
         """The best LCS in the stretches that meet [start, stop), 0 if it does not confirm."""
         n = len(self.words)
         size, step, best = max(n, int(n * STRETCH)), max(1, n // 8), 0
+        first = max(0, start - size + 1)
+        near = set(words[first:stop + size])
+        # no more of the passage can be common than has its word in the neighbourhood
+        if sum(m.bit_count() for w, m in self.masks.items() if w in near) < LCS_SHARE_WITH_ANSWER * n:
+            return 0
         share = LCS_SHARE if n >= 8 else 1.0
-        for s in range(max(0, start - size + 1), min(stop, max(1, len(words) - n // 2)), step):
+        for s in range(first, min(stop, max(1, len(words) - n // 2)), step):
             stretch = words[s:s + size]
-            if sum(w in self.masks for w in stretch) < LCS_SHARE_WITH_ANSWER * n:
-                continue
             c = self.common(stretch)
             if c >= share * n or (n >= 8 and c >= LCS_SHARE_WITH_ANSWER * n and self._answered(stretch)):
                 best = max(best, c)
@@ -203,64 +211,83 @@ def latent_space(passages: DataFrame, rank: int = RANK, seed: int = 7) -> tuple[
     return vocabulary, (q @ vectors[:, top]).astype(np.float32)
 
 
+def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, end) of all windows of documents laid end to end.
+
+    Windows of each size overlap by half; a document no longer than a size has
+    one window of it and none of the larger sizes.
+    """
+    first = np.cumsum(lengths) - lengths
+    docs, starts, ends, below = [], [], [], 0
+    for w in WINDOWS:
+        of = np.flatnonzero(lengths > below)
+        n = lengths[of]
+        count = np.maximum(-(-(n - w) // (w // 2)), 0) + 1
+        doc = np.repeat(of, count)
+        turn = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        a = np.minimum(turn * (w // 2), np.maximum(lengths[doc] - w, 0))
+        docs.append(doc)
+        starts.append(first[doc] + a)
+        ends.append(first[doc] + np.minimum(a + w, lengths[doc]))
+        below = w
+    return np.concatenate(docs), np.concatenate(starts), np.concatenate(ends)
+
+
 class Searcher:
     """Finds a block's passages in documents; what a task receives."""
 
     def __init__(self, rows: list[tuple], idf: np.ndarray, vocabulary: np.ndarray, vectors: np.ndarray):
-        self.rows, self.idf = rows, idf
-        self.where = np.full(FEATURES, -1, np.int32)
-        self.where[vocabulary] = np.arange(len(vocabulary))
-        self.vectors = vectors * idf[vocabulary][:, None]  # a word's contribution
+        self.rows, self.idf, self.vocabulary, self.vectors = rows, idf, vocabulary, vectors
         self.items = None
 
     def _prepare(self) -> None:
         self.items = [Item(*r) for r in self.rows]
+        self.where = np.full(FEATURES, -1, np.int32)
+        self.where[self.vocabulary] = np.arange(len(self.vocabulary))
+        contribution = self.vectors * self.idf[self.vocabulary][:, None]
         q = np.zeros((len(self.items), self.vectors.shape[1]), np.float32)
         for i, item in enumerate(self.items):
             at = self.where[_features(np.array(item.words, np.int64))]
-            q[i] = self.vectors[at[at >= 0]].sum(axis=0)
-        self.queries = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-
-    def find(self, text: bytes | None) -> list[tuple]:
-        """(item id, LCS, passage words, cosine) of the passages that a text holds."""
+            q[i] = contribution[at[at >= 0]].sum(axis=0)
+        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
+        # each word's term in the dot product of a window with each passage
+        self.terms = contribution @ q.T
+        self.largest = np.zeros(FEATURES)
+        self.largest[self.vocabulary] = np.maximum(self.terms.max(axis=1, initial=0), 0)
+        self.energy = self.idf.astype(np.float64) ** 2
+
+    def find(self, blobs: list[bytes]) -> list[tuple]:
+        """(document's place, item id, LCS, passage words, cosine) of the passages in documents."""
         if self.items is None:
             self._prepare()
-        hashes = word_hashes(text)
-        n = len(hashes)
-        if not n:
+        words = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
+        lengths = np.array([len(b) // 4 for b in blobs], np.int64)
+        if not len(words):
             return []
-        f = _features(hashes)
+        f = _features(words)
+        total = np.concatenate([[0.0], np.cumsum(self.energy[f])])
+        bound = np.concatenate([[0.0], np.cumsum(self.largest[f])])
+        doc, a, b = windows_of(lengths)
+        norm = np.sqrt(total[b] - total[a])
+        spans: dict[tuple[int, int], list] = {}
         at = self.where[f]
-        energy = self.idf[f].astype(np.float64) ** 2
-        total = np.concatenate([[0.0], np.cumsum(energy)])
-        known = np.concatenate([[0.0], np.cumsum(np.where(at >= 0, energy, 0.0))])
-        spans = []
-        for w in WINDOWS:
-            a = np.arange(0, max(n - w, 0) + w // 2, w // 2)
-            a = np.minimum(a, max(n - w, 0))
-            a = a[np.flatnonzero(np.diff(a, prepend=-1))]
-            b = np.minimum(a + w, n)
-            good = known[b] - known[a] >= MIN_COSINE ** 2 * (total[b] - total[a])
-            spans.append(np.stack([a[good], b[good]], axis=1))
-            if n <= w:
-                break
-        spans = np.concatenate(spans)
-        if not len(spans):
-            return []
-        sums = np.zeros((n + 1, self.vectors.shape[1]), np.float32)
-        np.cumsum(np.where((at >= 0)[:, None], self.vectors[at], 0), axis=0, out=sums[1:])
-        x = sums[spans[:, 1]] - sums[spans[:, 0]]
-        norms = np.sqrt(total[spans[:, 1]] - total[spans[:, 0]])
-        cosines = (x @ self.queries.T) / norms[:, None]
-        span_no, item_no = np.nonzero(cosines >= MIN_COSINE)
-        found, words = {}, None
-        for s, i in zip(span_no.tolist(), item_no.tolist(), strict=True):
-            words = hashes.tolist() if words is None else words
-            c = self.items[i].confirm(words, *spans[s].tolist())
-            if c:
-                old = found.get(i, (0, 0.0))
-                found[i] = (max(old[0], c), max(old[1], float(cosines[s, i])))
-        return [(self.items[i].item_id, c, len(self.items[i].words), cos) for i, (c, cos) in sorted(found.items())]
+        for k in np.flatnonzero(bound[b] - bound[a] >= MIN_COSINE * norm).tolist():
+            known = at[a[k]:b[k]]
+            cosines = self.terms[known[known >= 0]].sum(axis=0) / norm[k]
+            for i in np.flatnonzero(cosines >= MIN_COSINE).tolist():
+                spans.setdefault((int(doc[k]), i), []).append((int(a[k]), int(b[k]), float(cosines[i])))
+        first, found = np.cumsum(lengths) - lengths, []
+        for (d, i), hits in sorted(spans.items()):
+            item, begin = self.items[i], int(first[d])
+            text = words[begin:begin + int(lengths[d])].tolist()
+            best, reach = 0, -1
+            for x, y, _ in sorted(hits):
+                if y > reach:  # else inside a stretch that was looked at
+                    best = max(best, item.confirm(text, max(x, reach) - begin, y - begin))
+                    reach = y
+            if best:
+                found.append((d, item.item_id, best, len(item.words), max(h[2] for h in hits)))
+        return found
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -273,16 +300,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
     ).filter(F.length("text") > 0)
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, lcs_words long, item_words long, cosine double"
-    idf = inverse_frequencies(rows)
-    items = cut(items.orderBy("item_id", "text").withColumn("block", F.floor(F.monotonically_increasing_id() % (1 << 33) / BLOCK)
-                                                            + F.shiftright(F.monotonically_increasing_id(), 33) * (1 << 20)),
-                "benchmark")
+    hashed = cut(hashed_documents(rows), "hashed-words")
+    idf = inverse_frequencies(hashed)
+    # dealt to blocks by row, so that equal items spread as well
+    items = cut(items.withColumn("row", F.monotonically_increasing_id()), "benchmark")
+    blocks = max(1, -(-items.count() // BLOCK))
+    items = items.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
     found = None
     for (block,) in sorted(tuple(r) for r in items.select("block").distinct().collect()):
         of_block = items.filter(F.col("block") == block)
         queries = [(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"]))
-                   for r in of_block.drop("block").collect()]  # at most BLOCK passages
-        passages = cut(_passage_rows(of_block, idf), "passages")
+                   for r in of_block.drop("block").collect()]  # about BLOCK passages
+        passages = cut(_passage_rows(of_block, idf).coalesce(SVD_TASKS), "passages")
         if passages.isEmpty():
             continue
         shared = spark.sparkContext.broadcast(Searcher(queries, idf, *latent_space(passages)))
@@ -290,14 +319,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
         def search(batches, shared=shared):
             searcher = shared.value
             for batch in batches:
-                out = [(d, *hit) for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True)
-                       for hit in searcher.find(t)]
+                ids = batch["doc_id"].to_pylist()
+                out = [(ids[d], *hit) for d, *hit in searcher.find(batch["words"].to_pylist())]
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.float64() if i == 4 else pa.int64()) for i, c in enumerate(zip(*out, strict=True))],
                         names=["doc_id", "item_id", "lcs_words", "item_words", "cosine"])
 
-        hits = rows.mapInArrow(search, schema)
+        hits = hashed.mapInArrow(search, schema)
         found = hits if found is None else found.union(hits)
     return spark.createDataFrame([], schema) if found is None else found
 
