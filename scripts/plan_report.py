@@ -1,9 +1,10 @@
 """Write PLANS.md: the physical plan facts of the headline operators.
 
-The trip fixture is written once as a plain Parquet fact table (the shape the
-operators see in production), then each operator's formatted plan is reduced
-to what matters at scale: scans and their read schema, pushed filters,
-exchanges (shuffles), join strategies, aggregates and codegen stages.
+Each registered query is run as it is registered, over the driver tables, and
+its formatted plan is reduced to what matters at scale: scans and their read
+schema, pushed filters, exchanges (shuffles), join strategies, aggregates and
+codegen stages. Every query that starts from the trips has the trips' own two
+scans and join in its plan.
 
 Usage: python scripts/plan_report.py [sf_dir] [out.md]
 """
@@ -14,7 +15,6 @@ import io
 import os
 import re
 import sys
-import tempfile
 from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -57,9 +57,7 @@ def summarize(text: str) -> dict:
 def main() -> None:
     from pyspark.sql import SparkSession
 
-    from strata.functions import contract as C
-    from strata.operators import checks, joins, marts, profile, reports, silver
-    from strata.plans import fixtures as X
+    from strata.plans.registry import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(
@@ -67,50 +65,25 @@ def main() -> None:
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    raw_path = os.path.join(tempfile.mkdtemp(prefix="run-plans-"), "trips")
-    X.trips(spark, sf_dir).write.parquet(raw_path)
-    raw = spark.read.parquet(raw_path)
-    ps, pe = X.PERIOD_START, X.PERIOD_END
-    bronze = silver.add_lineage(raw, X.SOURCE_FILE)
-    s, q = silver.split(bronze, ps, pe)
-    enr = marts.enrich(marts.stage(s))
-    daily = marts.daily_mart(enr)
-    fact = joins.trips_for_join(raw, ps, pe)
-    ops = {
-        "silver split (silver side)": s,
-        "silver split (quarantine side)": q,
-        "labelled split + layer counts (one pass)": reports.layer_counts_one_pass(
-            silver.labelled(bronze, ps, pe)),
-        "raw contract check (15 rules)": checks.check_raw(raw, ps, pe),
-        "silver contract check": checks.check_silver(raw, s, q, ps, pe),
-        "checkpoint report": reports.checkpoint_report(bronze, s, q, ps, pe),
-        "daily mart": daily,
-        "monthly mart (over daily)": marts.monthly_mart(daily),
-        "quality mart (over daily)": marts.quality_mart(daily),
-        "daily study (period filter only)": marts.daily_study(raw, ps, pe),
-        "zone join, broadcast (bounded dimension)": joins.zone_join(
-            fact, joins.zone_dim(spark), "broadcast"),
-        "zone join, sort-merge": joins.zone_join(fact, joins.zone_dim(spark), "merge"),
-        "profile: nulls": profile.null_profile(raw),
-        "quarantine reasons": reports.reason_counts(q),
-        "quarantine sample (top 20)": q.select(
-            "tpep_pickup_datetime", "tpep_dropoff_datetime", C.REASON_COLUMN)
-        .orderBy("tpep_pickup_datetime", "tpep_dropoff_datetime", C.REASON_COLUMN).limit(20),
-        "mart vs staging reconcile": checks.mart_reconciles(marts.stage(s), daily),
-    }
+    keys = ("scan_raw", "silver_trips", "quarantine_trips", "layer_counts", "check_raw_report", "check_silver",
+            "checkpoint_report", "rule_catalog", "mart_daily", "mart_monthly", "mart_quality", "daily_study",
+            "zone_join_broadcast", "zone_join_merge", "profile_nulls", "quarantine_reasons",
+            "quarantine_sample", "check_mart_reconciles", "check_not_null", "check_unique_grain",
+            "scan_partitioned", "scan_partitioned_month")
     lines = [
         "# Physical plans of the headline operators",
         "",
-        "Generated by `scripts/plan_report.py` over the trip fixture written as a",
-        f"Parquet fact table (input `{sf_dir}`), `local[8]`, AQE on. Each row is read",
-        "from `explain(\"formatted\")` after the query ran, i.e. AQE's final plan. A",
-        "*scan* is one Parquet scan; shuffles are listed by partitioning.",
+        f"Generated by `scripts/plan_report.py` from the registered queries over `{sf_dir}`,",
+        "`local[8]`, AQE on, after each query ran (AQE's final plan). A *scan* is one",
+        "Parquet scan; shuffles are listed by partitioning. The trips themselves are",
+        "two scans (`lineitem`, `orders`) and one join.",
         "",
-        "| Operator | Scans | Shuffles / broadcasts | Joins | Hash aggregates | Codegen stages |",
+        "| Query | Scans | Shuffles / broadcasts | Joins | Hash aggregates | Codegen stages |",
         "|---|---:|---|---|---:|---:|",
     ]
     details = []
-    for name, df in ops.items():
+    for name in keys:
+        df = QUERIES[name](spark, sf_dir)
         df.collect()  # run this DataFrame itself: explain then shows AQE's final plan
         text = formatted(df)
         info = summarize(text)

@@ -116,3 +116,9 @@ def test_labelled_split_is_one_scan(spark, raw_path):
     lab = silver.labelled(spark.read.parquet(raw_path), X.PERIOD_START, X.PERIOD_END)
     text = plan(reports.layer_counts_one_pass(lab))
     assert text.count("FileScan parquet") == 1
+
+
+def test_a_month_of_the_layout_reads_its_folder_only(spark):
+    text = plan(QUERIES["scan_partitioned_month"](spark, SF_SMALL), "formatted")
+    filters = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "(year" in filters and "(month" in filters
