@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, table
+from strata.llm.common import cut, ship_package, table
 from strata.llm.curve_packing import pack_documents
 from strata.llm.decontamination import drop_contaminated
 from strata.llm.near_dup import keep_first
@@ -19,11 +19,13 @@ from strata.llm.quality_rules import keep_good
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects (operator 10)."""
+    ship_package(spark)
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: five words, similarity 0.8 (operator 4)."""
+    ship_package(spark)
     return keep_first(docs, k=5, percent=80)
 
 
@@ -34,6 +36,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 4096 ids along the curve, one row per piece (operator 3)."""
+    ship_package(spark)
     return pack_documents(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
