@@ -189,12 +189,15 @@ def first_failure(rules: Sequence[Rule], m: dict[str, Column]) -> Column:
 
 def cascade(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + METHOD_RULES, text: str = "text",
             bound: int = SAMPLE_ROWS, out: str = "failed_rule") -> DataFrame:
-    """All rows and columns of ``docs`` plus ``out``, the first failing rule or null."""
+    """All rows and columns of ``docs`` plus ``out``, the first failing rule or null.
+
+    The words are bound inside the one expression: as a column of their own, a
+    filter on ``out`` that Spark moves below that column would split the text
+    again for every use.
+    """
     ordered = order_rules(rules, estimate(docs, rules, text, bound))
-    words = fresh(docs, "_words")
-    with_words = docs.withColumn(words, words_of(F.col(text)))
-    m = measures(F.col(text), F.col(words))
-    return with_words.withColumn(out, first_failure(ordered, m)).drop(words)
+    failed = let(words_of(F.col(text)), lambda w: first_failure(ordered, measures(F.col(text), w)))
+    return docs.withColumn(out, failed)
 
 
 def keep_good(docs: DataFrame, text: str = "text", bound: int = SAMPLE_ROWS) -> DataFrame:
