@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import lower_ascii, table
+from strata.llm.common import cut, lower_ascii, table
 
 WORDS = 8  # 32-bit words in a block
 BITS_PER_KEY = 16
@@ -153,7 +153,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
                key: str = "page_id", url: str = "url", max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``key, host, path, rule, verdict`` for every row of ``pages``."""
     urls = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    judged = match_rules(urls, rules, max_blocks)
+    # a table of its own and a merge join, so that Spark can split a URL that many
+    # pages share; the verdicts grow with the distinct URLs and are not broadcast
+    judged = cut(match_rules(urls, rules, max_blocks), "verdicts").hint("merge")
     return (urls.join(judged, ["host", "path"], "left")
             .select(key, "host", "path", "rule",
                     F.coalesce("verdict", F.lit(default)).alias("verdict")))
