@@ -4,13 +4,15 @@ Words are compared lower-cased and without punctuation around them, as
 32-bit hashes; documents are hashed once, into a scratch table. All documents
 give the inverse document frequencies of ``FEATURES`` hashed words. A
 randomised SVD of the benchmark's TF-IDF passages (Spark jobs that sum partial
-products, a fixed number of power rounds) gives a latent space. Every document
-is then cut into overlapping windows of several lengths; a window is projected,
-and benchmark passages with a cosine of at least ``MIN_COSINE`` are candidates.
-The cosine divides by the window's norm in the whole word space, so words that
-the benchmark never uses count against a match. As the projection is linear, a
-window's dot product with a passage is a sum over its words, and the sum of each
-word's largest term bounds it from above; windows below the bound are skipped.
+products, a fixed number of power rounds) gives a latent space whose rank is the
+block's number of passages, so that no item loses length in it. For each item,
+every document has overlapping windows, one from each ``CELL``-th word, that
+cover every stretch of the length in which the item is looked for. A stretch that
+confirms holds a known share of the item's words, so its window has at least so
+many of them, and its projection at least the dot product with the item that the
+share's least telling words make; windows below either are no candidates. What
+an item loses in the projection widens its threshold, so neither bound loses a
+stretch that the rule below confirms.
 
 A candidate is confirmed by the longest common subsequence of words: at least
 80 % of the passage within a stretch 1.25 times its length, or at least 60 %
@@ -19,7 +21,10 @@ there word for word in order.
 
 The benchmark is a stated query set: it is taken in blocks of about ``BLOCK`` items
 and each block's space, not the documents, is what tasks receive. Every document
-is read whole; no bucket, candidate or window is capped.
+is read whole; no bucket, candidate or window is capped. Stretches may
+begin at every word. The reported cosine is the best one of the item with a
+window of ``WINDOWS`` words or, for longer items, of up to the item's length; it
+divides by the window's norm in the whole word space.
 
 Defined results: null or empty documents and benchmark items match nothing.
 Documents are judged row by row (null and repeated ids included); a document
@@ -41,14 +46,14 @@ from pyspark.sql import functions as F
 from strata.llm.common import cut, fresh, table
 
 FEATURES = 1 << 18
-RANK = 128
 OVERSAMPLE = 16
 POWER_ROUNDS = 2
 BLOCK = 256
 SVD_TASKS = 4  # a block's rows are few
 WINDOWS = (16, 32, 64)
 PASSAGE_WORDS = 64
-MIN_COSINE = 0.4
+CELL = 8  # words between the starts of two windows
+SECTION = 1 << 10  # cells that are looked at together
 LCS_SHARE, LCS_SHARE_WITH_ANSWER = 0.8, 0.6
 STRETCH = 1.25
 MAX_CACHED_WORDS = 1_000_000
@@ -123,6 +128,7 @@ class Item:
             sentences = [s for s in re.split(rb"[.!?\n]+", text) if s.strip()]
             answer = sentences[-1] if sentences else b""
         self.answer = word_hashes(answer).tolist()
+        self.answer_blob = np.array(self.answer, "<u4").tobytes()
         self.masks: dict[int, int] = {}
         for i, w in enumerate(self.words):
             self.masks[w] = self.masks.get(w, 0) | 1 << i
@@ -138,23 +144,42 @@ class Item:
                 v = ((v + u) | (v - u)) & full
         return len(self.words) - v.bit_count()
 
+    def stretch_words(self) -> int:
+        return max(len(self.words), int(len(self.words) * STRETCH))
+
+    def share(self) -> float:
+        return LCS_SHARE if len(self.words) >= 8 else 1.0
+
+    def least_share(self) -> float:
+        """The share that every confirmed stretch has."""
+        return LCS_SHARE_WITH_ANSWER if len(self.words) >= 8 and self.answer else self.share()
+
     def confirm(self, words: list[int], start: int, stop: int) -> int:
         """The best LCS in the stretches that meet [start, stop), 0 if it does not confirm."""
-        n = len(self.words)
-        size, step, best = max(n, int(n * STRETCH)), max(1, n // 8), 0
-        first = max(0, start - size + 1)
-        near = set(words[first:stop + size])
+        return self.confirm_from(words, max(0, start - self.stretch_words() + 1), stop)
+
+    def confirm_from(self, words: list[int], start: int, stop: int) -> int:
+        """The best LCS in the stretches that begin in [start, stop), 0 if it does not confirm."""
+        n, size, best = len(self.words), self.stretch_words(), 0
+        near = set(words[start:stop + size])
         # no more of the passage can be common than has its word in the neighbourhood
-        if sum(m.bit_count() for w, m in self.masks.items() if w in near) < LCS_SHARE_WITH_ANSWER * n:
+        if sum(m.bit_count() for w, m in self.masks.items() if w in near) < self.least_share() * n:
             return 0
-        share = LCS_SHARE if n >= 8 else 1.0
-        for s in range(first, min(stop, max(1, len(words) - n // 2)), step):
+        share, least = self.share(), int(np.ceil(self.least_share() * n - 1e-9))
+        s, stop = start, min(stop, max(1, len(words) - n // 2))
+        while s < stop:
             stretch = words[s:s + size]
             c = self.common(stretch)
             if c >= share * n or (n >= 8 and c >= LCS_SHARE_WITH_ANSWER * n and self._answered(stretch)):
                 best = max(best, c)
+            # the next stretch has one word more, so at most one more in common
+            s += max(1, max(best + 1, least) - c)
         return best
 
+    def answer_in(self, blob: bytes) -> bool:
+        """Whether the answer may be somewhere in a document's word hashes."""
+        return bool(self.answer) and self.answer_blob in blob
+
     def _answered(self, stretch: list[int]) -> bool:
         m = len(self.answer)
         return 3 <= m < len(self.words) and any(
@@ -180,7 +205,7 @@ def _passage_rows(items: DataFrame, idf: np.ndarray) -> DataFrame:
     return items.select("text").mapInArrow(rows, "idx array<long>, val array<double>")
 
 
-def latent_space(passages: DataFrame, rank: int = RANK, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(passages: DataFrame, rank: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """(features, their rows of the right singular vectors) of the passages' matrix A.
 
     The range of A'A is found by a randomised subspace iteration: each round is
@@ -211,7 +236,7 @@ def latent_space(passages: DataFrame, rank: int = RANK, seed: int = 7) -> tuple[
     return vocabulary, (q @ vectors[:, top]).astype(np.float32)
 
 
-def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows_of(lengths: np.ndarray, sizes: tuple[int, ...] = WINDOWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, start, end) of all windows of documents laid end to end.
 
     Windows of each size overlap by half; a document no longer than a size has
@@ -219,7 +244,7 @@ def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """
     first = np.cumsum(lengths) - lengths
     docs, starts, ends, below = [], [], [], 0
-    for w in WINDOWS:
+    for w in sizes:
         of = np.flatnonzero(lengths > below)
         n = lengths[of]
         count = np.maximum(-(-(n - w) // (w // 2)), 0) + 1
@@ -241,20 +266,75 @@ class Searcher:
         self.items = None
 
     def _prepare(self) -> None:
-        self.items = [Item(*r) for r in self.rows]
-        self.where = np.full(FEATURES, -1, np.int32)
-        self.where[self.vocabulary] = np.arange(len(self.vocabulary))
+        # in the order of their windows, so that items with equal windows are neighbours
+        self.items = sorted((i for i in (Item(*r) for r in self.rows) if i.words), key=Item.stretch_words)
+        size, unknown = len(self.items), len(self.vocabulary)
+        self.where = np.full(FEATURES, unknown, np.int32)
+        self.where[self.vocabulary] = np.arange(unknown)
         contribution = self.vectors * self.idf[self.vocabulary][:, None]
-        q = np.zeros((len(self.items), self.vectors.shape[1]), np.float32)
+        self.energy = self.idf.astype(np.float64) ** 2
+        self.member = np.zeros((unknown + 1, size), np.uint8)
+        q = np.zeros((size, self.vectors.shape[1]))
+        self.least, self.enough, self.dot, self.lost = (np.zeros(size) for _ in range(4))
         for i, item in enumerate(self.items):
-            at = self.where[_features(np.array(item.words, np.int64))]
-            q[i] = contribution[at[at >= 0]].sum(axis=0)
-        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
+            f = _features(np.array(item.words, np.int64))
+            at = self.where[f]
+            self.member[at, i] = 1
+            u, c = np.unique(f, return_counts=True)
+            norm = np.sqrt((c ** 2 * self.energy[u]).sum())
+            q[i] = contribution[at].sum(axis=0, dtype=np.float64) / norm
+            self.lost[i] = np.sqrt(max(1 - (q[i] ** 2).sum(), 0)) + 1e-4
+            self.least[i] = np.ceil(item.least_share() * len(f) - 1e-9)
+            self.enough[i] = np.ceil(item.share() * len(f) - 1e-9)
+            # the words of the share that say least
+            self.dot[i] = np.sort(self.energy[f])[:int(self.least[i])].sum() / norm
         # each word's term in the dot product of a window with each passage
-        self.terms = contribution @ q.T
-        self.largest = np.zeros(FEATURES)
-        self.largest[self.vocabulary] = np.maximum(self.terms.max(axis=1, initial=0), 0)
-        self.energy = self.idf.astype(np.float64) ** 2
+        self.terms = np.concatenate([contribution @ q.T.astype(np.float32), np.zeros((1, size), np.float32)])
+        # cells that cover a stretch from any word of the first one, an even number
+        spans = [-(-(item.stretch_words() - 1) // CELL) + 1 for item in self.items]
+        self.cells = np.array([n + n % 2 for n in spans], np.int64)
+        self.groups = [(int(w), int(a), int(b)) for w in np.unique(self.cells)
+                       for a, b in [np.searchsorted(self.cells, [w, w + 1])]]
+        # running sums may wrap around, as long as a window's sum does not
+        self.count_type = np.uint16 if self.cells.max(initial=0) * CELL < 1 << 16 else np.uint32
+
+    def _windows(self, known: np.ndarray, total: np.ndarray):
+        """(first cell, item, has its whole share) of the windows that reach both bounds."""
+        cells, reach = len(known) // CELL, int(self.cells.max(initial=0))
+        for at in range(0, cells, SECTION):
+            stop = min(at + SECTION, cells)
+            some = known[at * CELL:(stop + reach) * CELL].reshape(-1, CELL)
+            counts = self.member[some[:, 0]]
+            for i in range(1, CELL):
+                counts += self.member[some[:, i]]
+            sums = np.zeros((stop - at + reach + 1, len(self.items)), self.count_type)
+            np.cumsum(counts, axis=0, dtype=self.count_type, out=sums[1:len(some) + 1])
+            sums[len(some) + 1:] = sums[len(some)]
+            for w, a, b in self.groups:
+                inside = sums[w:w + stop - at, a:b] - sums[:stop - at, a:b]
+                c, i = np.nonzero(inside >= self.least[a:b].astype(self.count_type))
+                if not len(c):
+                    continue
+                whole, c, i = inside[c, i] >= self.enough[a:b][i], c + at, i + a
+                for k in range(0, len(c), step := max(1, (1 << 22) // (w * CELL))):
+                    ck, ik = c[k:k + step], i[k:k + step]
+                    span = np.minimum(ck[:, None] * CELL + np.arange(w * CELL), len(known) - 1)
+                    term = self.terms[known[span], ik[:, None]]
+                    term[ck[:, None] * CELL + np.arange(w * CELL) >= len(known)] = 0
+                    end = np.minimum((ck + w) * CELL, len(known))
+                    norm = np.sqrt(np.maximum(total[end] - total[ck * CELL], 0))
+                    keep = term.sum(axis=1) >= self.dot[ik] - self.lost[ik] * norm
+                    yield ck[keep], ik[keep], whole[k:k + step][keep]
+
+    def _cosine(self, f: np.ndarray, i: int) -> float:
+        """The best cosine of an item with a window of a document."""
+        sizes = list(WINDOWS)
+        while sizes[-1] < len(self.items[i].words):
+            sizes.append(2 * sizes[-1])
+        _, a, b = windows_of(np.array([len(f)]), tuple(sizes))
+        dot = np.concatenate([[0.0], np.cumsum(self.terms[self.where[f], i], dtype=np.float64)])
+        total = np.concatenate([[0.0], np.cumsum(self.energy[f])])
+        return float(((dot[b] - dot[a]) / np.sqrt(total[b] - total[a])).max())
 
     def find(self, blobs: list[bytes]) -> list[tuple]:
         """(document's place, item id, LCS, passage words, cosine) of the passages in documents."""
@@ -262,31 +342,42 @@ class Searcher:
             self._prepare()
         words = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
         lengths = np.array([len(b) // 4 for b in blobs], np.int64)
-        if not len(words):
+        if not len(words) or not self.items:
             return []
         f = _features(words)
-        total = np.concatenate([[0.0], np.cumsum(self.energy[f])])
-        bound = np.concatenate([[0.0], np.cumsum(self.largest[f])])
-        doc, a, b = windows_of(lengths)
-        norm = np.sqrt(total[b] - total[a])
-        spans: dict[tuple[int, int], list] = {}
-        at = self.where[f]
-        for k in np.flatnonzero(bound[b] - bound[a] >= MIN_COSINE * norm).tolist():
-            known = at[a[k]:b[k]]
-            cosines = self.terms[known[known >= 0]].sum(axis=0) / norm[k]
-            for i in np.flatnonzero(cosines >= MIN_COSINE).tolist():
-                spans.setdefault((int(doc[k]), i), []).append((int(a[k]), int(b[k]), float(cosines[i])))
-        first, found = np.cumsum(lengths) - lengths, []
-        for (d, i), hits in sorted(spans.items()):
-            item, begin = self.items[i], int(first[d])
-            text = words[begin:begin + int(lengths[d])].tolist()
-            best, reach = 0, -1
-            for x, y, _ in sorted(hits):
-                if y > reach:  # else inside a stretch that was looked at
-                    best = max(best, item.confirm(text, max(x, reach) - begin, y - begin))
-                    reach = y
+        # documents laid out in whole cells
+        first, cells = np.cumsum(lengths) - lengths, -(-lengths // CELL)
+        first_cell = np.cumsum(cells) - cells
+        place = np.arange(len(words)) + np.repeat(first_cell * CELL - first, lengths)
+        known = np.full(int(cells.sum()) * CELL, len(self.vocabulary), np.int32)
+        known[place] = self.where[f]
+        total = np.zeros(len(known) + 1)
+        total[place + 1] = self.energy[f]
+        hits = list(self._windows(known, np.cumsum(total)))
+        if not hits:
+            return []
+        cell, i, whole = (np.concatenate(x) for x in zip(*hits, strict=True))
+        # a document without words owns no cell
+        doc = np.searchsorted(first_cell + cells, cell, side="right")
+        order = np.lexsort((cell, i, doc))
+        cell, i, doc, whole = cell[order], i[order], doc[order], whole[order]
+        edges = np.flatnonzero(np.diff(doc, prepend=-1) | np.diff(i, prepend=-1))
+        promising = np.logical_or.reduceat(whole, edges)
+        found, text_of, text = [], -1, []
+        for k, (x, y) in enumerate(zip(edges.tolist(), [*edges[1:].tolist(), len(cell)], strict=True)):
+            d, item = int(doc[x]), self.items[i[x]]
+            if not promising[k] and not item.answer_in(blobs[d]):
+                continue
+            if text_of != d:
+                text_of, text = d, words[first[d]:first[d] + lengths[d]].tolist()
+            starts = (cell[x:y] - first_cell[d]) * CELL
+            runs = np.flatnonzero(np.diff(starts, prepend=-2 * CELL) > CELL)
+            best = 0
+            for a, b in zip(runs.tolist(), [*runs[1:].tolist(), len(starts)], strict=True):
+                best = max(best, item.confirm_from(text, int(starts[a]), int(starts[b - 1]) + CELL))
             if best:
-                found.append((d, item.item_id, best, len(item.words), max(h[2] for h in hits)))
+                mine = f[first[d]:first[d] + lengths[d]]
+                found.append((d, item.item_id, best, len(item.words), self._cosine(mine, int(i[x]))))
         return found
 
 
@@ -314,7 +405,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
         passages = cut(_passage_rows(of_block, idf).coalesce(SVD_TASKS), "passages")
         if passages.isEmpty():
             continue
-        shared = spark.sparkContext.broadcast(Searcher(queries, idf, *latent_space(passages)))
+        shared = spark.sparkContext.broadcast(Searcher(queries, idf, *latent_space(passages, passages.count())))
 
         def search(batches, shared=shared):
             searcher = shared.value

@@ -114,3 +114,36 @@ def test_stage_drops_contaminated_documents_only(spark, tmp_path, items, planted
     after = corpus_pipeline.decontaminate(spark, before, str(tmp_path))
     assert after.columns == before.columns
     assert {r["doc_id"] for r in after.collect()} == {d for d, _ in docs} - {d for d, _ in holds}
+
+
+def _reworded(text, share, r):
+    """The text with a share of its words replaced by words that no document has."""
+    words = text.split()
+    for at in r.sample(range(len(words)), int(share * len(words))):
+        words[at] = f"new{r.randint(0, 10 ** 9)}"
+    return " ".join(words)
+
+
+def _without_search(docs, items):
+    """The pairs of documents and the items planted in them (by number) that the LCS confirms."""
+    expected = set()
+    for d, t in docs:
+        if d >= 1000:
+            item = D.Item(d % 1000, dict(items)[d % 1000].encode(), None)
+            words = D.word_hashes(t.encode()).tolist()
+            if item.confirm(words, 0, len(words)):
+                expected.add((d, d % 1000))
+    return expected
+
+
+def test_reworded_items_of_a_full_block_are_found(spark):
+    """256 items with 20 to 40 % of their words replaced, against the LCS without the search."""
+    r = random.Random(11)
+    items = [(i, ". ".join((prose(9 + i % 30, 2000 + i, 3000), prose(5, 4000 + i, 300)))) for i in range(256)]
+    docs = [(i, prose(r.randint(30, 200), i, 3000)) for i in range(200)]
+    for k, share in enumerate((0.2, 0.3, 0.4)):
+        docs += [(1000 * (k + 1) + i, f"{prose(30 + i % 50, 5000 + i)} {_reworded(t, share, r)} {prose(40, 6000 + i)}")
+                 for i, t in items]
+    expected, got = _without_search(docs, items), _got(spark, docs, items)
+    assert len(expected) > 256
+    assert {p for p in got if p[0] % 1000 == p[1] and p[0] >= 1000} == expected
