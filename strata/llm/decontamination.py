@@ -19,8 +19,10 @@ A candidate is confirmed by the longest common subsequence of words: at least
 when the passage's answer (the ``answer`` column, else its last sentence) is
 there word for word in order.
 
-The benchmark is a stated query set: it is taken in blocks of about ``BLOCK`` items
-and each block's space, not the documents, is what tasks receive. Every document
+The benchmark is a stated query set: it is taken in blocks of about ``BLOCK``
+passages of ``PASSAGE_WORDS`` words, an item's all in one block, and each block's
+space, not the documents, is what tasks receive. Items may have any length: they
+are cut for the space only, and looked for whole. Every document
 is read whole; no bucket, candidate or window is capped. Stretches may
 begin at every word. The reported cosine is the best one of the item with a
 window of ``WINDOWS`` words or, for longer items, of up to the item's length; it
@@ -353,7 +355,7 @@ class Searcher:
         known[place] = self.where[f]
         total = np.zeros(len(known) + 1)
         total[place + 1] = self.energy[f]
-        hits = list(self._windows(known, np.cumsum(total)))
+        hits = [h for h in self._windows(known, np.cumsum(total)) if len(h[0])]
         if not hits:
             return []
         cell, i, whole = (np.concatenate(x) for x in zip(*hits, strict=True))
@@ -395,13 +397,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
     idf = inverse_frequencies(hashed)
     # dealt to blocks by row, so that equal items spread as well
     items = cut(items.withColumn("row", F.monotonically_increasing_id()), "benchmark")
-    blocks = max(1, -(-items.count() // BLOCK))
+    size = F.ceil(F.size(F.split(F.col("text").cast("string"), r"\s+")) / PASSAGE_WORDS)
+    blocks = max(1, -(-(items.agg(F.sum(size)).first()[0] or 0) // BLOCK))
     items = items.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
     found = None
     for (block,) in sorted(tuple(r) for r in items.select("block").distinct().collect()):
         of_block = items.filter(F.col("block") == block)
         queries = [(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"]))
-                   for r in of_block.drop("block").collect()]  # about BLOCK passages
+                   for r in of_block.drop("block").collect()]  # of about BLOCK passages
         passages = cut(_passage_rows(of_block, idf).coalesce(SVD_TASKS), "passages")
         if passages.isEmpty():
             continue

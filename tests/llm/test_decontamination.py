@@ -147,3 +147,22 @@ def test_reworded_items_of_a_full_block_are_found(spark):
     expected, got = _without_search(docs, items), _got(spark, docs, items)
     assert len(expected) > 256
     assert {p for p in got if p[0] % 1000 == p[1] and p[0] >= 1000} == expected
+
+
+def test_long_items_are_found_whole_and_reworded(spark, monkeypatch):
+    """Items of 300 to 2000 words, dealt to blocks by their passages."""
+    r = random.Random(12)
+    items = [(i, prose(n, 7000 + i, 3000)) for i, n in enumerate((300, 400, 500, 800, 1200, 2000) * 2)]
+    docs = [(i, prose(300, 20 + i, 3000)) for i in range(30)]
+    for k, share in enumerate((0.0, 0.2)):
+        docs += [(1000 * (k + 1) + i, f"{prose(50 + i, 5000 + i)} {_reworded(t, share, r)} {prose(40, 6000 + i)}")
+                 for i, t in items]
+    expected = _without_search(docs, items)
+    assert {p for p in expected if p[0] < 2000} == {(1000 + i, i) for i, _ in items}
+    assert _got(spark, docs, items) == expected
+    ranks, space = [], D.latent_space
+    monkeypatch.setattr(D, "latent_space", lambda p, rank: ranks.append(rank) or space(p, rank))
+    monkeypatch.setattr(D, "BLOCK", 64)
+    assert _got(spark, docs, items) == expected
+    # several blocks of about 64 passages, each passage in one of them
+    assert len(ranks) > 1 and sum(ranks) == sum(-(-len(t.split()) // 64) for _, t in items)
