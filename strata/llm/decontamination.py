@@ -16,8 +16,11 @@ stretch that the rule below confirms.
 
 A candidate is confirmed by the longest common subsequence of words: at least
 80 % of the passage within a stretch 1.25 times its length, or at least 60 %
-when the passage's answer (the ``answer`` column, else its last sentence) is
-there word for word in order.
+when the passage's answer is there word for word in order. The answer is the
+``answer`` column of one word or more; without one it is the last sentence, or
+the last ``SHORT`` words of the passage where that sentence is shorter or the
+whole passage. An answer of fewer than ``SHORT`` words must follow the 60 %.
+Passages of fewer than eight words must be there whole.
 
 The benchmark is a stated query set: it is taken in blocks of about ``BLOCK``
 passages of ``PASSAGE_WORDS`` words, an item's all in one block, and each block's
@@ -57,6 +60,7 @@ PASSAGE_WORDS = 64
 CELL = 8  # words between the starts of two windows
 SECTION = 1 << 10  # cells that are looked at together
 LCS_SHARE, LCS_SHARE_WITH_ANSWER = 0.8, 0.6
+SHORT = 3
 STRETCH = 1.25
 MAX_CACHED_WORDS = 1_000_000
 _AROUND = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -128,8 +132,11 @@ class Item:
         self.words = word_hashes(text).tolist()
         if answer is None:
             sentences = [s for s in re.split(rb"[.!?\n]+", text) if s.strip()]
-            answer = sentences[-1] if sentences else b""
-        self.answer = word_hashes(answer).tolist()
+            self.answer = word_hashes(sentences[-1] if sentences else b"").tolist()
+            if not SHORT <= len(self.answer) < len(self.words):
+                self.answer = self.words[-SHORT:]
+        else:
+            self.answer = word_hashes(answer).tolist()
         self.answer_blob = np.array(self.answer, "<u4").tobytes()
         self.masks: dict[int, int] = {}
         for i, w in enumerate(self.words):
@@ -183,9 +190,11 @@ class Item:
         return bool(self.answer) and self.answer_blob in blob
 
     def _answered(self, stretch: list[int]) -> bool:
+        """Whether the answer is in a stretch; a short one only counts behind the words of the share."""
         m = len(self.answer)
-        return 3 <= m < len(self.words) and any(
-            stretch[i:i + m] == self.answer for i in range(len(stretch) - m + 1))
+        places = [i + m for i in range(len(stretch) - m + 1) if stretch[i:i + m] == self.answer] if m else []
+        return bool(places) and (
+            m >= SHORT or self.common(stretch[:places[-1]]) >= LCS_SHARE_WITH_ANSWER * len(self.words))
 
 
 def _passage_rows(items: DataFrame, idf: np.ndarray) -> DataFrame:

@@ -166,3 +166,36 @@ def test_long_items_are_found_whole_and_reworded(spark, monkeypatch):
     assert _got(spark, docs, items) == expected
     # several blocks of about 64 passages, each passage in one of them
     assert len(ranks) > 1 and sum(ranks) == sum(-(-len(t.split()) // 64) for _, t in items)
+
+
+def _half(question, r):
+    """The question with about a third of its words replaced: less than 80 %, more than 60 %."""
+    return _reworded(question, 0.35, r)
+
+
+def test_answers_of_one_or_two_words_lower_the_share(spark):
+    """A short answer counts when it follows the question's words, not before them."""
+    r, rows, docs = random.Random(13), [], [(10 + i, prose(80, 50 + i, 900)) for i in range(30)]
+    for i, answer in enumerate(("Everest", "1912", "blue whale")):
+        question = prose(40, 800 + i, 3000)
+        half = _half(question, r)
+        rows.append((i, question, answer))
+        docs += [(100 + i, f"{prose(30, i)} {half} {answer}, {prose(30, 9 + i)}"),
+                 (200 + i, f"{prose(30, i)} {answer} {half} {prose(30, 9 + i)}"),
+                 (300 + i, f"{prose(30, i)} {half} {prose(30, 9 + i)}")]
+    got = D.contaminated(frame(spark, docs), _benchmark(spark, rows, "item_id long, text string, reply string"),
+                         answer="reply").collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(100 + i, i) for i in range(3)}
+
+
+def test_items_without_an_answer_column_always_have_an_answer(spark):
+    """The last words stand in where the last sentence is short or the whole item."""
+    r = random.Random(14)
+    rows = [(0, prose(40, 900, 3000)), (1, prose(38, 901, 3000) + ". Blue whale."), (2, prose(38, 902, 3000) + ". Er.")]
+    docs = [(10 + i, prose(80, 50 + i, 900)) for i in range(30)]
+    for i, text in rows:
+        words = text.split()
+        docs += [(100 + i, f"{prose(30, i)} {_half(' '.join(words[:-3]), r)} {' '.join(words[-3:])} {prose(30, 9 + i)}"),
+                 (200 + i, f"{prose(30, i)} {_half(' '.join(words[:-3]), r)} {prose(33, 9 + i)}")]
+    assert _got(spark, docs, rows) == {(100 + i, i) for i, _ in rows}
+    assert D.Item(1, rows[1][1].encode(), None).answer == D.word_hashes(rows[1][1].encode()).tolist()[-3:]
