@@ -313,10 +313,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP11_SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, c -> c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
 ), scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
          CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score

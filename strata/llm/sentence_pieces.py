@@ -8,16 +8,14 @@ the next one) in order. ``pieces_stay_apart`` looks at the whole vocabulary and
 at what the library's normalizer does; where it says no, each whole text is one
 chunk, and the rest is the same.
 
-1. Tasks lay texts out in blocks of about ``BLOCK_CHUNKS`` chunks, one row each:
-   the block's distinct chunks, and for every chunk of every text its place among
-   them, four bytes. A block gets its random name in the task that writes it and
-   is only ever read from the written table.
-2. The distinct chunks of all blocks are segmented once each by the library and
-   written: the chunk table. As a block names each of its chunks once, a frequent
-   word has at most a row per block in this join.
-3. The blocks' chunks are joined with that table, gathered per block (bounded by
-   the block) and joined back: every text's ids are taken from its chunks' ids by
-   position, with one gather per block.
+Tasks take texts in blocks of about ``BLOCK_CHUNKS`` chunks. A block's distinct
+chunks make a table, in which the library segments each of them once; every
+chunk of every text is a place in that table, and the ids are joined back by
+position: one gather of the table's ids for the whole block. A block ends with a
+text, so nothing is shuffled and nothing is written, and a lost executor costs
+the blocks that it was at. (One table for the whole corpus, made by a Spark
+``distinct`` and joined back per block, gives the same ids; it wrote and
+shuffled more than four times the input, see the README.)
 
 Decoding is the library's own ``decode`` of each whole id sequence.
 
@@ -30,18 +28,16 @@ no UTF-8 count as U+FFFD. An empty table gives no rows. Extra columns are ignore
 from __future__ import annotations
 
 import re
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, table
+from strata.llm.common import table
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 BLOCK_CHUNKS = 1 << 19
-SEGMENT_ROWS = 4096
 MARK = "▁"
 _CHUNK = re.compile(r" *[^ ]+| +")
 # An identity normalizer that marks the front and keeps every space gives these as they are.
@@ -88,55 +84,34 @@ def segment(sp, chunks: list[str], apart: bool) -> list[list[int]]:
     return [ids if c != " " else alone for c, ids in zip(chunks, sp.encode([c[1:] for c in chunks], num_threads=1), strict=True)]
 
 
-_BLOCK = "block string, doc_ids array<bigint>, counts array<bigint>, places binary, chunks array<string>"
-
-
-def chunk_blocks(rows: DataFrame, apart: bool) -> DataFrame:
-    """The blocks of ``rows`` (``doc_id, text``), as a written table."""
-
-    def lay_out(batches):
-        ids, counts, places, total, index = [], [], [], 0, {}
-
-        def block():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([counts], pa.list_(pa.int64())), pa.array([b"".join(places)], pa.binary()),
-                 pa.array([list(index)], pa.list_(pa.string()))],
-                names=["block", "doc_ids", "counts", "places", "chunks"])
-
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                text = (text or b"").decode("utf-8", "replace")
-                words = chunks_of(text) if apart else [text] if text else []
-                # a new chunk's place is the number of those before it
-                places.append(np.fromiter((index.setdefault(w, len(index)) for w in words), "<u4", len(words)).tobytes())
-                ids.append(doc_id)
-                counts.append(len(words))
-                total += len(words) + 1
-                if total >= BLOCK_CHUNKS:
-                    yield block()
-                    ids, counts, places, total, index = [], [], [], 0, {}
-        if ids:
-            yield block()
-
-    return cut(rows.mapInArrow(lay_out, _BLOCK), "chunk-blocks")
-
-
-def chunk_table(blocks: DataFrame, model: bytes, apart: bool) -> DataFrame:
-    """``chunk, ids`` of every distinct chunk of all blocks, each segmented once; a written table."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
-
-    def encode(batches):
-        sp = processor(shared.value)
-        for batch in batches:
-            for at in range(0, len(batch), SEGMENT_ROWS):
-                part = batch.slice(at, SEGMENT_ROWS)
-                ids = segment(sp, part["chunk"].to_pylist(), apart)
-                yield pa.RecordBatch.from_arrays([part["chunk"], pa.array(ids, pa.list_(pa.int32()))],
-                                                 names=["chunk", "ids"])
-
-    distinct = blocks.select(F.explode("chunks").alias("chunk")).distinct()
-    return cut(distinct.mapInArrow(encode, "chunk string, ids array<int>"), "chunk-table")
+class ChunkTable:
+    """The distinct chunks of a block of texts, and where its texts have them."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}  # a chunk's place is the number of those before it
+        self.places: list[np.ndarray] = []
+        self.counts: list[int] = []
+        self.total = 0
+
+    def add(self, chunks: list[str]) -> None:
+        """The next text."""
+        index = self.index
+        self.places.append(np.fromiter((index.setdefault(c, len(index)) for c in chunks), np.int64, len(chunks)))
+        self.counts.append(len(chunks))
+        self.total += len(chunks) + 1
+
+    def join(self, sp, apart: bool) -> pa.ListArray:
+        """Each text's ids, after segmenting each distinct chunk once."""
+        lists = pa.array(segment(sp, list(self.index), apart), pa.list_(pa.int32()))
+        size = np.asarray(lists.value_lengths(), np.int64)
+        start, flat = np.cumsum(size) - size, lists.flatten().to_numpy()
+        places = np.concatenate(self.places) if self.places else np.zeros(0, np.int64)
+        size = size[places]
+        end = np.concatenate([[0], np.cumsum(size)])
+        take = np.repeat(start[places] - end[:-1], size) + np.arange(end[-1])
+        # a text's chunks are neighbours
+        edge = end[np.concatenate([[0], np.cumsum(self.counts, dtype=np.int64)])]
+        return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(flat[take], pa.int32()))
 
 
 def encode_documents(docs: DataFrame, model: str | None = None, doc: str = "doc_id",
@@ -145,38 +120,28 @@ def encode_documents(docs: DataFrame, model: str | None = None, doc: str = "doc_
     with open(model or default_model(), "rb") as f:
         proto = f.read()
     apart = pieces_stay_apart(processor(proto))
-    blocks = chunk_blocks(docs.select(F.col(doc).cast("long").alias("doc_id"),
-                                      F.col(text).cast("binary").alias("text")), apart)
-    known = chunk_table(blocks, proto, apart)
-    named = blocks.select("block", F.posexplode("chunks").alias("at", "chunk"))
-    found = (named.join(known, "chunk").groupBy("block")
-             .agg(F.collect_list(F.struct("at", "ids")).alias("found")))
-    joined = blocks.select("block", "doc_ids", "counts", "places").join(found, "block", "left")
-
-    def gather(batches):
+    shared = docs.sparkSession.sparkContext.broadcast(proto)
+
+    def encode(batches):
+        sp = processor(shared.value)
+        ids, block = [], ChunkTable()
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), block.join(sp, apart)], names=["doc_id", "ids"])
+
         for batch in batches:
-            for r in range(len(batch)):
-                doc_ids, counts = batch["doc_ids"][r].values, batch["counts"][r].values.to_numpy()
-                places = np.frombuffer(batch["places"][r].as_py(), "<u4").astype(np.int64)
-                pairs = batch["found"][r].values
-                if pairs is None:  # no text of the block has a chunk
-                    lengths, starts, flat = (np.zeros(0, np.int64) for _ in range(3))
-                else:
-                    at, lists = pairs.field("at").to_numpy(), pairs.field("ids")
-                    lengths, starts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                    size = lists.value_lengths().to_numpy().astype(np.int64)
-                    lengths[at], starts[at] = size, np.cumsum(size) - size
-                    flat = lists.flatten().to_numpy()
-                size = lengths[places]
-                end = np.cumsum(size)
-                take = np.repeat(starts[places] - (end - size), size) + np.arange(end[-1] if len(end) else 0)
-                # each text's chunks are neighbours
-                edge = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(counts)])]
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(flat[take], pa.int32()))],
-                    names=["doc_id", "ids"])
-
-    return joined.select("doc_ids", "counts", "places", "found").mapInArrow(gather, "doc_id long, ids array<int>")
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                text = (text.as_py() or b"").decode("utf-8", "replace")
+                block.add(chunks_of(text) if apart else [text] if text else [])
+                ids.append(doc_id.as_py())
+                if block.total >= BLOCK_CHUNKS:
+                    yield done()
+                    ids, block = [], ChunkTable()
+        if ids:
+            yield done()
+
+    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    return rows.mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:

@@ -69,13 +69,24 @@ def test_what_lets_pieces_cross_is_seen():
     assert not S.pieces_stay_apart(Crossing(is_unknown=lambda i: True))
 
 
-def test_each_distinct_chunk_is_segmented_once(spark):
-    rows = [(i, prose(40, i % 3)) for i in range(30)]
-    blocks = S.chunk_blocks(frame(spark, rows).selectExpr("doc_id", "CAST(text AS BINARY) AS text"), True)
-    with open(S.default_model(), "rb") as f:
-        known = S.chunk_table(blocks, f.read(), True)
-    chunks = [r["chunk"] for r in known.collect()]
-    assert sorted(chunks) == sorted({c for _, t in rows for c in S.chunks_of(t)})
+def test_each_distinct_chunk_of_a_block_is_segmented_once():
+    seen = []
+
+    class Counting:
+        def encode(self, chunks, num_threads):
+            seen.extend(chunks)
+            return SP.encode(chunks)
+
+        def piece_to_id(self, piece):
+            return SP.piece_to_id(piece)
+
+    texts = [prose(40, i % 3) for i in range(30)] + ["", " "]
+    block = S.ChunkTable()
+    for t in texts:
+        block.add(S.chunks_of(t))
+    assert block.join(Counting(), True).to_pylist() == [SP.encode(t) for t in texts]
+    assert sorted(seen) == sorted({c[1:] for t in texts for c in S.chunks_of(t)})
+    assert S.ChunkTable().join(SP, True).to_pylist() == []
 
 
 def test_empty_table(spark):
