@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import table
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
-BLOCK_CHUNKS = 1 << 19
+BLOCK_CHUNKS = 1 << 18
 MARK = "▁"
 _CHUNK = re.compile(r" *[^ ]+| +")
 # An identity normalizer that marks the front and keeps every space gives these as they are.
@@ -66,42 +66,48 @@ def pieces_stay_apart(sp) -> bool:
 
 
 def chunks_of(text: str) -> list[str]:
-    """A text's chunks with spaces for markers, the one put before the text included."""
+    """A text's chunks, spaces for markers, each without its first marker; none of an empty text."""
     if not text:
         return []
     text = text.replace(MARK, " ")
     if "  " not in text and text[0] != " " and text[-1] != " ":
-        return [" " + w for w in text.split(" ")]
-    return _CHUNK.findall(" " + text)
+        return text.split(" ")
+    return [c[1:] for c in _CHUNK.findall(" " + text)]
 
 
 def segment(sp, chunks: list[str], apart: bool) -> list[list[int]]:
     """Ids of each chunk; the library puts the first marker before a chunk by itself."""
-    if not apart:
-        return sp.encode(chunks, num_threads=1)
-    # without a character after its first marker a chunk would be an empty text
-    alone = [sp.piece_to_id(MARK)]
-    return [ids if c != " " else alone for c, ids in zip(chunks, sp.encode([c[1:] for c in chunks], num_threads=1), strict=True)]
+    ids = sp.encode(chunks, num_threads=1)
+    if apart and "" in chunks:
+        # a marker alone, which the library would take for an empty text
+        ids[chunks.index("")] = [sp.piece_to_id(MARK)]
+    return ids
+
+
+class Places(dict):
+    """Distinct chunks in order; a new one's place is the number of those before it."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = place = len(self)
+        return place
 
 
 class ChunkTable:
     """The distinct chunks of a block of texts, and where its texts have them."""
 
     def __init__(self):
-        self.index: dict[str, int] = {}  # a chunk's place is the number of those before it
+        self.index, self.total = Places(), 0
         self.places: list[np.ndarray] = []
         self.counts: list[int] = []
-        self.total = 0
 
     def add(self, chunks: list[str]) -> None:
         """The next text."""
-        index = self.index
-        self.places.append(np.fromiter((index.setdefault(c, len(index)) for c in chunks), np.int64, len(chunks)))
+        self.places.append(np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)))
         self.counts.append(len(chunks))
         self.total += len(chunks) + 1
 
-    def join(self, sp, apart: bool) -> pa.ListArray:
-        """Each text's ids, after segmenting each distinct chunk once."""
+    def join(self, sp, apart: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(where each text's ids begin and end, all ids), after segmenting each distinct chunk once."""
         lists = pa.array(segment(sp, list(self.index), apart), pa.list_(pa.int32()))
         size = np.asarray(lists.value_lengths(), np.int64)
         start, flat = np.cumsum(size) - size, lists.flatten().to_numpy()
@@ -110,13 +116,16 @@ class ChunkTable:
         end = np.concatenate([[0], np.cumsum(size)])
         take = np.repeat(start[places] - end[:-1], size) + np.arange(end[-1])
         # a text's chunks are neighbours
-        edge = end[np.concatenate([[0], np.cumsum(self.counts, dtype=np.int64)])]
-        return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(flat[take], pa.int32()))
+        return end[np.concatenate([[0], np.cumsum(self.counts, dtype=np.int64)])], flat[take]
+
 
+def encode_documents(docs: DataFrame, model: str | None = None, doc: str = "doc_id", text: str = "text",
+                     decode: bool = False) -> DataFrame:
+    """``doc_id, ids`` for every row of ``docs``: its whole text as the library encodes it.
 
-def encode_documents(docs: DataFrame, model: str | None = None, doc: str = "doc_id",
-                     text: str = "text") -> DataFrame:
-    """``doc_id, ids`` for every row of ``docs``: its whole text as the library encodes it."""
+    With ``decode`` also ``decoded``, what the library decodes from those ids,
+    without sending them to another worker.
+    """
     with open(model or default_model(), "rb") as f:
         proto = f.read()
     apart = pieces_stay_apart(processor(proto))
@@ -127,13 +136,19 @@ def encode_documents(docs: DataFrame, model: str | None = None, doc: str = "doc_
         ids, block = [], ChunkTable()
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), block.join(sp, apart)], names=["doc_id", "ids"])
+            edge, flat = block.join(sp, apart)
+            columns = [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(flat))]
+            if decode:
+                every = flat.tolist()
+                columns.append(pa.array([sp.decode(every[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)],
+                                        pa.string()))
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][:len(columns)])
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 text = (text.as_py() or b"").decode("utf-8", "replace")
                 block.add(chunks_of(text) if apart else [text] if text else [])
-                ids.append(doc_id.as_py())
+                ids.append(doc_id)
                 if block.total >= BLOCK_CHUNKS:
                     yield done()
                     ids, block = [], ChunkTable()
@@ -141,7 +156,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, doc: str = "doc_
             yield done()
 
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, ids array<int>")
+    return rows.mapInArrow(encode, "doc_id long, ids array<int>" + ", decoded string" * decode)
 
 
 def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -152,7 +167,8 @@ def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:
     def decode(batches):
         sp = processor(shared.value)
         for batch in batches:
-            texts = [sp.decode(ids or []) for ids in batch["ids"].to_pylist()]
+            texts = [sp.decode([] if ids is None else ids.to_numpy().tolist())
+                     for ids in (r.values for r in batch["ids"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(texts, pa.string())],
                                              names=["doc_id", "ids", "decoded"])
 
@@ -161,7 +177,7 @@ def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every whole document, as digests."""
-    out = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
+    out = encode_documents(table(spark, sf_dir, "documents"), decode=True)
     return out.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
