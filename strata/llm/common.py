@@ -120,3 +120,35 @@ def open_fs(uri: str):
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), local_path(uri)
     return fs.FileSystem.from_uri(uri)
+
+
+def text_mark(c: Column) -> Column:
+    """Sixteen bytes that tell a row's text from others of the same id; null for a null text."""
+    return F.unhex(F.md5(c.cast("binary")))
+
+
+class WordTable(dict):
+    """``value(word)`` for the words of one task, each worked out once while there is room.
+
+    Made by the task that uses it, so nothing of it outlives the task. It starts
+    anew when its words and their values fill about ``LIMIT`` bytes, and very
+    long words are not kept.
+    """
+
+    LIMIT = 24 << 20
+    ENTRY = 200  # a slot, a key's and a value's headers
+    LONGEST = 256
+
+    def __init__(self, value):
+        super().__init__()
+        self.value, self.held = value, 0
+
+    def __missing__(self, word):
+        found = self.value(word)
+        if len(word) <= self.LONGEST:
+            self.held += len(word) + self.ENTRY
+            if self.held > self.LIMIT:
+                self.clear()
+                self.held = 0
+            self[word] = found
+        return found

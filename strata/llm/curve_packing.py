@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, table
-from strata.llm.tokens import default_vocabulary, encoder
+from strata.llm.tokens import default_vocabulary, task_encoder
 
 LENGTH = 4096
 END_ID = 2
@@ -79,6 +79,22 @@ def hilbert_keys(cells: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
     return key
 
 
+def _encoded(batches, enc, end_id: int):
+    table_ = projection(enc.tokenizer.get_vocab_size())
+    for batch in batches:
+        blobs = [enc.encode_text(t, end_id) for t in batch["text"].to_pylist()]
+        means = np.empty((len(blobs), DIMS), np.float32)
+        for i, b in enumerate(blobs):
+            means[i] = table_[np.frombuffer(b, enc.dtype)].mean(axis=0)
+        width = enc.dtype.itemsize
+        yield pa.RecordBatch.from_pydict({
+            "row": batch["row"], "doc_id": batch["doc_id"],
+            "n": pa.array([len(b) // width for b in blobs], pa.int64()),
+            **{f"v{i}": pa.array(means[:, i], pa.float32()) for i in range(DIMS)},
+            "ids": pa.array(blobs, pa.binary()),
+            "width": pa.array([width] * len(blobs), pa.int64())})
+
+
 def encode_documents(docs: DataFrame, vocabulary: str, end_id: int,
                      doc: str, text: str) -> DataFrame:
     """``row, doc_id, n, v0.., ids, width`` per document; ids are packed bytes."""
@@ -86,20 +102,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, end_id: int,
               + "".join(f"v{i} float, " for i in range(DIMS)) + "ids binary, width long")
 
     def encode(batches):
-        enc = encoder(vocabulary)
-        table_ = projection(enc.tokenizer.get_vocab_size())
-        for batch in batches:
-            blobs = [enc.encode_text(t, end_id) for t in batch["text"].to_pylist()]
-            means = np.empty((len(blobs), DIMS), np.float32)
-            for i, b in enumerate(blobs):
-                means[i] = table_[np.frombuffer(b, enc.dtype)].mean(axis=0)
-            width = enc.dtype.itemsize
-            yield pa.RecordBatch.from_pydict({
-                "row": batch["row"], "doc_id": batch["doc_id"],
-                "n": pa.array([len(b) // width for b in blobs], pa.int64()),
-                **{f"v{i}": pa.array(means[:, i], pa.float32()) for i in range(DIMS)},
-                "ids": pa.array(blobs, pa.binary()),
-                "width": pa.array([width] * len(blobs), pa.int64())})
+        with task_encoder(vocabulary) as enc:
+            yield from _encoded(batches, enc, end_id)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"),
                        F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, fresh, table
+from strata.llm.common import WordTable, cut, fresh, scratch_path, table, text_mark
 
 FEATURES = 1 << 18
 OVERSAMPLE = 16
@@ -62,28 +62,20 @@ SECTION = 1 << 10  # cells that are looked at together
 LCS_SHARE, LCS_SHARE_WITH_ANSWER = 0.8, 0.6
 SHORT = 3
 STRETCH = 1.25
-MAX_CACHED_WORDS = 1_000_000
 _AROUND = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class Words(dict):
-    """Raw word (bytes) to a 32-bit hash of its lower-cased bare form; 0 if nothing is left."""
+def _word_hash(word: bytes) -> int:
+    """A 32-bit hash of a word's lower-cased bare form; 0 if nothing is left."""
+    bare = word.decode("utf-8", "replace").lower().encode().strip(_AROUND)
+    return (xxhash.xxh64_intdigest(bare) & 0xFFFFFFFF or 1) if bare else 0
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_CACHED_WORDS:
-            self.clear()
-        bare = word.decode("utf-8", "replace").lower().encode().strip(_AROUND)
-        self[word] = h = (xxhash.xxh64_intdigest(bare) & 0xFFFFFFFF or 1) if bare else 0
-        return h
 
-
-_WORDS = Words()
-
-
-def word_hashes(text: bytes | None) -> np.ndarray:
+def word_hashes(text: bytes | None, table_: WordTable | None = None) -> np.ndarray:
     """Hashes of a text's words in order, words of punctuation alone left out."""
     words = (text or b"").split()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.int64, len(words))
+    hashes = map(_word_hash if table_ is None else table_.__getitem__, words)
+    h = np.fromiter(hashes, np.int64, len(words))
     return h[h != 0] if len(h) and not h.all() else h
 
 
@@ -92,14 +84,16 @@ def _features(hashes: np.ndarray) -> np.ndarray:
 
 
 def hashed_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, words``: every document's word hashes, 32 bits each."""
+    """``doc_id, mark, words``: every document's word hashes, 32 bits each."""
 
     def hashed(batches):
+        known = WordTable(_word_hash)
         for batch in batches:
-            blobs = [word_hashes(t).astype("<u4").tobytes() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(blobs, pa.binary())], names=["doc_id", "words"])
+            blobs = [word_hashes(t, known).astype("<u4").tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(blobs, pa.binary())],
+                                             names=["doc_id", "mark", "words"])
 
-    return docs.mapInArrow(hashed, "doc_id long, words binary")
+    return docs.mapInArrow(hashed, "doc_id long, mark binary, words binary")
 
 
 def inverse_frequencies(hashed: DataFrame) -> np.ndarray:
@@ -392,16 +386,19 @@ class Searcher:
         return found
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
-                 item: str = "item_id", item_text: str = "text", answer: str | None = None) -> DataFrame:
-    """``doc_id, item_id, lcs_words, item_words, cosine``: which document holds which item."""
-    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+_HIT = "doc_id long, mark binary, item_id long, lcs_words long, item_words long, cosine double"
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, doc: str, text: str, item: str, item_text: str,
+          answer: str | None) -> DataFrame:
+    """Which row (id and text's mark) holds which item."""
+    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), text_mark(F.col(text)).alias("mark"),
+                       F.col(text).cast("binary").alias("text"))
     items = benchmark.select(
         F.col(item).cast("long").alias("item_id"), F.col(item_text).cast("binary").alias("text"),
         (F.col(answer).cast("binary") if answer else F.lit(None).cast("binary")).alias("answer")
     ).filter(F.length("text") > 0)
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, lcs_words long, item_words long, cosine double"
     hashed = cut(hashed_documents(rows), "hashed-words")
     idf = inverse_frequencies(hashed)
     # dealt to blocks by row, so that equal items spread as well
@@ -409,7 +406,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
     size = F.ceil(F.size(F.split(F.col("text").cast("string"), r"\s+")) / PASSAGE_WORDS)
     blocks = max(1, -(-(items.agg(F.sum(size)).first()[0] or 0) // BLOCK))
     items = items.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
-    found = None
+    found = []
     for (block,) in sorted(tuple(r) for r in items.select("block").distinct().collect()):
         of_block = items.filter(F.col("block") == block)
         queries = [(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"]))
@@ -422,23 +419,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", tex
         def search(batches, shared=shared):
             searcher = shared.value
             for batch in batches:
-                ids = batch["doc_id"].to_pylist()
-                out = [(ids[d], *hit) for d, *hit in searcher.find(batch["words"].to_pylist())]
+                ids, marks = batch["doc_id"].to_pylist(), batch["mark"].to_pylist()
+                out = [(ids[d], marks[d], *hit) for d, *hit in searcher.find(batch["words"].to_pylist())]
                 if out:
+                    types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.float64() if i == 4 else pa.int64()) for i, c in enumerate(zip(*out, strict=True))],
-                        names=["doc_id", "item_id", "lcs_words", "item_words", "cosine"])
+                        [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                        names=["doc_id", "mark", "item_id", "lcs_words", "item_words", "cosine"])
 
-        hits = hashed.mapInArrow(search, schema)
-        found = hits if found is None else found.union(hits)
-    return spark.createDataFrame([], schema) if found is None else found
+        path = scratch_path(spark, "leaks")
+        hashed.mapInArrow(search, _HIT).write.parquet(path)
+        shared.destroy()  # what workers hold of this block's space goes too
+        found.append(path)
+    return spark.read.schema(_HIT).parquet(*found) if found else spark.createDataFrame([], _HIT)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
+                 item: str = "item_id", item_text: str = "text", answer: str | None = None) -> DataFrame:
+    """``doc_id, item_id, lcs_words, item_words, cosine``: which document holds which item."""
+    return _hits(docs, benchmark, doc, text, item, item_text, answer).drop("mark")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; columns unchanged."""
-    gone = fresh(docs, "_gone")
-    ids = cut(contaminated(docs, benchmark, doc, text).select(F.col("doc_id").alias(gone)).distinct(), "leaks")
-    return docs.join(ids, F.col(doc) == F.col(gone), "left_anti")
+    """``docs`` without the rows that hold a benchmark item; columns unchanged.
+
+    Rows are told apart by id (a null one is an id like others) and text.
+    """
+    id_, mark = fresh(docs, "_id"), fresh(docs, "_mark")
+    gone = _hits(docs, benchmark, doc, text, "item_id", "text", None).select(
+        F.col("doc_id").alias(id_), F.col("mark").alias(mark)).distinct()
+    on = F.col(doc).cast("long").eqNullSafe(F.col(id_)) & (text_mark(F.col(text)) == F.col(mark))
+    return docs.join(gone, on, "left_anti")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,9 @@ of 64, and ``select`` finds any boundary from a sample and at most a few words.
 Document ids are ascending, so they are stored the same way (nulls, which sort
 first, as a count).
 
-A shard is written as a stream: a task holds one Arrow batch of ids and eight
-bytes per document of its shard. Files get a new name per attempt and count
+A shard is written as a stream: a task holds one Arrow batch of ids and sixteen
+bytes per document of its shard (its length and its id), and while the file is
+closed some tens of bytes a document for the boundaries. Files get a new name per attempt and count
 only when the manifest, written by Spark, lists them, so a retried or lost task
 leaves at most a file that nobody reads. Files lie in the shared folder.
 
@@ -29,6 +30,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +40,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, open_fs, scratch_path, table
-from strata.llm.tokens import default_vocabulary, encoder
+from strata.llm.tokens import default_vocabulary, task_encoder
 
 MAGIC = b"EFIDS\x00\x00\x01"
 SAMPLE_EVERY = 256
 READ_BYTES = 1 << 22
+PACK_VALUES = 1 << 14
 END_ID = 1
 
 
@@ -62,11 +65,11 @@ class EliasFano:
         n = len(v)
         top = int(v[-1]) if n else 0
         l = max(0, (top // max(n, 1)).bit_length() - 1)
-        low = np.zeros(0, np.uint8)
-        if l and n:
-            lows = v & np.uint64((1 << l) - 1)
-            bits = (lows[:, None] >> np.arange(l, dtype=np.uint64)) & np.uint64(1)
-            low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
+        parts = [np.zeros(0, np.uint8)]
+        for i in range(0, n if l else 0, PACK_VALUES):  # a multiple of 8 values ends with a byte
+            some = v[i:i + PACK_VALUES, None] >> np.arange(l, dtype=np.uint64)
+            parts.append(np.packbits((some & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little"))
+        low = np.concatenate(parts)
         at = (v >> np.uint64(l)).astype(np.int64) + np.arange(n)
         marks = np.zeros(int(at[-1]) + 1 if n else 0, np.uint8)
         marks[at] = 1
@@ -123,8 +126,8 @@ class ShardWriter:
         fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
         self.out, self.width = fs.open_output_stream(path), width
         self.out.write(MAGIC)
-        self.lengths: list[int] = []
-        self.doc_ids: list[int] = []
+        self.lengths = array("Q")
+        self.doc_ids = array("q")
         self.nulls = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
@@ -137,10 +140,11 @@ class ShardWriter:
 
     def close(self) -> int:
         """Finish the file; returns the number of ids in it."""
-        ends = np.concatenate([[0], np.cumsum(np.array(self.lengths, dtype=np.uint64), dtype=np.uint64)])
+        ends = np.concatenate([[0], np.cumsum(np.frombuffer(self.lengths, np.uint64), dtype=np.uint64)]).astype(np.uint64)
         least = self.doc_ids[0] if self.doc_ids else 0
         bounds = EliasFano.encode(ends)
-        named = EliasFano.encode(np.array([d - least for d in self.doc_ids], dtype=np.uint64))
+        # differences are taken in unsigned 64 bits, which hold them all
+        named = EliasFano.encode(np.frombuffer(self.doc_ids, np.int64).astype(np.uint64) - np.uint64(least % (1 << 64)))
         for part in bounds.parts() + named.parts():
             self.out.write(part)
         footer = json.dumps({"width": self.width, "tokens": int(ends[-1]), "nulls": self.nulls,
@@ -197,26 +201,28 @@ def write_token_shards(docs: DataFrame, out_dir: str, vocabulary: str | None = N
     """Write shard files in ascending document order; returns the manifest.
 
     Manifest: ``shard, path, n_docs, n_tokens``, shards ascending with the ids.
-    The row number breaks ties, so that one id with many rows still spreads.
+    Rows of one id are ordered by a hash of their texts, so that an id with many
+    texts still spreads and a task that runs again finds the same rows.
     """
     vocabulary = vocabulary or default_vocabulary()
 
     def write(batches):
-        enc, shard = encoder(vocabulary), TaskContext.get().partitionId()
-        uri = f"{out_dir}/shard-{shard:06d}-{uuid.uuid4().hex}.efids"
-        writer = None
-        for batch in batches:
-            for doc_id, body in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                writer = writer or ShardWriter(uri, enc.dtype.itemsize)
-                writer.add(doc_id, enc.encode_text(body, end_id))
-        if writer is not None:
-            n_docs, n_tokens = len(writer.lengths), writer.close()
-            yield pa.RecordBatch.from_pylist(
-                [{"shard": shard, "path": uri, "n_docs": n_docs, "n_tokens": n_tokens}])
+        with task_encoder(vocabulary) as enc:
+            shard = TaskContext.get().partitionId()
+            uri = f"{out_dir}/shard-{shard:06d}-{uuid.uuid4().hex}.efids"
+            writer = None
+            for batch in batches:
+                for doc_id, body in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                    writer = writer or ShardWriter(uri, enc.dtype.itemsize)
+                    writer.add(doc_id, enc.encode_text(body, end_id))
+            if writer is not None:
+                n_docs, n_tokens = len(writer.lengths), writer.close()
+                yield pa.RecordBatch.from_pylist(
+                    [{"shard": shard, "path": uri, "n_docs": n_docs, "n_tokens": n_tokens}])
 
     ordered = (docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-               .withColumn("row", F.monotonically_increasing_id())
-               .repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
+               .withColumn("tie", F.xxhash64("text"))
+               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
                .select("doc_id", "text"))
     return cut(ordered.mapInArrow(write, "shard long, path string, n_docs long, n_tokens long"),
                "token-manifest")

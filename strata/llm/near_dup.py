@@ -26,10 +26,11 @@ a band, and bucket sizes bound nothing. Links and labels stay in tables.
 
 Defined results: texts without words have an empty set and link with nothing;
 texts with fewer than ``k`` words have one shingle, the whole sequence. Rows
-are judged one by one: repeated rows and repeated ids each give a row, and the
-rows of one id and set are one node. Rows with a null id take part in no link:
-their component is null and they are kept. An empty table gives no rows. Extra
-columns are carried by ``keep_first`` and ignored by the query.
+are judged one by one, by their text: a node is a class of equal sets, numbered
+by itself, so texts that share an id are not linked by it, and a component's id
+is the smallest id of its rows. Rows with a null id take part in no link: their
+component is null and they are kept. An empty table gives no rows. Extra columns
+are carried by ``keep_first`` and ignored by the query.
 """
 
 from __future__ import annotations
@@ -40,12 +41,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, fresh, table
+from strata.llm.common import WordTable, cut, fresh, table, text_mark
 
 T = 128
 ROWS = 4
 BANDS = T // ROWS
-MAX_CACHED_WORDS = 1_000_000
 # Pairs whose sketches agree less than this below the threshold are dropped: six
 # standard deviations of the estimate at similarity 0.8 with 128 coordinates.
 SKETCH_SLACK = 0.21
@@ -62,25 +62,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S33)
 
 
-class WordHashes(dict):
-    """Word (bytes) to a fixed 64-bit hash, with a bounded cache."""
+def word_table() -> WordTable:
+    """Words (bytes) to fixed 64-bit hashes."""
+    return WordTable(xxhash.xxh64_intdigest)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
-
-_WORDS = WordHashes()
-
-
-def shingle_set(text: bytes | None, k: int) -> np.ndarray:
+def shingle_set(text: bytes | None, k: int, hashes: WordTable) -> np.ndarray:
     """Sorted distinct hashes of the ``k``-word shingles of a text (A-Z lower-cased)."""
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = len(h) - k + 1
     parts = min(k, len(h))
     out = np.full(max(n, 1), parts, np.uint64)
@@ -115,21 +107,22 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n, digest, sketch`` per row; the digest of equal sets is equal."""
+    """``doc_id, mark, n, digest, sketch`` per row; the digest of equal sets is equal."""
 
     def sets(batches):
+        hashes = word_table()
         for batch in batches:
             n, digests, sketches = [], [], []
             for text in batch["text"].to_pylist():
-                s = shingle_set(text, k)
+                s = shingle_set(text, k, hashes)
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sketches.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(sketches, pa.binary())], names=["doc_id", "n", "digest", "sketch"])
+                [batch["doc_id"], batch["mark"], pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+                 pa.array(sketches, pa.binary())], names=["doc_id", "mark", "n", "digest", "sketch"])
 
-    return docs.mapInArrow(sets, "doc_id long, n long, digest binary, sketch binary")
+    return docs.mapInArrow(sets, "doc_id long, mark binary, n long, digest binary, sketch binary")
 
 
 def bands(reps: DataFrame) -> DataFrame:
@@ -165,16 +158,16 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     """The pairs with ``100 * intersection >= percent * union`` on the full sets."""
 
     def check(batches):
-        held: dict[int, np.ndarray] = {}
+        hashes, held = word_table(), {}
         for batch in batches:
             keep, last_b, set_b = [], None, None
             for a, b, ta, tb in zip(*(batch[c].to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
                 if last_b != b:
-                    last_b, set_b = b, shingle_set(tb, k)
+                    last_b, set_b = b, shingle_set(tb, k, hashes)
                 if a not in held:
                     if len(held) >= 1000:
                         held.clear()
-                    held[a] = shingle_set(ta, k)
+                    held[a] = shingle_set(ta, k, hashes)
                 set_a = held[a]
                 both = len(np.intersect1d(set_a, set_b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(set_a) + len(set_b) - both))
@@ -222,10 +215,10 @@ def _rarity(texts: DataFrame, k: int) -> np.ndarray:
     size = 1 << RARITY_BITS
 
     def count(batches):
-        total = np.zeros(size, np.int64)
+        total, hashes = np.zeros(size, np.int64), word_table()
         for batch in batches:
             for t in batch["text"].to_pylist():
-                total += np.bincount((shingle_set(t, k) & np.uint64(size - 1)).astype(np.int64), minlength=size)
+                total[(shingle_set(t, k, hashes) & np.uint64(size - 1)).astype(np.int64)] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["class", "n"])
 
@@ -248,11 +241,11 @@ def _open_pairs(open_texts: DataFrame, labels: DataFrame, k: int, percent: int)
     rarity = _rarity(open_texts, k)
 
     def prefixes(batches):
-        mask = np.uint64((1 << RARITY_BITS) - 1)
+        mask, hashes = np.uint64((1 << RARITY_BITS) - 1), word_table()
         for batch in batches:
             cols = {c: [] for c in ("token", "rep", "component", "n", "pos")}
             for rep, label, text in zip(*(batch[c].to_pylist() for c in ("rep", "component", "text")), strict=True):
-                s = shingle_set(text, k)
+                s = shingle_set(text, k, hashes)
                 s = s[np.lexsort((s, rarity[(s & mask).astype(np.int64)]))]
                 n = len(s)
                 # the smallest partner has percent/100 of this set's elements
@@ -278,23 +271,25 @@ def _open_pairs(open_texts: DataFrame, labels: DataFrame, k: int, percent: int)
     return met.select(F.greatest("a.rep", "b.rep").alias("a"), F.least("a.rep", "b.rep").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80,
-                    doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+def _judged(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """``doc_id, mark, n, digest, first`` for every row of ``doc_id, mark, text``.
+
+    ``first`` is the component's least ``doc_id, mark``, null for rows that link
+    with nothing because they have no id or no set.
+    """
     sets = cut(document_sets(rows, k), "sets")
     real = sets.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = cut(real.groupBy("digest").agg(F.min(F.struct("doc_id", "sketch")).alias("m"))
-                  .select("digest", F.col("m.doc_id").alias("rep"), F.col("m.sketch").alias("sketch")), "classes")
+    classes = real.groupBy("digest").agg(F.min(F.struct("doc_id", "mark", "sketch")).alias("m"))
+    classes = cut(classes.select("digest", F.monotonically_increasing_id().alias("rep"), "m.*"), "classes")
     keys = cut(bands(classes), "bands")
     buckets = keys.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).filter("b <> top")
     buckets = cut(buckets.select("key", "b"), "buckets")
     members = cut(keys.join(buckets, "key").select("key", F.col("rep").alias("a"), "b"), "members")
     stars = members.filter("a <> b").select("a", "b").distinct()
     close = cut(_similar_sketches(stars, classes, percent / 100 - SKETCH_SLACK), "close")
-    named = members.select(F.col("a").alias("rep")).distinct()
-    texts = cut(rows.withColumnRenamed("doc_id", "rep").join(named, "rep")
-                .select("rep", "text").distinct(), "texts")
+    named = classes.join(members.select(F.col("a").alias("rep")).distinct(), "rep").select("rep", "doc_id", "mark")
+    # rows that repeat both the id and the text have one text
+    texts = cut(rows.join(named, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("rep", "text"), "texts")
     links = cut(verify(close, texts, k, percent), "verified")
     label = cut(components(links), "labels")
 
@@ -310,29 +305,56 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80,
     open_texts = cut(texts.join(open_reps, "rep"), "open-texts")
     pairs = cut(_open_pairs(open_texts, labelled(open_reps), k, percent), "open-pairs")
     more = cut(verify(_similar_sketches(pairs, classes, percent / 100 - SKETCH_SLACK), texts, k, percent), "verified")
-    final = components(links.union(more)) if not more.isEmpty() else label
-    node = classes.select("digest", "rep").join(final, "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    out = sets.select("doc_id", "n", "digest").join(cut(node, "nodes"), "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    final = cut(components(links.union(more)), "labels") if not more.isEmpty() else label
+    own = F.struct("doc_id", "mark")
+    linked = classes.join(final, "rep").select("digest", "component", own.alias("own"))
+    first = linked.groupBy("component").agg(F.min("own").alias("first"))
+    node = cut(linked.join(first, "component").select("digest", "first"), "nodes")
+    # a class that links with no other has its own first row
+    alone = classes.select("digest", own.alias("own"))
+    node = alone.join(node, "digest", "left").select("digest", F.coalesce("first", "own").alias("first"))
+    out = sets.drop("sketch").join(node, "digest", "left")
+    return out.withColumn("first", F.when(F.col("doc_id").isNotNull(), F.col("first")))
+
+
+def _rows(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc).cast("long").alias("doc_id"), text_mark(F.col(text)).alias("mark"),
+                       F.col(text).cast("binary").alias("text"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80,
+                    doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id"))
+    return _judged(_rows(docs, doc, text), k, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, doc: str = "doc_id",
                text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, its columns unchanged.
+    """``docs`` with one row of each component, its columns unchanged.
 
-    Rows that repeat both the id and the text of a kept row stay once.
+    The row with the component's least id stays, and of several texts with that
+    id one; rows that repeat both its id and its text stay once. Rows without an
+    id or without words all stay. Rows are told apart by id and text.
     """
-    dropped = near_duplicates(docs, k, percent, doc, text).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    gone = fresh(docs, "_gone")
-    kept = docs.join(dropped.withColumnRenamed("_gone", gone), F.col(doc) == F.col(gone), "left_anti")
-    same = fresh(docs, "_same")
-    named = (kept.filter(F.col(doc).isNotNull()).withColumn(same, F.xxhash64(text))
-             .dropDuplicates([doc, same]).drop(same))
-    return named.unionByName(kept.filter(F.col(doc).isNull()))
+    spark_rows = cut(_judged(_rows(docs, doc, text), k, percent).filter("first IS NOT NULL").select(
+        "doc_id", "mark", (F.struct("doc_id", "mark") == F.col("first")).alias("stays")), "judged")
+    id_, mark = fresh(docs, "_id"), fresh(docs, "_mark")
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(F.col("doc_id").alias(id_), F.col("mark").alias(mark))
+
+    def met(df: DataFrame, how: str) -> DataFrame:
+        on = (F.col(doc).cast("long") == F.col(id_)) & (text_mark(F.col(text)) == F.col(mark))
+        return docs.join(named(df), on, how)
+
+    several = cut(spark_rows.filter("stays").groupBy("doc_id", "mark").count().filter("count > 1"), "repeated")
+    gone = spark_rows.filter("NOT stays").select("doc_id", "mark").distinct()
+    once = (met(several, "left_semi").withColumns({id_: F.col(doc), mark: text_mark(F.col(text))})
+            .dropDuplicates([id_, mark]).drop(id_, mark))
+    return met(gone.union(several.select("doc_id", "mark")), "left_anti").unionByName(once)
 
 
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,16 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-# Distinct words a worker keeps; beyond it the cache starts anew. About 200 MB.
-MAX_CACHED_WORDS = 1_000_000
+# Bytes of words and ids that a task keeps; beyond it the cache starts anew.
+CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 200  # a slot, a key's and a value's headers
+LONGEST_CACHED = 256
 # Punctuation that the pre-tokenizer parts from the letters before it and that
 # starts no special token.
 _PLAIN = b'.,;:!?"()|#*$%&-'
@@ -53,6 +57,19 @@ class WordEncoder(dict):
         self.id_bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(size)]
         self.cores: dict[bytes, bytes] = {}  # letters of a word
         self.tails: dict[bytes, bytes] = {}  # punctuation after them
+        self.held = 0
+
+    def forget(self) -> None:
+        """Drop every kept word."""
+        self.clear()
+        self.cores.clear()
+        self.tails.clear()
+        self.held = 0
+
+    def _keep(self, where: dict[bytes, bytes], word: bytes, ids: bytes) -> None:
+        if len(word) <= LONGEST_CACHED:
+            self.held += len(word) + len(ids) + ENTRY_BYTES
+            where[word] = ids
 
     def _model_ids(self, part: str) -> bytes:
         """Ids of one pre-token in the model's byte alphabet."""
@@ -68,7 +85,9 @@ class WordEncoder(dict):
                     if not unicodedata.is_normalized("NFC", text):
                         return self._whole(word)
                     text = text.encode().decode("latin-1").translate(_BYTE_ALPHABET)
-                found = self.cores[core] = self._model_ids(text)
+                found = self._model_ids(text)
+                if len(core) < len(word):  # else the word itself is kept
+                    self._keep(self.cores, core, found)
             else:
                 return self._whole(word)
         if len(core) == len(word):
@@ -78,7 +97,7 @@ class WordEncoder(dict):
         if end is None:
             end = self._model_ids(tail.decode())
             if len(tail) <= 8:
-                self.tails[tail] = end
+                self._keep(self.tails, tail, end)
         return found + end
 
     def _whole(self, word: bytes) -> bytes:
@@ -87,11 +106,10 @@ class WordEncoder(dict):
         return b"".join([self.id_bytes[i] for i in ids])
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MAX_CACHED_WORDS:
-            self.clear()
-            self.cores.clear()
-            self.tails.clear()
-        self[word] = found = self._encode(word)
+        if self.held > CACHE_BYTES:
+            self.forget()
+        found = self._encode(word)
+        self._keep(self, word, found)
         return found
 
     def encode_text(self, text: bytes | None, end: int | None = None) -> bytes:
@@ -104,8 +122,18 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(vocabulary: str) -> WordEncoder:
-    """The worker's encoder for a vocabulary file, kept between tasks."""
+    """The worker's encoder for a vocabulary file; the file stays loaded between tasks."""
     found = _ENCODERS.get(vocabulary)
     if found is None:
         found = _ENCODERS[vocabulary] = WordEncoder(vocabulary)
     return found
+
+
+@contextmanager
+def task_encoder(vocabulary: str) -> Iterator[WordEncoder]:
+    """The worker's encoder for one task, whose words are dropped when it ends."""
+    found = encoder(vocabulary)
+    try:
+        yield found
+    finally:
+        found.forget()

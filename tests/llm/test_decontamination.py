@@ -199,3 +199,14 @@ def test_items_without_an_answer_column_always_have_an_answer(spark):
                  (200 + i, f"{prose(30, i)} {_half(' '.join(words[:-3]), r)} {prose(33, 9 + i)}")]
     assert _got(spark, docs, rows) == {(100 + i, i) for i, _ in rows}
     assert D.Item(1, rows[1][1].encode(), None).answer == D.word_hashes(rows[1][1].encode()).tolist()[-3:]
+
+
+def test_rows_are_dropped_by_id_and_text(spark):
+    """A contaminated row without an id goes, a clean row that shares an id stays."""
+    item = prose(30, 999, 900)
+    dirty, clean = f"{prose(40, 1, 900)} {item}", prose(50, 2, 900)
+    docs = frame(spark, [(7, dirty), (7, clean), (None, dirty), (None, clean), (None, None), (8, dirty), (8, dirty)])
+    kept = D.drop_contaminated(docs, _benchmark(spark, [(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == \
+        sorted([(7, clean), (None, clean), (None, None)], key=str)

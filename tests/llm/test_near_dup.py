@@ -18,8 +18,8 @@ def _set(text, k):
 
 
 def brute(rows, k, percent):
-    """(id, set size, component, kept) per row, over all pairs."""
-    parent = {i: i for i, _ in rows if i is not None}
+    """(id, set size, component, kept) per row, over all pairs of rows."""
+    parent = list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
@@ -28,11 +28,14 @@ def brute(rows, k, percent):
 
     sets = [(i, _set(t, k)) for i, t in rows]
     for a, (i, s) in enumerate(sets):
-        for j, t in sets[:a]:
+        for b, (j, t) in enumerate(sets[:a]):
             if None not in (i, j) and s and t and 100 * len(s & t) >= percent * len(s | t):
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    return sorted(((i, len(s), None if i is None else find(i), i is None or find(i) == i) for i, s in sets), key=str)
+                parent[find(a)] = find(b)
+    least = defaultdict(list)
+    for a, (i, _) in enumerate(sets):
+        least[find(a)].append(i)
+    return sorted(((i, len(s), None if i is None else min(least[find(a)]),
+                    i is None or min(least[find(a)]) == i) for a, (i, s) in enumerate(sets)), key=str)
 
 
 def _got(spark, rows, k=3, percent=85):
@@ -47,10 +50,24 @@ def _edited(text, edits, seed):
 
 
 def test_awkward_rows(spark):
-    rows = [(i, t) for i, t in awkward() if t != "same id, other text"]
+    rows = awkward()
     assert _got(spark, rows) == brute(rows, 3, 85)
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    a, b = prose(80, 1), prose(80, 2)
+    near = a + " tail"
+    rows = [(1, a), (5, near), (5, b)]
+    assert _got(spark, rows) == brute(rows, 3, 85) == [(1, 78, 1, True), (5, 78, 5, True), (5, 79, 1, False)]
+    for extra in (near, a):
+        kept = N.keep_first(frame(spark, [(1, a), (5, extra), (5, b)])).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, a), (5, b)]
+    kept = N.keep_first(frame(spark, [(1, a), (1, near), (1, a), (2, ""), (2, ""), (None, a), (None, a)])).collect()
+    assert sorted((str(r["doc_id"]), len(r["text"])) for r in kept if r["doc_id"] != 1) == \
+        [("2", 0), ("2", 0), ("None", len(a)), ("None", len(a))]
+    assert [r["text"] in (a, near) for r in kept if r["doc_id"] == 1] == [True]
+
+
 @pytest.mark.parametrize("k,percent", [(3, 85), (5, 80)])
 def test_near_copies_of_every_distance(spark, k, percent):
     base = [prose(200, s) for s in range(4)]
