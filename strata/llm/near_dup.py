@@ -16,10 +16,14 @@ never expanded into pairs:
 2. In each bucket, every member is paired with the bucket's smallest id alone
    (a linear number of pairs); sketches drop the pairs that are far below the
    threshold, and the rest is verified on the full sets.
-3. Where a bucket's members are then still in different components, the members
-   go to an exact join: a pair over the threshold must share one of its rarest
-   elements (prefix filter), at positions that leave room for the overlap. Only
-   pairs of different components are looked at, and all are verified.
+3. Where a bucket's members are then still in different components, ``ROUNDS``
+   times each is paired with the next one in a random order (a linear number of
+   pairs again): a group whose members link with many others, though not with
+   its smallest id, becomes one component.
+4. What is still open goes to an exact join: a pair over the threshold must share
+   one of its rarest elements (prefix filter), at positions that leave room for
+   the overlap. Only pairs of different components are looked at, and all are
+   verified.
 
 So the result is the components of the graph of all verified links that share
 a band, and bucket sizes bound nothing. Links and labels stay in tables.
@@ -38,7 +42,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import WordTable, cut, fresh, table, text_mark
@@ -49,6 +53,8 @@ BANDS = T // ROWS
 # Pairs whose sketches agree less than this below the threshold are dropped: six
 # standard deviations of the estimate at similarity 0.8 with 128 coordinates.
 SKETCH_SLACK = 0.21
+ROUNDS = 3
+PART = 512
 RARITY_BITS = 18
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -210,6 +216,20 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("rep"), F.col("v").alias("component"))).distinct()
 
 
+def _neighbours(members: DataFrame, seed: int) -> DataFrame:
+    """Each member of a bucket with the next one in a random order, if their components differ.
+
+    A pair a member, whatever the bucket's size; a large bucket is ordered in
+    parts of about ``PART`` members.
+    """
+    part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col("n") / PART))
+    w = Window.partitionBy("key", "part").orderBy(F.xxhash64("rep", F.lit(-1 - seed)), "rep")
+    next_ = members.withColumn("part", part).select(
+        F.col("rep").alias("x"), "component", F.lead("rep").over(w).alias("y"), F.lead("component").over(w).alias("other"))
+    return (next_.filter("component <> other")
+            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+
+
 def _rarity(texts: DataFrame, k: int) -> np.ndarray:
     """How many sets have an element of each of ``2**RARITY_BITS`` hash classes."""
     size = 1 << RARITY_BITS
@@ -297,11 +317,23 @@ def _judged(rows: DataFrame, k: int, percent: int) -> DataFrame:
         return df.join(label, "rep", "left").select(
             *df.columns, F.coalesce("component", "rep").alias("component"))
 
-    seen = labelled(members.select("key", F.col("a").alias("rep")))
-    split = seen.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
-                                    F.count(F.lit(1)).alias("n")).filter("x <> y AND n > 2")
-    # two members: the star was the only pair
-    open_reps = cut(members.join(split.select("key"), "key").select(F.col("a").alias("rep")).distinct(), "open")
+    def undecided() -> DataFrame:
+        """``key, rep, component, n`` of the buckets whose members are in several components."""
+        seen = labelled(members.select("key", F.col("a").alias("rep")))
+        split = seen.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                        F.count(F.lit(1)).alias("n")).filter("x <> y AND n > 2")
+        # two members: the star was the only pair
+        return cut(seen.join(split.select("key", "n"), "key"), "undecided")
+
+    left = undecided()
+    for seed in range(ROUNDS):
+        if left.isEmpty():
+            break
+        met = cut(_similar_sketches(_neighbours(left, seed), classes, percent / 100 - SKETCH_SLACK), "close")
+        links = cut(links.union(verify(met, texts, k, percent)), "verified")
+        label = cut(components(links), "labels")
+        left = undecided()
+    open_reps = cut(left.select("rep").distinct(), "open")
     open_texts = cut(texts.join(open_reps, "rep"), "open-texts")
     pairs = cut(_open_pairs(open_texts, labelled(open_reps), k, percent), "open-pairs")
     more = cut(verify(_similar_sketches(pairs, classes, percent / 100 - SKETCH_SLACK), texts, k, percent), "verified")
