@@ -1,16 +1,22 @@
 """Aggregate building blocks for the marts.
 
-Measures are plain sums and averages of the values as they are: nothing is
-rounded or cut before it is added. Whoever needs equal bits from runs with
-different partitioning rounds the finished result (see ``rounded``).
+Sums of doubles are exact: each value is taken apart into whole numbers (its
+whole part and three runs of ``BITS`` binary digits behind the point), which are
+added as whole numbers, and the total is turned into a double once. So a sum
+does not depend on the order or the number of partitions, nothing is rounded
+before it is added, and averages are one division of the sum. A value that has
+digits beyond those (smaller than about 1e-11 and not zero), is 2**62 or more,
+or is no number, raises.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUDGE = 3e-7
+BITS = 30
+_UNIT = float(1 << BITS)
+_LARGEST = float(1 << 62)
 
 
 def count_flag(col: str) -> Column:
@@ -22,13 +28,41 @@ def zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
-def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    """``df`` with its double columns rounded, as the last step of a query.
+def _combined(total: Column, parts: list[Column]) -> tuple[Column, Column]:
+    """(a sum that is not negative as a double, whether the opposite sum is negative or 0)."""
+    first, second, third = parts
+    second = second + F.shiftright(third, BITS)
+    first = first + F.shiftright(second, BITS)
+    high = total + F.shiftright(first, BITS).cast("decimal(20,0)")
+    mask = F.lit((1 << BITS) - 1)
+    low = first.bitwiseAND(mask) * F.lit(1 << BITS) + second.bitwiseAND(mask)
+    below = low.cast("double") + third.bitwiseAND(mask).cast("double") / F.lit(_UNIT)
+    zero = (high == 0) & (low == 0) & (third.bitwiseAND(mask) == 0)
+    return high.cast("double") + below / F.lit(_UNIT * _UNIT), (high < 0) | zero
 
-    The order in which partitions are added shows in a double's last bits;
-    a rounded result does not depend on it. Averages of round amounts often lie
-    exactly between two rounded values, where the last bit would decide, so all
-    are moved up by a small part (``NUDGE``) first.
-    """
-    return df.select(*[F.round(F.col(c) + F.lit(NUDGE), places).alias(c) if t == "double" else F.col(c)
-                       for c, t in df.dtypes])
+
+def exact_sum(value: Column | str) -> Column:
+    """The sum of a double column, exact and then turned into a double; NULL without values."""
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    # toward zero, so that what is left is exact and has the sign of x
+    whole = F.when(F.abs(x) < _LARGEST, x.cast("bigint"))
+    rest, digits = x - whole, []
+    for _ in range(3):
+        shifted = rest * F.lit(_UNIT)
+        digits.append(shifted.cast("bigint"))
+        rest = shifted - digits[-1]
+    misfits = F.count_if(x.isNotNull() & (whole.isNull() | (rest != 0)))
+    total = F.sum(whole.cast("decimal(20,0)"))
+    parts = [F.try_sum(d) for d in digits]  # NULL beyond 2**33 rows of a group
+    up, _ = _combined(total, parts)
+    down, negative = _combined(-total, [-p for p in parts])
+    # a negative sum is that of the opposite values, so that nothing cancels
+    done = F.when(negative, up).otherwise(-down)
+    failed = F.raise_error(F.lit("a value or a group is too large or too fine to be added exactly")).cast("double")
+    return F.when((misfits > 0) | (total.isNotNull() & done.isNull()), failed).otherwise(done)
+
+
+def exact_average(value: Column | str) -> Column:
+    """The exact sum divided once by the number of values; NULL without values."""
+    x = F.col(value) if isinstance(value, str) else value
+    return F.when(F.count(x) > 0, exact_sum(x) / F.count(x).cast("double"))

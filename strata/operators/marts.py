@@ -66,12 +66,12 @@ def daily_mart(enriched: DataFrame) -> DataFrame:
         trips.alias("trip_count"),
         F.count("passenger_count").alias("trips_with_passenger_count"),
         F.sum(F.col("passenger_count").cast("bigint")).alias("known_passenger_count"),
-        F.sum("trip_distance_miles").alias("total_distance_miles"),
-        F.avg("trip_distance_miles").alias("average_trip_distance_miles"),
-        F.avg("trip_duration_minutes").alias("average_trip_duration_minutes"),
-        F.sum("fare_amount").alias("total_fare_amount"),
-        F.sum("total_amount").alias("total_amount"),
-        safe_ratio(F.sum("total_amount"), trips.cast("double")).alias(
+        M.exact_sum("trip_distance_miles").alias("total_distance_miles"),
+        M.exact_average("trip_distance_miles").alias("average_trip_distance_miles"),
+        M.exact_average("trip_duration_minutes").alias("average_trip_duration_minutes"),
+        M.exact_sum("fare_amount").alias("total_fare_amount"),
+        M.exact_sum("total_amount").alias("total_amount"),
+        safe_ratio(M.exact_sum("total_amount"), trips.cast("double")).alias(
             "average_amount_per_trip"
         ),
         M.count_flag("is_zero_distance").alias("zero_distance_trip_count"),
@@ -88,11 +88,11 @@ def pickup_month(date_col: str = "pickup_date"):
 def monthly_mart(daily: DataFrame) -> DataFrame:
     """Monthly KPIs rolled up from the daily mart; the ratio is recomputed."""
     trips = F.sum("trip_count")
-    amount = F.sum("total_amount")
+    amount = M.exact_sum("total_amount")
     return daily.groupBy(pickup_month()).agg(
         trips.alias("total_trips"),
         amount.alias("total_amount"),
-        F.sum("total_distance_miles").alias("total_distance_miles"),
+        M.exact_sum("total_distance_miles").alias("total_distance_miles"),
         safe_ratio(amount, trips.cast("double")).alias("average_amount_per_trip"),
     )
 
@@ -166,7 +166,7 @@ def daily_study(
         .groupBy("pickup_date")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            F.sum(distance).alias("total_distance"),
-            F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
+            M.exact_sum(distance).alias("total_distance"),
+            M.exact_average("trip_duration_minutes").alias("avg_duration_minutes"),
         )
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from strata.functions import contract as C
 from strata.plans.fixtures import PERIOD_END, PERIOD_START
-from strata.plans.oracle_base import with_ctes
+from strata.plans.oracle_base import exact_average, exact_sum, with_ctes
 
 _PS, _PE = f"TIMESTAMP '{PERIOD_START}'", f"TIMESTAMP '{PERIOD_END}'"
 _PICK, _DROP = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -194,8 +194,8 @@ LIMIT 20
 
 _DAILY_STUDY = f"""
 SELECT CAST({_PICK} AS DATE) AS pickup_date, COUNT(*) AS trip_count,
-       round(SUM(trip_distance) + 3e-7, 4) AS total_distance,
-       round(AVG({_DUR}) + 3e-7, 4) AS avg_duration_minutes
+       {exact_sum('trip_distance')} AS total_distance,
+       {exact_average(_DUR)} AS avg_duration_minutes
 FROM raw WHERE {_PICK} >= {_PS} AND {_PICK} < {_PE}
 GROUP BY 1
 """
@@ -252,16 +252,8 @@ CROSS JOIN (SELECT COUNT(*) AS quarantine_count FROM quarantine) q
 _SILVER_YM = (f"SELECT *, CAST(year({_PICK}) AS INTEGER) AS year, "
               f"CAST(month({_PICK}) AS INTEGER) AS month FROM silver")
 
-_DAILY = """
-SELECT * REPLACE (round(total_distance_miles + 3e-7, 4) AS total_distance_miles,
-  round(average_trip_distance_miles + 3e-7, 4) AS average_trip_distance_miles,
-  round(average_trip_duration_minutes + 3e-7, 4) AS average_trip_duration_minutes,
-  round(total_fare_amount + 3e-7, 4) AS total_fare_amount, round(total_amount + 3e-7, 4) AS total_amount,
-  round(average_amount_per_trip + 3e-7, 4) AS average_amount_per_trip) FROM daily"""
-_MONTHLY = """
-SELECT pickup_month, total_trips, round(total_amount + 3e-7, 4) AS total_amount,
-  round(total_distance_miles + 3e-7, 4) AS total_distance_miles,
-  round(average_amount_per_trip + 3e-7, 4) AS average_amount_per_trip FROM monthly"""
+_MONTHLY = ("SELECT pickup_month, total_trips, total_amount, total_distance_miles, average_amount_per_trip "
+            "FROM monthly")
 
 ORACLE: dict[str, str] = {
     "scan_raw": with_ctes("SELECT * FROM raw", "raw"),
@@ -319,7 +311,7 @@ ORACLE: dict[str, str] = {
         "COUNT_IF(passenger_count IS NULL) AS passenger_count_null FROM bronze", "bronze"),
     "profile_nulls": with_ctes(_PROFILE_NULLS, "raw"),
     "profile_rules": with_ctes(_PROFILE_RULES, "raw"),
-    "mart_daily": with_ctes(_DAILY, "daily"),
+    "mart_daily": with_ctes("SELECT * FROM daily", "daily"),
     "daily_study": with_ctes(_DAILY_STUDY, "raw"),
     "mart_monthly": with_ctes(_MONTHLY, "monthly"),
     "mart_quality": with_ctes("SELECT * FROM quality", "quality"),
@@ -354,7 +346,7 @@ ORACLE: dict[str, str] = {
     "dash_monthly": with_ctes(
         f"{_MONTHLY} ORDER BY pickup_month", "monthly"),
     "dash_daily": with_ctes(
-        "SELECT pickup_date, trip_count, round(average_amount_per_trip + 3e-7, 4) AS average_amount_per_trip "
+        "SELECT pickup_date, trip_count, average_amount_per_trip "
         "FROM daily ORDER BY pickup_date",
         "daily"),
     "mart_quality_union": with_ctes("SELECT * FROM quality", "quality"),
@@ -382,18 +374,18 @@ ORACLE: dict[str, str] = {
     "widget_total_trips": with_ctes(
         "SELECT CAST(SUM(total_trips) AS BIGINT) AS total_trips FROM monthly", "monthly"),
     "widget_total_amount": with_ctes(
-        "SELECT round(SUM(total_amount) + 3e-7, 4) AS total_amount FROM monthly", "monthly"),
+        f"SELECT {exact_sum('total_amount')} AS total_amount FROM monthly", "monthly"),
     "widget_total_distance": with_ctes(
-        "SELECT round(SUM(total_distance_miles) + 3e-7, 4) AS total_distance_miles FROM monthly", "monthly"),
+        f"SELECT {exact_sum('total_distance_miles')} AS total_distance_miles FROM monthly", "monthly"),
     "widget_avg_amount": with_ctes(
-        "SELECT round(MAX(average_amount_per_trip) + 3e-7, 4) AS average_amount_per_trip FROM monthly "
+        "SELECT MAX(average_amount_per_trip) AS average_amount_per_trip FROM monthly "
         "WHERE pickup_month = DATE '1996-01-01'", "monthly"),
     "widget_daily_trips": with_ctes(
         "SELECT pickup_date, CAST(SUM(trip_count) AS BIGINT) AS trip_count FROM daily "
         "GROUP BY pickup_date", "daily"),
     "widget_daily_avg": with_ctes(
         "SELECT CAST(date_trunc('day', pickup_date) AS DATE) AS pickup_day, "
-        "round(AVG(average_amount_per_trip) + 3e-7, 4) AS average_amount_per_trip FROM daily GROUP BY 1", "daily"),
+        f"{exact_average('average_amount_per_trip')} AS average_amount_per_trip FROM daily GROUP BY 1", "daily"),
     "widget_quality": with_ctes(
         "SELECT quality_issue, issue_count FROM quality ORDER BY issue_count DESC", "quality"),
     "mart_row_counts": with_ctes(
@@ -408,7 +400,7 @@ ORACLE: dict[str, str] = {
     "publish_partitioned": with_ctes(_SILVER_YM, "silver"),
     "scan_partitioned": with_ctes(_SILVER_YM, "silver"),
     "job_silver": with_ctes(_SILVER_YM, "silver"),
-    "job_gold": with_ctes(_DAILY, "daily"),
+    "job_gold": with_ctes("SELECT * FROM daily", "daily"),
     "scan_partitioned_month": with_ctes(
         f"SELECT * FROM ({_SILVER_YM}) WHERE year = 1996 AND month = 2", "silver"),
     "stale_quarantine": with_ctes(

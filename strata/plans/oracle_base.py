@@ -86,17 +86,29 @@ FROM stg
 """
 
 
-DAILY = """
+def exact_sum(x: str) -> str:
+    """SQL for the exact sum of doubles whose last binary digit is 2**-60 or above, as a double."""
+    unit = "CAST(1152921504606846976 AS HUGEINT)"
+    s = f"SUM(CAST({x} * 1152921504606846976.0 AS HUGEINT))"
+    low = f"CAST(CAST(ABS({s}) % {unit} AS BIGINT) AS DOUBLE) / 1152921504606846976.0"
+    return f"((CAST(ABS({s}) // {unit} AS DOUBLE) + {low}) * CASE WHEN {s} < 0 THEN -1.0 ELSE 1.0 END)"
+
+
+def exact_average(x: str) -> str:
+    return f"CASE WHEN COUNT({x}) > 0 THEN {exact_sum(x)} / CAST(COUNT({x}) AS DOUBLE) END"
+
+
+DAILY = f"""
 SELECT pickup_date,
        COUNT(*) AS trip_count,
        COUNT(passenger_count) AS trips_with_passenger_count,
        CAST(SUM(passenger_count) AS BIGINT) AS known_passenger_count,
-       SUM(trip_distance_miles) AS total_distance_miles,
-       AVG(trip_distance_miles) AS average_trip_distance_miles,
-       AVG(trip_duration_minutes) AS average_trip_duration_minutes,
-       SUM(fare_amount) AS total_fare_amount,
-       SUM(total_amount) AS total_amount,
-       CASE WHEN COUNT(*) > 0 THEN SUM(total_amount) / CAST(COUNT(*) AS DOUBLE) END
+       {exact_sum('trip_distance_miles')} AS total_distance_miles,
+       {exact_average('trip_distance_miles')} AS average_trip_distance_miles,
+       {exact_average('trip_duration_minutes')} AS average_trip_duration_minutes,
+       {exact_sum('fare_amount')} AS total_fare_amount,
+       {exact_sum('total_amount')} AS total_amount,
+       CASE WHEN COUNT(*) > 0 THEN {exact_sum('total_amount')} / CAST(COUNT(*) AS DOUBLE) END
            AS average_amount_per_trip,
        CAST(SUM(CASE WHEN is_zero_distance THEN 1 ELSE 0 END) AS BIGINT) AS zero_distance_trip_count,
        CAST(SUM(CASE WHEN has_negative_fare THEN 1 ELSE 0 END) AS BIGINT) AS negative_fare_trip_count,
@@ -107,13 +119,13 @@ FROM enr
 GROUP BY pickup_date
 """
 
-MONTHLY = """
+MONTHLY = f"""
 SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month,
        CAST(SUM(trip_count) AS BIGINT) AS total_trips,
-       SUM(total_amount) AS total_amount,
-       SUM(total_distance_miles) AS total_distance_miles,
+       {exact_sum('total_amount')} AS total_amount,
+       {exact_sum('total_distance_miles')} AS total_distance_miles,
        CASE WHEN SUM(trip_count) > 0
-            THEN SUM(total_amount) / CAST(SUM(trip_count) AS DOUBLE) END
+            THEN {exact_sum('total_amount')} / CAST(SUM(trip_count) AS DOUBLE) END
            AS average_amount_per_trip
 FROM daily
 GROUP BY 1

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from strata.functions import contract as C
 from strata.functions import predicates as P
-from strata.functions.measures import rounded
 from strata.functions.names import lowercase_columns, missing_columns
 from strata.operators import checks, consumption, joins, marts, profile, reports, silver
 from strata.plans import fixtures as X
@@ -138,15 +137,15 @@ def profile_rules(spark, d):
 
 
 def daily_study(spark, d):
-    return rounded(marts.daily_study(X.trips(spark, d), X.PERIOD_START, X.PERIOD_END))
+    return marts.daily_study(X.trips(spark, d), X.PERIOD_START, X.PERIOD_END)
 
 
 def mart_daily(spark, d):
-    return rounded(L.daily(spark, d))
+    return L.daily(spark, d)
 
 
 def mart_monthly(spark, d):
-    return rounded(L.monthly(spark, d))
+    return L.monthly(spark, d)
 
 
 def daily_study_top31(spark, d):
@@ -193,11 +192,11 @@ def quarantine_sample(spark, d):
 
 
 def dash_monthly(spark, d):
-    return rounded(consumption.monthly_kpis(L.monthly(spark, d)))
+    return consumption.monthly_kpis(L.monthly(spark, d))
 
 
 def dash_daily(spark, d):
-    return rounded(consumption.daily_trend(L.daily(spark, d)))
+    return consumption.daily_trend(L.daily(spark, d))
 
 
 def dash_quality(spark, d):
@@ -301,15 +300,15 @@ def widget_total_trips(spark, d):
 
 
 def widget_total_amount(spark, d):
-    return rounded(consumption.total_amount(L.monthly(spark, d)))
+    return consumption.total_amount(L.monthly(spark, d))
 
 
 def widget_total_distance(spark, d):
-    return rounded(consumption.total_distance(L.monthly(spark, d)))
+    return consumption.total_distance(L.monthly(spark, d))
 
 
 def widget_avg_amount(spark, d):
-    return rounded(consumption.average_amount_for_month(L.monthly(spark, d), WIDGET_MONTH))
+    return consumption.average_amount_for_month(L.monthly(spark, d), WIDGET_MONTH)
 
 
 def widget_daily_trips(spark, d):
@@ -317,7 +316,7 @@ def widget_daily_trips(spark, d):
 
 
 def widget_daily_avg(spark, d):
-    return rounded(consumption.daily_average_amount(L.daily(spark, d)))
+    return consumption.daily_average_amount(L.daily(spark, d))
 
 
 def widget_quality(spark, d):
@@ -412,7 +411,7 @@ def job_gold(spark, d):
     J.job_bronze(spark, X.trips(spark, d), cfg)
     J.job_silver(spark, cfg)
     J.job_gold(spark, cfg)
-    return rounded(spark.table(cfg.daily_table))
+    return spark.table(cfg.daily_table)
 
 
 def stale_quarantine(spark, d):

@@ -3,13 +3,17 @@ reconcile, and results do not depend on input partitioning or session zone."""
 
 from __future__ import annotations
 
+import math
+import random
 from datetime import datetime, timedelta
+from fractions import Fraction
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.functions.measures import rounded
+from strata.functions.measures import exact_average, exact_sum
 from strata.functions.names import lowercase_columns
 from strata.operators import marts, silver
 from strata.plans import layers as L
@@ -61,16 +65,38 @@ def test_results_do_not_depend_on_partitioning(spark):
     bronze = L.bronze(spark, SF_SMALL)
     a = marts.daily_mart(marts.enrich(marts.stage(silver.split(
         bronze, L.fixtures.PERIOD_START, L.fixtures.PERIOD_END)[0])))
-    b = marts.daily_mart(marts.enrich(marts.stage(silver.split(
-        bronze.repartition(37), L.fixtures.PERIOD_START, L.fixtures.PERIOD_END)[0])))
-    assert sorted(rounded(a).collect()) == sorted(rounded(b).collect())
+    for parts in (4, 64):
+        b = marts.daily_mart(marts.enrich(marts.stage(silver.split(
+            bronze.repartition(parts), L.fixtures.PERIOD_START, L.fixtures.PERIOD_END)[0])))
+        assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_sums_are_those_of_fractions(spark):
+    r = random.Random(1)
+    values = [r.choice((-1, 1)) * r.uniform(0.1, 1) * 10.0 ** r.randint(-9, 12) for _ in range(2000)] + [0.1] * 10 + [-0.0, 1e17, -1e17]
+    for some in (values, values[:7], [0.1, 0.2, -0.3], [-1e-9], [5.0], [2.0 ** 61, -0.5]):
+        df = spark.createDataFrame([(v,) for v in some] + [(None,)], "x double")
+        for parts in (1, 16):
+            total, mean = df.repartition(parts).agg(exact_sum("x"), exact_average("x")).first()
+            exact = float(sum(map(Fraction, some)))
+            # the double nearest the exact sum, or its neighbour where the last digit is a tie
+            assert total == exact or abs(total - exact) <= math.ulp(exact)
+            assert mean == total / len(some)
+        assert len({df.repartition(n).agg(exact_sum("x")).first()[0] for n in (1, 4, 64)}) == 1
+    assert spark.createDataFrame([(None,)], "x double").agg(exact_sum("x"), exact_average("x")).first() == (None, None)
+
+
+@pytest.mark.parametrize("value", [1e-30, 1e19, float("nan"), float("inf")])
+def test_what_cannot_be_added_exactly_raises(spark, value):
+    with pytest.raises(Exception, match="too large or too fine"):
+        spark.createDataFrame([(value,), (1.0,)], "x double").agg(exact_sum("x")).collect()
 
 
 def test_results_do_not_depend_on_session_zone(spark):
     results = []
     for zone in ("UTC", "Asia/Tokyo", "America/Sao_Paulo"):
         spark.conf.set("spark.sql.session.timeZone", zone)
-        results.append((sorted(rounded(L.daily(spark, SF_SMALL)).collect()),
+        results.append((sorted(L.daily(spark, SF_SMALL).collect()),
                         sorted(L.enriched(spark, SF_SMALL).collect(), key=repr)))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert results[0] == results[1] == results[2]
