@@ -6,15 +6,17 @@ added as whole numbers, and the total is turned into a double once. So a sum
 does not depend on the order or the number of partitions, nothing is rounded
 before it is added, and averages are one division of the sum. A value that has
 digits beyond those (smaller than about 1e-11 and not zero), is 2**62 or more,
-or is no number, raises.
+or is no number, raises, as does a total of 2**63.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 30
+BITS, DIGITS = 30, 3
 _UNIT = float(1 << BITS)
 _LARGEST = float(1 << 62)
 
@@ -33,7 +35,7 @@ def _combined(total: Column, parts: list[Column]) -> tuple[Column, Column]:
     first, second, third = parts
     second = second + F.shiftright(third, BITS)
     first = first + F.shiftright(second, BITS)
-    high = total + F.shiftright(first, BITS).cast("decimal(20,0)")
+    high = F.try_add(total, F.shiftright(first, BITS))
     mask = F.lit((1 << BITS) - 1)
     low = first.bitwiseAND(mask) * F.lit(1 << BITS) + second.bitwiseAND(mask)
     below = low.cast("double") + third.bitwiseAND(mask).cast("double") / F.lit(_UNIT)
@@ -41,28 +43,59 @@ def _combined(total: Column, parts: list[Column]) -> tuple[Column, Column]:
     return high.cast("double") + below / F.lit(_UNIT * _UNIT), (high < 0) | zero
 
 
-def exact_sum(value: Column | str) -> Column:
-    """The sum of a double column, exact and then turned into a double; NULL without values."""
-    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+def _whole(x: Column) -> Column:
     # toward zero, so that what is left is exact and has the sign of x
-    whole = F.when(F.abs(x) < _LARGEST, x.cast("bigint"))
-    rest, digits = x - whole, []
-    for _ in range(3):
-        shifted = rest * F.lit(_UNIT)
-        digits.append(shifted.cast("bigint"))
-        rest = shifted - digits[-1]
-    misfits = F.count_if(x.isNotNull() & (whole.isNull() | (rest != 0)))
-    total = F.sum(whole.cast("decimal(20,0)"))
-    parts = [F.try_sum(d) for d in digits]  # NULL beyond 2**33 rows of a group
-    up, _ = _combined(total, parts)
-    down, negative = _combined(-total, [-p for p in parts])
+    return F.when(F.abs(x) < _LARGEST, x.cast("bigint"))
+
+
+def _total(parts: list[Column], misfits: Column, values: Column) -> Column:
+    """The double of an exact sum from the sums of its parts."""
+    total, *digits = parts
+    up, _ = _combined(total, digits)
+    down, positive = _combined(-total, [-p for p in digits])
     # a negative sum is that of the opposite values, so that nothing cancels
-    done = F.when(negative, up).otherwise(-down)
+    done = F.when(positive, up).otherwise(-down)
     failed = F.raise_error(F.lit("a value or a group is too large or too fine to be added exactly")).cast("double")
-    return F.when((misfits > 0) | (total.isNotNull() & done.isNull()), failed).otherwise(done)
+    return F.when((misfits > 0) | ((values > 0) & done.isNull()), failed).otherwise(done)
+
+
+def with_parts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the whole-number parts of double columns, for ``exact_sum(..., ready=True)``.
+
+    Taken apart in steps before an aggregate of many rows, each part is worked
+    out once a row.
+    """
+    df = df.withColumns({f"_{c}_0": _whole(F.col(c)) for c in columns})
+    df = df.withColumns({f"_{c}_r": F.col(c) - F.col(f"_{c}_0") for c in columns})
+    for i in range(1, DIGITS + 1):
+        df = df.withColumns({f"_{c}_r": F.col(f"_{c}_r") * F.lit(_UNIT) for c in columns})
+        df = df.withColumns({f"_{c}_{i}": F.col(f"_{c}_r").cast("bigint") for c in columns})
+        df = df.withColumns({f"_{c}_r": F.col(f"_{c}_r") - F.col(f"_{c}_{i}") for c in columns})
+    return df
+
+
+def exact_sum(value: Column | str, ready: bool = False) -> Column:
+    """The sum of a double column, exact and then turned into a double; NULL without values.
+
+    ``ready``: the parts of the named column are there (``with_parts``).
+    """
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    if ready:
+        digits = [F.col(f"_{value}_{i}") for i in range(DIGITS + 1)]
+        rest = F.col(f"_{value}_r")
+    else:
+        digits = [_whole(x)]
+        rest = x - digits[0]
+        for _ in range(DIGITS):
+            shifted = rest * F.lit(_UNIT)
+            digits.append(shifted.cast("bigint"))
+            rest = shifted - digits[-1]
+    misfits = F.count_if(x.isNotNull() & (digits[0].isNull() | (rest != 0)))
+    # NULL where a sum leaves the long range: a total of 2**63, or 2**33 rows of a group
+    return _total([F.try_sum(d) for d in digits], misfits, F.count(x))
 
 
-def exact_average(value: Column | str) -> Column:
+def exact_average(value: Column | str, ready: bool = False) -> Column:
     """The exact sum divided once by the number of values; NULL without values."""
     x = F.col(value) if isinstance(value, str) else value
-    return F.when(F.count(x) > 0, exact_sum(x) / F.count(x).cast("double"))
+    return F.when(F.count(x) > 0, exact_sum(value, ready) / F.count(x).cast("double"))

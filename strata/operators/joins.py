@@ -3,8 +3,9 @@
 ``auto`` leaves the choice to Spark, which broadcasts a side only below its own
 byte threshold. ``broadcast`` is for a dimension with a row bound that is
 checked first and raises beyond it. ``merge`` spreads every key over ``salt``
-parts of the fact (and repeats the dimension's rows as often), so a key space
-of a few hundred equally heavy zones still fills a large cluster.
+parts of the fact by a hash of the row (and repeats the dimension's rows as
+often), so a key space of a few hundred equally heavy zones still fills a large
+cluster, and a map task that is run again sends every row where it went before.
 """
 
 from __future__ import annotations
@@ -57,7 +58,8 @@ def zone_join(
             raise ValueError(f"dimension of {rows} rows is above the broadcast bound of {max_rows}")
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], "left")
     if strategy == "merge":
-        left = fact.withColumn("_salt", F.monotonically_increasing_id() % F.lit(salt))
+        # by the row's values, so that a task that runs again deals its rows the same way
+        left = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salt)))
         right = dim.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         met = left.hint("merge").join(
             right.hint("merge"), (left[fact_key] == right[dim_key]) & (left["_salt"] == right["_part"]), "left")

@@ -62,16 +62,17 @@ def enrich(staged: DataFrame) -> DataFrame:
 def daily_mart(enriched: DataFrame) -> DataFrame:
     """One row per ``pickup_date`` with 13 measures."""
     trips = F.count(F.lit(1))
-    return enriched.groupBy("pickup_date").agg(
+    measured = M.with_parts(enriched, ("trip_distance_miles", "trip_duration_minutes", "fare_amount", "total_amount"))
+    return measured.groupBy("pickup_date").agg(
         trips.alias("trip_count"),
         F.count("passenger_count").alias("trips_with_passenger_count"),
         F.sum(F.col("passenger_count").cast("bigint")).alias("known_passenger_count"),
-        M.exact_sum("trip_distance_miles").alias("total_distance_miles"),
-        M.exact_average("trip_distance_miles").alias("average_trip_distance_miles"),
-        M.exact_average("trip_duration_minutes").alias("average_trip_duration_minutes"),
-        M.exact_sum("fare_amount").alias("total_fare_amount"),
-        M.exact_sum("total_amount").alias("total_amount"),
-        safe_ratio(M.exact_sum("total_amount"), trips.cast("double")).alias(
+        M.exact_sum("trip_distance_miles", ready=True).alias("total_distance_miles"),
+        M.exact_average("trip_distance_miles", ready=True).alias("average_trip_distance_miles"),
+        M.exact_average("trip_duration_minutes", ready=True).alias("average_trip_duration_minutes"),
+        M.exact_sum("fare_amount", ready=True).alias("total_fare_amount"),
+        M.exact_sum("total_amount", ready=True).alias("total_amount"),
+        safe_ratio(M.exact_sum("total_amount", ready=True), trips.cast("double")).alias(
             "average_amount_per_trip"
         ),
         M.count_flag("is_zero_distance").alias("zero_distance_trip_count"),
@@ -155,7 +156,7 @@ def daily_study(
     from strata.functions.predicates import duration_minutes
 
     c = F.col(pickup)
-    return (
+    days = (
         trips.select(pickup, dropoff, distance)
         .filter((c >= F.lit(period_start)) & (c < F.lit(period_end)))
         .select(
@@ -163,10 +164,9 @@ def daily_study(
             F.col(distance),
             duration_minutes(pickup, dropoff).alias("trip_duration_minutes"),
         )
-        .groupBy("pickup_date")
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            M.exact_sum(distance).alias("total_distance"),
-            M.exact_average("trip_duration_minutes").alias("avg_duration_minutes"),
-        )
+    )
+    return M.with_parts(days, (distance, "trip_duration_minutes")).groupBy("pickup_date").agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        M.exact_sum(distance, ready=True).alias("total_distance"),
+        M.exact_average("trip_duration_minutes", ready=True).alias("avg_duration_minutes"),
     )

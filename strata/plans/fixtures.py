@@ -70,18 +70,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` hash-partitioned by ``key`` into the session's shuffle partitions.
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw trip fact (FIXTURES.md section 3) over the whole tables.
 
-    The join that follows needs that partitioning, so the shuffle is one that it
-    would ask for. A hash keeps a retried task's rows the same.
+    The fact is rebalanced by the key that the join needs: where both sides are
+    shuffled it is the join's own shuffle, and AQE sets the number and the size
+    of the partitions. A hash keeps a retried task's rows the same.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw trip fact (FIXTURES.md section 3) over the whole tables."""
-    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lineitem = table(spark, sf_dir, "lineitem").hint("rebalance", "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     return spark.sql(_TRIPS_SPARK.format(lineitem="{lineitem}", orders="{orders}"),
                      lineitem=lineitem, orders=orders)

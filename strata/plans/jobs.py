@@ -11,6 +11,7 @@ import posixpath
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,11 @@ class PipelineConfig:
     def silver_table(self) -> str:
         return f"{self.silver_schema}.trips"
 
+    @property
+    def split_table(self) -> str:
+        """What silver and quarantine are views over; its switch publishes both."""
+        return f"{self.silver_schema}.trips_split"
+
     @property
     def quarantine_table(self) -> str:
         return f"{self.silver_schema}.trips_quarantine"
@@ -84,11 +90,15 @@ def _version_dir(cfg: PipelineConfig, table: str) -> str:
     return posixpath.join(cfg.versions(table), f"{cfg.run_id}-{uuid.uuid4().hex[:12]}")
 
 
-def _audited(spark: SparkSession, cfg: PipelineConfig, step: str,
-             body: Callable[[dict], None]) -> dict:
-    """Run ``body(fields)``; append a SUCCESS or FAILED record with the fields it set."""
+def _audited(spark: SparkSession, cfg: PipelineConfig, step: str, body: Callable[[dict], None],
+             began: datetime | None = None, report_success: bool = True) -> dict:
+    """Run ``body(fields)``; append a SUCCESS or FAILED record with the fields it set.
+
+    A step done in two parts reports its success with the second, which says when
+    the first ``began``.
+    """
     fields: dict = {"source_file": cfg.source_file}
-    started = A.clock()
+    started = began or A.clock()
     try:
         body(fields)
     except Exception as err:
@@ -97,7 +107,8 @@ def _audited(spark: SparkSession, cfg: PipelineConfig, step: str,
         A.append_audit(spark, rec, cfg.audit_path)
         raise
     rec = A.record(cfg.run_id, cfg.pipeline, step, A.SUCCESS, started, **fields)
-    A.append_audit(spark, rec, cfg.audit_path)
+    if report_success:
+        A.append_audit(spark, rec, cfg.audit_path)
     return rec
 
 
@@ -121,13 +132,9 @@ def resolve_tables(spark: SparkSession, cfg: PipelineConfig) -> None:
     for name in (cfg.bronze_table, cfg.daily_table, cfg.monthly_table, cfg.quality_table):
         if name in found and not spark.catalog.tableExists(name):
             publish.point_table(spark, name, found[name], spark.read.parquet(found[name]).schema)
-    if cfg.silver_table in found:
-        for name, layer, drop in ((cfg.silver_table, silver.SILVER, C.REASON_COLUMN),
-                                  (cfg.quarantine_table, silver.QUARANTINE, None)):
-            path = f"{found[cfg.silver_table]}/{silver.LAYER_COLUMN}={layer}"
-            if not spark.catalog.tableExists(name) and storage.exists(spark, path):
-                schema = spark.read.parquet(path).schema
-                publish.point_table(spark, name, path, type(schema)([f for f in schema if f.name != drop]))
+    if cfg.silver_table in found and not spark.catalog.tableExists(cfg.split_table):
+        path = found[cfg.silver_table]
+        publish_split(spark, cfg, publish.Staged(path, {"rows": None}, spark.read.parquet(path).schema, ()))
 
 
 # ---------------------------------------------------------------------------
@@ -161,6 +168,8 @@ def job_bronze(spark: SparkSession, raw: DataFrame | Callable[[], DataFrame], cf
 # ---------------------------------------------------------------------------
 
 SILVER_PARTITIONS = ("year", "month")
+# Never null in the staging model, so not in silver, which it renames.
+STAGING_KEYS = (C.PICKUP.lower(), C.DROPOFF.lower(), "_source_file")
 
 
 def stage_silver(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig) -> publish.Staged:
@@ -186,7 +195,8 @@ def stage_silver(spark: SparkSession, bronze: DataFrame, cfg: PipelineConfig) ->
         metrics=[F.count_if(kept).alias("silver"),
                  F.count_if(layer == F.lit(silver.QUARANTINE)).alias("quarantine"),
                  F.count_if(kept & (drop < pick)).alias(C.DROPOFF_BEFORE_PICKUP),
-                 F.count_if(kept & outside).alias(C.PICKUP_OUTSIDE_PERIOD)],
+                 F.count_if(kept & outside).alias(C.PICKUP_OUTSIDE_PERIOD),
+                 *[F.count_if(kept & F.col(c).isNull()).alias(f"null_{c}") for c in STAGING_KEYS]],
         rebalance=True,
     )
 
@@ -195,6 +205,7 @@ def silver_gate(staged: publish.Staged) -> list[str]:
     """The silver rules that a staged write breaks, from what was observed in it."""
     m = staged.metrics
     broken = [rule for rule in (C.DROPOFF_BEFORE_PICKUP, C.PICKUP_OUTSIDE_PERIOD) if m[rule]]
+    broken += [f"null_{c}" for c in STAGING_KEYS if m.get(f"null_{c}")]
     if m["rows"] != m["silver"] + m["quarantine"]:
         broken.insert(0, C.RECONCILIATION)
     names = [f.name for f in staged.schema.fields]
@@ -205,17 +216,27 @@ def reconcile(metrics: dict) -> tuple[int, int, int]:
     """Raise unless raw = silver + quarantine (checked before publishing)."""
     raw, s, q = metrics["rows"], metrics["silver"], metrics["quarantine"]
     if raw != s + q:
-        raise RuntimeError(f"reconciliation failed: RAW={raw}, SILVER={s}, QUARANTINE={q}")
+        raise RuntimeError(f"the split lost or doubled rows: {s} kept and {q} rejected of {raw}")
     return raw, s, q
 
 
+def publish_split(spark: SparkSession, cfg: PipelineConfig, staged: publish.Staged) -> None:
+    """Silver and quarantine of one staged version, by one switch."""
+    layer = silver.LAYER_COLUMN
+    publish.publish_parts(spark, cfg.split_table, staged, {
+        cfg.silver_table: (f"{layer} = '{silver.SILVER}'", (layer, C.REASON_COLUMN)),
+        cfg.quarantine_table: (f"{layer} = '{silver.QUARANTINE}'", (layer,)),
+    })
+
+
 def job_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None,
                expected_rows: int | None = None) -> dict:
     """Split bronze, check the staged write, then publish both tables.
 
-    Silver and quarantine are replaced as whole versions, so a run without
-    rejected rows leaves an empty quarantine table and no stale rows. Nothing is
-    published when a count or a silver rule fails.
+    Both are replaced as one whole version by one switch, so a run without
+    rejected rows leaves an empty quarantine table and no stale rows, and no
+    reader sees new silver beside old quarantine. Nothing is published when a
+    count or a silver rule fails.
     """
     ensure_layers(spark, cfg)
 
@@ -229,12 +250,7 @@ def job_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | Non
             raise GateClosed(f"silver saw {m['rows']} rows, the raw input had {expected_rows}")
         if broken := silver_gate(staged):
             raise GateClosed(f"silver validation failed: {', '.join(broken)}")
-        publish.publish(spark, cfg.silver_table, staged,
-                        subpath=f"{silver.LAYER_COLUMN}={silver.SILVER}",
-                        drop=(silver.LAYER_COLUMN, C.REASON_COLUMN), rows=m["silver"])
-        publish.publish(spark, cfg.quarantine_table, staged,
-                        subpath=f"{silver.LAYER_COLUMN}={silver.QUARANTINE}",
-                        drop=(silver.LAYER_COLUMN,), rows=m["quarantine"])
+        publish_split(spark, cfg, staged)
         f.update(table_name=cfg.silver_table, table_location=staged.path)
 
     return _audited(spark, cfg, "silver", body)
@@ -244,28 +260,81 @@ def job_silver(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | Non
 # Gold
 # ---------------------------------------------------------------------------
 
-def job_gold(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
+@dataclass(frozen=True)
+class MartContract:
+    """What must hold of a mart before it is published."""
+
+    keys: tuple[str, ...]  # one row for each
+    not_null: tuple[str, ...]
+    trips: str | None = None  # adds up to the fact's rows
+
+
+GOLD_CONTRACTS = {
+    "gold_daily": MartContract(("pickup_date",), ("pickup_date", "trip_count"), "trip_count"),
+    "gold_monthly": MartContract(("pickup_month",), ("pickup_month", "total_trips"), "total_trips"),
+    "gold_quality": MartContract(("pickup_month", "quality_issue"), ("pickup_month", "quality_issue", "issue_count")),
+}
+
+
+def stage_mart(mart: DataFrame, path: str, contract: MartContract) -> publish.Staged:
+    """Write a mart once; NULLs and trips are counted in that write."""
+    metrics = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in contract.not_null]
+    if contract.trips:
+        metrics.append(F.coalesce(F.sum(contract.trips), F.lit(0)).alias("trips"))
+    return publish.stage(mart, path, metrics=metrics)
+
+
+def gold_gate(spark: SparkSession, staged: publish.Staged, contract: MartContract, fact_rows: int) -> list[str]:
+    """The rules of its contract that a staged mart breaks."""
+    m = staged.metrics
+    broken = [f"not_null_{c}" for c in contract.not_null if m[f"null_{c}"]]
+    if contract.trips and m["trips"] != fact_rows:
+        broken.append(f"{C.RECONCILIATION} ({m['trips']} trips of {fact_rows})")
+    # the staged version is read: as many rows as there are days or months
+    written = spark.read.schema(staged.schema).parquet(staged.path)
+    if not checks.duplicate_keys(written, contract.keys).isEmpty():
+        broken.append(f"unique_{'_'.join(contract.keys)}")
+    return broken
+
+
+def job_gold(spark: SparkSession, cfg: PipelineConfig, expected_rows: int | None = None) -> list[dict]:
     """Staging -> enrichment -> daily mart (written once) -> monthly and quality.
 
-    The fact table is aggregated once; the two dependants read the small
-    published daily mart.
+    The fact table is aggregated once; the two dependants read the small staged
+    daily mart. All three are written and checked against their contracts before
+    any name is switched, so a mart with a repeated day, a NULL key or a lost trip
+    is never visible, nor are new marts beside old ones because a later one fails.
+    ``expected_rows`` is the silver job's count; without it silver's rows are
+    counted (from file footers).
     """
     ensure_layers(spark, cfg)
+    fact_rows = spark.table(cfg.silver_table).count() if expected_rows is None else expected_rows
+    ready: dict[str, publish.Staged] = {}
+
+    def daily() -> DataFrame:
+        return spark.read.schema(ready["gold_daily"].schema).parquet(ready["gold_daily"].path)
+
+    plan = {
+        "gold_daily": (cfg.daily_table,
+                       lambda: marts.daily_mart(marts.enrich(marts.stage(spark.table(cfg.silver_table))))),
+        "gold_monthly": (cfg.monthly_table, lambda: marts.monthly_mart(daily())),
+        "gold_quality": (cfg.quality_table, lambda: marts.quality_mart(daily())),
+    }
+    began = {}
+    for step, (table, mart) in plan.items():
+        def check(f: dict, step=step, table=table, mart=mart) -> None:
+            f.update(silver_count=fact_rows)
+            ready[step] = stage_mart(mart(), _version_dir(cfg, table), GOLD_CONTRACTS[step])
+            if broken := gold_gate(spark, ready[step], GOLD_CONTRACTS[step], fact_rows):
+                raise GateClosed(f"gold validation failed for {table}: {', '.join(broken)}")
+        began[step] = A.clock()
+        _audited(spark, cfg, step, check, report_success=False)
     records = []
-
-    def publish_step(step: str, table: str, df_fn: Callable[[], DataFrame]) -> None:
-        def body(f: dict) -> None:
-            staged = publish.stage(df_fn(), _version_dir(cfg, table))
-            publish.publish(spark, table, staged)
-            f.update(table_name=table, table_location=staged.path)
-        records.append(_audited(spark, cfg, step, body))
-
-    publish_step("gold_daily", cfg.daily_table,
-                 lambda: marts.daily_mart(marts.enrich(marts.stage(spark.table(cfg.silver_table)))))
-    publish_step("gold_monthly", cfg.monthly_table,
-                 lambda: marts.monthly_mart(spark.table(cfg.daily_table)))
-    publish_step("gold_quality", cfg.quality_table,
-                 lambda: marts.quality_mart(spark.table(cfg.daily_table)))
+    for step, (table, _) in plan.items():
+        def switch(f: dict, step=step, table=table) -> None:
+            publish.publish(spark, table, ready[step])
+            f.update(table_name=table, table_location=ready[step].path)
+        records.append(_audited(spark, cfg, step, switch, began=began[step]))
     return records
 
 
@@ -294,8 +363,9 @@ def run_pipeline(
     Each gate must pass before the next step runs; a failing gate raises
     ``GateClosed`` after auditing it (``cfg.raw_gate`` "report" lets the raw gate
     only report). The raw input's rows are counted, and bronze and silver must
-    have as many. Silver's rules are checked on the staged write, before
-    anything of it is published. Returns this run's audit rows.
+    have as many. Silver's rules and the marts' contracts are checked on the
+    staged writes, before anything of them is published. Returns this run's audit
+    rows.
     """
     if landing_glob:
         def landing_check(f: dict) -> DataFrame:
@@ -312,8 +382,8 @@ def run_pipeline(
     gate = _gate(spark, cfg, "raw_validation", raw_check, "raw validation failed",
                  block=cfg.raw_gate == "block")
     job_bronze(spark, opened[0], cfg, expected_rows=gate["raw_count"])
-    job_silver(spark, cfg, expected_rows=gate["raw_count"])
-    job_gold(spark, cfg)
+    split = job_silver(spark, cfg, expected_rows=gate["raw_count"])
+    job_gold(spark, cfg, expected_rows=split["silver_count"])
     return run_audit(spark, cfg)
 
 

@@ -119,10 +119,11 @@ def point_table(
     new one with its own, never none and never a mixture. A folder that is not
     there is accepted only when the write was seen to have no rows.
     """
-    if not storage.exists(spark, path):
-        if rows != 0:
-            raise FileNotFoundError(f"no version at {path} for {name}: {rows} rows were expected")
-        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+    if rows == 0:
+        # a file that holds the columns, as a write without rows may leave none
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    elif not storage.exists(spark, path):
+        raise FileNotFoundError(f"no version at {path} for {name}: {rows} rows were expected")
     columns = ", ".join(f"`{f.name}`" for f in schema.fields)
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         spark.sql(f"DROP TABLE {name}")  # a name that an earlier release made a table
@@ -143,6 +144,32 @@ def publish(spark: SparkSession, name: str, staged: Staged, subpath: str | None
     point_table(spark, name, path, T.StructType(data + parts), observed)
 
 
+def publish_parts(spark: SparkSession, base: str, staged: Staged, parts: dict[str, tuple[str, Sequence[str]]]) -> None:
+    """Publish one version under several names by one switch.
+
+    ``base`` is pointed at the version, and each name of ``parts`` is a view over
+    ``base``: the rows that meet a condition, without some columns. These views
+    name no folder and follow the columns of ``base``, so after the first publish
+    the switch of ``base`` is the only change, and all names show the same version
+    at any moment.
+    """
+    publish(spark, base, staged)
+    for name, (condition, without) in parts.items():
+        text = f"SELECT * EXCEPT ({', '.join(without)}) FROM {base} WHERE {condition}"
+        if view_text(spark, name) != text:
+            if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+                spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"CREATE OR REPLACE VIEW {name} WITH SCHEMA EVOLUTION AS {text}")
+
+
+def view_text(spark: SparkSession, name: str) -> str | None:
+    """The query of a view, None where there is no such view."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").first()
+    return found and found["data_type"]
+
+
 def publish_atomic(
     df: DataFrame,
     name: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import uuid
 from datetime import datetime
@@ -74,7 +75,7 @@ def test_stale_quarantine_is_not_visible(utc, cfg):
 
 
 def test_reconcile_raises_with_three_counts():
-    with pytest.raises(RuntimeError, match="RAW=3, SILVER=1, QUARANTINE=1"):
+    with pytest.raises(RuntimeError, match="1 kept and 1 rejected of 3"):
         J.reconcile({"rows": 3, "silver": 1, "quarantine": 1})
 
 
@@ -258,3 +259,89 @@ def test_landing_checks(utc, tmp_path):
 def test_work_root_is_under_checkpoint_dir(utc):
     root = storage.work_root(utc)
     assert root.startswith(storage.checkpoint_root(utc))
+
+
+def _marts(spark, cfg):
+    return [sorted(map(tuple, spark.table(t).collect())) for t in (cfg.daily_table, cfg.monthly_table, cfg.quality_table)]
+
+
+def _twice(df):
+    return df.unionByName(df)
+
+
+def _no_key(df):
+    return df.unionByName(df.limit(1).withColumn(df.columns[0], F.lit(None).cast(df.schema[0].dataType))
+                          .withColumn(df.columns[1], F.lit(0).cast(df.schema[1].dataType)))
+
+
+def _trip_less(df):
+    return df.withColumn(df.columns[1], F.col(df.columns[1]) - 1)
+
+
+@pytest.mark.parametrize("mart,step", [("daily_mart", "gold_daily"), ("monthly_mart", "gold_monthly"),
+                                       ("quality_mart", "gold_quality")])
+@pytest.mark.parametrize("broken,rule", [(_twice, "unique_"), (_no_key, "not_null_"), (_trip_less, "reconciliation")])
+def test_gold_gate_hides_a_broken_mart(utc, cfg, monkeypatch, mart, step, broken, rule):
+    if (mart, broken) == ("quality_mart", _trip_less):
+        pytest.skip("the quality mart holds no trips")
+    J.run_pipeline(utc, utc.createDataFrame(local_rows()[:1], RAW_SCHEMA), cfg)
+    before = _marts(utc, cfg)
+    right = getattr(J.marts, mart)
+    monkeypatch.setattr(J.marts, mart, lambda df: broken(right(df)))
+    again = dataclasses.replace(cfg, run_id="second")
+    good = [(1, datetime(2026, 1, 20, 10), datetime(2026, 1, 20, 10, 20), 1, 2.5, 1, 2, 1, 15.0, 18.0)]
+    with pytest.raises(J.GateClosed, match=f"gold validation failed.*{rule}"):
+        J.run_pipeline(utc, utc.createDataFrame(local_rows()[:1] + good, RAW_SCHEMA), again)
+    assert _marts(utc, cfg) == before  # not one of the three has changed
+    steps = {r["step"]: r["status"] for r in J.run_audit(utc, again).collect()}
+    assert steps[step] == A.FAILED and A.SUCCESS not in [v for k, v in steps.items() if k.startswith("gold")]
+
+
+def test_silver_and_quarantine_change_by_one_switch(utc, cfg, monkeypatch):
+    def seen():
+        return utc.table(cfg.silver_table).count(), utc.table(cfg.quarantine_table).count()
+
+    J.job_bronze(utc, utc.createDataFrame(local_rows(), RAW_SCHEMA), cfg)
+    J.job_silver(utc, cfg)
+    assert seen() == (1, 2)
+    opened = utc.table(cfg.quarantine_table)
+    switch, states = publish.point_table, []
+
+    def watched(spark, name, *args, **kwargs):
+        states.append((name, seen()))
+        switch(spark, name, *args, **kwargs)
+        states.append((name, seen()))
+
+    J.job_bronze(utc, utc.createDataFrame(local_rows()[:1] * 3, RAW_SCHEMA), cfg)
+    monkeypatch.setattr(publish, "point_table", watched)
+    J.job_silver(utc, cfg)
+    # old with old, then new with new, and no other switch
+    assert states == [(cfg.split_table, (1, 2)), (cfg.split_table, (3, 0))]
+    assert opened.count() == 2  # a reader of the old version finishes with it
+
+    def failing(*args, **kwargs):
+        raise OSError("the catalog is gone")
+
+    monkeypatch.setattr(publish, "point_table", failing)
+    with pytest.raises(OSError):
+        J.job_silver(utc, cfg, bronze=utc.createDataFrame(local_rows(), RAW_SCHEMA).withColumn("_source_file", F.lit("f")))
+    assert seen() == (3, 0)
+
+
+def test_silver_views_follow_the_columns_of_the_version(utc, cfg):
+    J.job_bronze(utc, utc.createDataFrame(local_rows(), RAW_SCHEMA), cfg)
+    J.job_silver(utc, cfg)
+    plain = utc.table(cfg.silver_table).columns
+    J.job_bronze(utc, utc.createDataFrame(local_rows(), RAW_SCHEMA).withColumn("tip_amount", F.lit(1.0)), cfg)
+    J.job_silver(utc, cfg)
+    assert set(utc.table(cfg.silver_table).columns) == {*plain, "tip_amount"}
+    assert "_layer" not in utc.table(cfg.quarantine_table).columns
+    J.job_bronze(utc, utc.createDataFrame([], RAW_SCHEMA), cfg)
+    J.job_silver(utc, cfg)
+    assert utc.table(cfg.silver_table).columns == plain and utc.table(cfg.silver_table).count() == 0
+
+
+def test_null_staging_keys_close_the_silver_gate():
+    seen = {"rows": 1, "silver": 1, "quarantine": 0, "dropoff_before_pickup": 0, "pickup_outside_period": 0,
+            "null__source_file": 1}
+    assert J.silver_gate(publish.Staged("p", seen, utc_schema(), ())) == ["null__source_file"]
