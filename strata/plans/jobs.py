@@ -387,5 +387,20 @@ def run_pipeline(
     return run_audit(spark, cfg)
 
 
+def expire(spark: SparkSession, cfg: PipelineConfig, keep: int = 2) -> list[str]:
+    """Delete superseded versions of this pipeline's tables; ``keep`` of each stay.
+
+    What a name shows now always stays, also after runs that failed and left newer
+    folders. Returns the deleted folders.
+    """
+    published = A.read_audit(spark, cfg.audit_path).filter(
+        (F.col("status") == A.SUCCESS) & F.col("table_location").isNotNull())
+    # one row per table: a handful
+    live = [r["path"] for r in published.groupBy("table_name").agg(
+        F.max_by("table_location", "ended_at").alias("path")).collect()]
+    tables = (cfg.bronze_table, cfg.silver_table, cfg.daily_table, cfg.monthly_table, cfg.quality_table)
+    return [v for t in tables for v in publish.expire_versions(spark, cfg.versions(t), live, keep)]
+
+
 def run_audit(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return A.read_audit(spark, cfg.audit_path).filter(F.col("run_id") == cfg.run_id)

@@ -375,10 +375,12 @@ def publish_atomic(spark, d):
 
 
 def publish_partitioned(spark, d):
-    path = storage.new_dir(spark, "layout", "silver")
+    cfg = _cfg(spark)
+    J.ensure_layers(spark, cfg)
+    name = f"{cfg.silver_schema}.trips_by_month"
     months = publish.months_between(X.PERIOD_START, X.PERIOD_END)
-    publish.publish_partitioned(L.silver_trips(spark, d), path, months=months, rebalance=True)
-    return read_partitioned(spark, path)
+    publish.publish_months(L.silver_trips(spark, d), name, cfg.root, months=months, rebalance=True)
+    return spark.table(name)
 
 
 def job_silver(spark, d):

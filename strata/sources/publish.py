@@ -11,6 +11,7 @@ object stores.
 
 from __future__ import annotations
 
+import json
 import posixpath
 import uuid
 from collections.abc import Sequence
@@ -205,6 +206,10 @@ def publish_partitioned(
 ) -> dict:
     """In-place ``year=/month=`` layout with dynamic partition overwrite.
 
+    For folders that others read by path; a reader may see some months before
+    and some after the run. Names whose readers must not are published by
+    ``publish_months``.
+
     Only partitions present in ``df`` are replaced. Partitions listed in
     ``months`` (the months this run owns) that received no rows are deleted
     explicitly, since an overwrite with zero rows leaves them in place. The
@@ -236,6 +241,79 @@ def publish_partitioned(
     return metrics
 
 
+MONTHS_PROPERTY = "strata.months"
+
+
+def live_months(spark: SparkSession, name: str) -> dict[int, str]:
+    """Which version holds each month (``year * 100 + month``) of a name that ``publish_months`` made."""
+    if not spark.catalog.tableExists(name):
+        return {}
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return {int(k): v for k, v in json.loads(held.get(MONTHS_PROPERTY, "{}")).items()}
+
+
+def publish_months(
+    df: DataFrame,
+    name: str,
+    root: str,
+    ts: str = C.PICKUP.lower(),
+    months: Sequence[tuple[int, int]] = (),
+    expected_rows: int | None = None,
+    rebalance: bool = False,
+) -> dict:
+    """Replace whole months of ``name`` by one switch.
+
+    The rows are written to a new version folder in the ``year=/month=`` layout,
+    counted and their months observed in that write. ``name`` is a view over the
+    versions that hold its months, with that list as its property: the months
+    written, and those of ``months`` (that the run owns) without rows, leave the
+    versions they were in, all others stay where they are. The replaced view is
+    the only change, so a reader has all months as before or all as after, and a
+    write that fails, or whose row count is not ``expected_rows``, changes nothing.
+    """
+    spark = df.sparkSession
+    key = F.col("year") * 100 + F.col("month")
+    staged = stage(with_year_month(df, ts), posixpath.join(root, "versions", name, uuid.uuid4().hex),
+                   ("year", "month"), [F.collect_set(key).alias("months")], rebalance)
+    rows, written = staged.metrics["rows"], sorted(staged.metrics["months"] or [])
+    if expected_rows is not None and rows != expected_rows:
+        raise RuntimeError(f"{name} stays as it is: {rows} rows were written, {expected_rows} announced")
+    before = live_months(spark, name)
+    owned = {y * 100 + m for y, m in months}
+    after = {k: v for k, v in before.items() if k not in owned} | dict.fromkeys(written, staged.path)
+    columns = [f.name for f in staged.schema.fields if f.name not in ("year", "month")] + ["year", "month"]
+    selected = []
+    for path in sorted(set(after.values())):
+        held = {f.name for f in spark.read.parquet(path).schema.fields}
+        # a version from before a column was added has none of it
+        listed = ", ".join(f"`{c}`" if c in held else f"CAST(NULL AS {staged.schema[c].dataType.simpleString()}) AS `{c}`"
+                           for c in columns)
+        mine = ", ".join(f"({k // 100}, {k % 100})" for k, v in sorted(after.items()) if v == path)
+        selected.append(f"SELECT {listed} FROM parquet.`{path}` WHERE (year, month) IN ({mine})")
+    if not selected:
+        empty = posixpath.join(staged.path, "empty")
+        spark.createDataFrame([], T.StructType([staged.schema[c] for c in columns])).write.parquet(empty)
+        selected.append(f"SELECT * FROM parquet.`{empty}`")
+    state = json.dumps({str(k): v for k, v in sorted(after.items())})
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{MONTHS_PROPERTY}' = '{state}') AS "
+              + " UNION ALL ".join(selected))
+    return {"rows": rows, "months": written, "cleared": sorted(k for k in before if k not in after), "path": staged.path}
+
+
+def expire_versions(spark: SparkSession, folder: str, live: Sequence[str], keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` newest versions in a table's folder and the ``live`` ones; returns the deleted.
+
+    A reader that was opened before the last ``keep - 1`` switches finishes, as
+    what it reads is still there. Not to be run beside a job that is writing a
+    version of the same table.
+    """
+    versions = storage.folders(spark, folder)  # newest first
+    gone = [v for v in versions[max(keep, 1):] if not any(v == p or p.startswith(v + "/") for p in map(storage.plain, live))]
+    for path in gone:
+        storage.delete(spark, path)
+    return gone
+
+
 def months_between(period_start, period_end) -> list[tuple[int, int]]:
     """The (year, month) pairs that intersect the half-open period."""
     def as_dt(v):

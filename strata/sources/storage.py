@@ -62,3 +62,17 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path``; False when it did not exist."""
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def plain(path: str) -> str:
+    """A path without the scheme of the local file system."""
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly in a folder, the last changed first; none where it is not there."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(s.getModificationTime(), plain(s.getPath().toString())) for s in fs.listStatus(p) if s.isDirectory()]
+    return [name for _, name in sorted(found, reverse=True)]

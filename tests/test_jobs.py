@@ -345,3 +345,52 @@ def test_null_staging_keys_close_the_silver_gate():
     seen = {"rows": 1, "silver": 1, "quarantine": 0, "dropoff_before_pickup": 0, "pickup_outside_period": 0,
             "null__source_file": 1}
     assert J.silver_gate(publish.Staged("p", seen, utc_schema(), ())) == ["null__source_file"]
+
+
+def test_months_are_replaced_by_one_switch(utc, cfg):
+    J.ensure_layers(utc, cfg)
+    name, months = f"{cfg.silver_schema}.by_month", [(2026, 1), (2026, 2)]
+    rows = utc.createDataFrame([(datetime(2025, 12, 5), 1), (datetime(2026, 1, 5), 2), (datetime(2026, 2, 5), 3)],
+                               "tpep_pickup_datetime timestamp_ntz, n int")
+
+    def seen():
+        return sorted(r["n"] for r in utc.table(name).collect())
+
+    publish.publish_months(rows, name, cfg.root, months=months)
+    assert seen() == [1, 2, 3]
+    opened = utc.table(name)
+    # the write fails, then the count is not the announced one: nothing changes
+    bad = rows.withColumn("n", F.when(F.col("n") == 3, F.raise_error(F.lit("torn"))).otherwise(F.col("n")))
+    with pytest.raises(Exception, match="torn"):
+        publish.publish_months(bad.withColumn("n", F.col("n").cast("int")), name, cfg.root, months=months)
+    with pytest.raises(RuntimeError, match="stays as it is"):
+        publish.publish_months(rows.filter("n = 2"), name, cfg.root, months=months, expected_rows=2)
+    assert seen() == [1, 2, 3]
+    # February became empty, December is not this run's
+    new = rows.filter("n = 2").withColumn("n", F.lit(20)).withColumn("more", F.lit("x"))
+    done = publish.publish_months(new, name, cfg.root, months=months, expected_rows=1)
+    assert (done["months"], done["cleared"]) == ([202601], [202602])
+    assert seen() == [1, 20]
+    assert {(r["n"], r["more"], r["year"], r["month"]) for r in utc.table(name).collect()} == \
+        {(1, None, 2025, 12), (20, "x", 2026, 1)}
+    assert opened.count() == 3
+    publish.publish_months(rows.limit(0), name, cfg.root, months=[(2025, 12), *months])
+    assert utc.table(name).count() == 0
+
+
+def test_expiry_keeps_a_stated_number_of_versions(utc, cfg):
+    df = utc.createDataFrame(local_rows()[:1], RAW_SCHEMA)
+    for i in range(5):
+        J.job_bronze(utc, df, dataclasses.replace(cfg, run_id=f"run{i}"))
+        if i == 3:
+            opened = utc.table(cfg.bronze_table)
+    assert len(storage.folders(utc, cfg.versions(cfg.bronze_table))) == 5
+    assert len(J.expire(utc, cfg)) == 3
+    assert len(storage.folders(utc, cfg.versions(cfg.bronze_table))) == 2
+    assert opened.count() == 1 and utc.table(cfg.bronze_table).count() == 1
+    assert J.expire(utc, cfg) == []
+    # newer folders that were never published do not push out what a name shows
+    for i in range(3):
+        publish.stage(df, f"{cfg.versions(cfg.bronze_table)}/failed{i}")
+    J.expire(utc, cfg)
+    assert utc.table(cfg.bronze_table).count() == 1

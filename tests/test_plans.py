@@ -122,3 +122,16 @@ def test_a_month_of_the_layout_reads_its_folder_only(spark):
     text = plan(QUERIES["scan_partitioned_month"](spark, SF_SMALL), "formatted")
     filters = text.split("PartitionFilters: [")[1].split("]")[0]
     assert "(year" in filters and "(month" in filters
+
+
+def test_merge_salt_follows_the_row_not_its_place(spark):
+    fact = spark.range(400).selectExpr("CAST(id % 3 + 1 AS INT) AS pickup_location_id", "id % 37 / 4.0D AS total_amount")
+    dim = joins.zone_dim(spark)
+
+    def dealt(df):
+        out = joins.zone_join(df, dim, "merge")
+        return sorted(map(tuple, out.collect()))
+
+    assert dealt(fact) == dealt(fact.repartition(7).orderBy("total_amount")) == sorted(
+        map(tuple, joins.zone_join(fact, dim, "auto").collect()))
+    assert "monotonically_increasing_id" not in plan(joins.zone_join(fact, dim, "merge"))
