@@ -26,7 +26,9 @@ never expanded into pairs:
    verified.
 
 So the result is the components of the graph of all verified links that share
-a band, and bucket sizes bound nothing. Links and labels stay in tables.
+a band, and bucket sizes bound nothing. Links and labels stay in tables; links
+found in steps 3 and 4 are followed between the components known by then, not
+through all links anew.
 
 Defined results: texts without words have an empty set and link with nothing;
 texts with fewer than ``k`` words have one shingle, the whole sequence. Rows
@@ -184,6 +186,14 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other and none that others hang on does."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.agg(F.expr("count_if(up > 1 OR (up > 0 AND down > 0))")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``rep, component`` for every linked node: the smallest id reachable.
 
@@ -193,12 +203,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                 .filter("u <> v").distinct(), "links")
-
-    def state(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    before = state(edges)
-    while before[0]:
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "links-min")
         large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -208,14 +213,24 @@ def components(links: DataFrame) -> DataFrame:
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         edges = cut(small, "links-small")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
     return edges.select(F.col("u").alias("rep"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("rep"), F.col("v").alias("component"))).distinct()
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (``rep, component``) after ``links``; only those between components are followed."""
+
+    def of(end: str) -> DataFrame:
+        return label.select(F.col("rep").alias(end), F.col("component").alias("c" + end))
+
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    moved = cut(components(between), "moved")
+    to = moved.select(F.col("rep").alias("component"), F.col("component").alias("to"))
+    after = label.join(to, "component", "left").select("rep", F.coalesce("to", "component").alias("component"))
+    return after.union(moved.join(label, "rep", "left_anti").select("rep", "component"))
+
+
 def _neighbours(members: DataFrame, seed: int) -> DataFrame:
     """Each member of a bucket with the next one in a random order, if their components differ.
 
@@ -330,14 +345,15 @@ def _judged(rows: DataFrame, k: int, percent: int) -> DataFrame:
         if left.isEmpty():
             break
         met = cut(_similar_sketches(_neighbours(left, seed), classes, percent / 100 - SKETCH_SLACK), "close")
-        links = cut(links.union(verify(met, texts, k, percent)), "verified")
-        label = cut(components(links), "labels")
-        left = undecided()
+        met = cut(verify(met, texts, k, percent), "verified")
+        if not met.isEmpty():
+            label = cut(merged(label, met), "labels")
+            left = undecided()
     open_reps = cut(left.select("rep").distinct(), "open")
     open_texts = cut(texts.join(open_reps, "rep"), "open-texts")
     pairs = cut(_open_pairs(open_texts, labelled(open_reps), k, percent), "open-pairs")
     more = cut(verify(_similar_sketches(pairs, classes, percent / 100 - SKETCH_SLACK), texts, k, percent), "verified")
-    final = cut(components(links.union(more)), "labels") if not more.isEmpty() else label
+    final = cut(merged(label, more), "labels") if not more.isEmpty() else label
     own = F.struct("doc_id", "mark")
     linked = classes.join(final, "rep").select("digest", "component", own.alias("own"))
     first = linked.groupBy("component").agg(F.min("own").alias("first"))

@@ -113,6 +113,14 @@ def test_components_of_a_long_path(spark):
     assert N.components(links.limit(0)).count() == 0
 
 
+def test_links_between_components_merge_them(spark):
+    label = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (7, 5), (8, 8), (9, 8)], "rep long, component long")
+    links = spark.createDataFrame([(7, 2), (7, 5), (20, 9), (31, 30), (2, 1)], "a long, b long")
+    got = sorted(tuple(r) for r in N.merged(label, links).collect())
+    assert got == [(1, 1), (2, 1), (5, 1), (7, 1), (8, 8), (9, 8), (20, 8), (30, 30), (31, 30)]
+    assert N.merged(label, links.limit(0)).count() == 6 and N.merged(label.limit(0), links.limit(1)).count() == 2
+
+
 def test_empty_table(spark):
     assert _got(spark, [(1, "a")]) == [(1, 1, 1, True)]
     assert N.near_duplicates(frame(spark, awkward()).limit(0)).count() == 0
