@@ -16,14 +16,17 @@ never expanded into pairs:
 2. In each bucket, every member is paired with the bucket's smallest id alone
    (a linear number of pairs); sketches drop the pairs that are far below the
    threshold, and the rest is verified on the full sets.
-3. Where a bucket's members are then still in different components, ``ROUNDS``
-   times each is paired with the next one in a random order (a linear number of
-   pairs again): a group whose members link with many others, though not with
-   its smallest id, becomes one component.
+3. Where a bucket's members are then still in different components, each is
+   paired with the next one in the order of other sketch coordinates, its
+   likeliest link there (a linear number of pairs again): a group whose members
+   link with many others, though not with its smallest id, becomes one
+   component. This is done up to ``ROUNDS`` times, as long as one in ``YIELD``
+   of the pairs tried is a link.
 4. What is still open goes to an exact join: a pair over the threshold must share
    one of its rarest elements (prefix filter), at positions that leave room for
-   the overlap. Only pairs of different components are looked at, and all are
-   verified.
+   the overlap. Only pairs of different components are looked at. Of each two
+   components the pair with the most alike sketches is verified first; one link
+   settles all their other pairs, and whatever is open after that is verified.
 
 So the result is the components of the graph of all verified links that share
 a band, and bucket sizes bound nothing. Links and labels stay in tables; links
@@ -55,7 +58,11 @@ BANDS = T // ROWS
 # Pairs whose sketches agree less than this below the threshold are dropped: six
 # standard deviations of the estimate at similarity 0.8 with 128 coordinates.
 SKETCH_SLACK = 0.21
+# Pairs that agree less than this below it are not tried before the exact join.
+LIKELY_SLACK = 0.06
 ROUNDS = 3
+ORDER = 16
+YIELD = 20
 PART = 512
 RARITY_BITS = 18
 
@@ -148,22 +155,29 @@ def bands(reps: DataFrame) -> DataFrame:
 
 
 def _similar_sketches(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """The pairs whose sketches agree in a share of at least ``least``."""
+    """The pairs whose sketches agree in a share ``same`` of at least ``least``."""
+    names = pairs.columns
 
     def agree(batches):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, T) for c in ("sa", "sb"))
-            keep = pa.array((a == b).mean(axis=1) >= least)
-            yield batch.select(["a", "b"]).filter(keep)
+            same = (a == b).mean(axis=1)
+            kept = batch.select(names).append_column("same", pa.array(same))
+            yield kept.filter(pa.array(same >= least))
 
     s = reps.select("rep", "sketch")
     joined = (pairs.join(s.withColumnsRenamed({"rep": "a", "sketch": "sa"}), "a")
               .join(s.withColumnsRenamed({"rep": "b", "sketch": "sb"}), "b"))
-    return joined.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
+    schema = ", ".join(f"{c} long" for c in names) + ", same double"
+    return joined.select(*names, "sa", "sb").mapInArrow(agree, schema)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs with ``100 * intersection >= percent * union`` on the full sets."""
+    """The pairs with ``100 * intersection >= percent * union`` on the full sets.
+
+    Columns of whole numbers beside ``a, b`` are carried along.
+    """
+    names = [c for c in pairs.columns if c != "same"]
 
     def check(batches):
         hashes, held = word_table(), {}
@@ -179,11 +193,11 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
                 set_a = held[a]
                 both = len(np.intersect1d(set_a, set_b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(set_a) + len(set_b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
     joined = (pairs.join(texts.withColumnsRenamed({"rep": "a", "text": "ta"}), "a")
               .join(texts.withColumnsRenamed({"rep": "b", "text": "tb"}), "b"))
-    return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return joined.select(*names, "ta", "tb").mapInArrow(check, ", ".join(f"{c} long" for c in names))
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -223,7 +237,7 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
     def of(end: str) -> DataFrame:
         return label.select(F.col("rep").alias(end), F.col("component").alias("c" + end))
 
-    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+    between = links.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     moved = cut(components(between), "moved")
     to = moved.select(F.col("rep").alias("component"), F.col("component").alias("to"))
@@ -231,18 +245,38 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
     return after.union(moved.join(label, "rep", "left_anti").select("rep", "component"))
 
 
-def _neighbours(members: DataFrame, seed: int) -> DataFrame:
-    """Each member of a bucket with the next one in a random order, if their components differ.
+def _still_open(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose components ``ca, cb`` are still two after a merge."""
+    for c in ("ca", "cb"):
+        # a component's id is one of its own nodes
+        to = label.select(F.col("rep").alias(c), F.col("component").alias("to"))
+        pairs = pairs.join(to, c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+    return pairs.filter("ca <> cb").select("a", "b")
+
+
+def _ordered(pairs: DataFrame, x: str, cx: str, y: str, cy: str) -> DataFrame:
+    """Distinct ``a, b, ca, cb``: two nodes, the larger first, and their components."""
+    first = F.col(x) > F.col(y)
+    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"),
+                        F.when(first, F.col(cx)).otherwise(F.col(cy)).alias("ca"),
+                        F.when(first, F.col(cy)).otherwise(F.col(cx)).alias("cb")).distinct()
 
-    A pair a member, whatever the bucket's size; a large bucket is ordered in
-    parts of about ``PART`` members.
+
+def _neighbours(members: DataFrame, reps: DataFrame, round_: int) -> DataFrame:
+    """Each member of a bucket with the next one in sketch order, if their components differ.
+
+    The order is that of ``ORDER`` coordinates, others in each round, so
+    neighbours agree in the first of them and are the likeliest links. A pair a
+    member, whatever the bucket's size; a large bucket is ordered in parts of
+    about ``PART`` members.
     """
-    part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col("n") / PART))
-    w = Window.partitionBy("key", "part").orderBy(F.xxhash64("rep", F.lit(-1 - seed)), "rep")
-    next_ = members.withColumn("part", part).select(
+    width = 4 * ORDER
+    order = F.substring("sketch", 1 + width * round_, width)
+    part = F.pmod(F.xxhash64("rep", F.lit(round_)), F.ceil(F.col("n") / PART))
+    w = Window.partitionBy("key", "part").orderBy("order", "rep")
+    next_ = members.join(reps.select("rep", order.alias("order")), "rep").withColumn("part", part).select(
         F.col("rep").alias("x"), "component", F.lead("rep").over(w).alias("y"), F.lead("component").over(w).alias("other"))
-    return (next_.filter("component <> other")
-            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    return _ordered(next_.filter("component <> other"), "x", "component", "y", "other")
 
 
 def _rarity(texts: DataFrame, k: int) -> np.ndarray:
@@ -303,7 +337,7 @@ def _open_pairs(open_texts: DataFrame, labels: DataFrame, k: int, percent: int)
     need = f"{percent} * (a.n + b.n)"
     room = f"{100 + percent} * least(a.n - a.pos, b.n - b.pos)"
     met = a.join(b, F.expr(f"a.token = b.token AND a.component < b.component AND {room} >= {need}"))
-    return met.select(F.greatest("a.rep", "b.rep").alias("a"), F.least("a.rep", "b.rep").alias("b")).distinct()
+    return _ordered(met, "a.rep", "a.component", "b.rep", "b.component")
 
 
 def _judged(rows: DataFrame, k: int, percent: int) -> DataFrame:
@@ -341,18 +375,29 @@ def _judged(rows: DataFrame, k: int, percent: int) -> DataFrame:
         return cut(seen.join(split.select("key", "n"), "key"), "undecided")
 
     left = undecided()
-    for seed in range(ROUNDS):
+    for i in range(ROUNDS):
         if left.isEmpty():
             break
-        met = cut(_similar_sketches(_neighbours(left, seed), classes, percent / 100 - SKETCH_SLACK), "close")
-        met = cut(verify(met, texts, k, percent), "verified")
-        if not met.isEmpty():
+        tried = cut(_similar_sketches(_neighbours(left, classes, i), classes, percent / 100 - LIKELY_SLACK), "likely")
+        met = cut(verify(tried, texts, k, percent), "verified")
+        found = met.count()
+        if found:
             label = cut(merged(label, met), "labels")
             left = undecided()
+        if found * YIELD <= tried.count():
+            break
     open_reps = cut(left.select("rep").distinct(), "open")
     open_texts = cut(texts.join(open_reps, "rep"), "open-texts")
     pairs = cut(_open_pairs(open_texts, labelled(open_reps), k, percent), "open-pairs")
-    more = cut(verify(_similar_sketches(pairs, classes, percent / 100 - SKETCH_SLACK), texts, k, percent), "verified")
+    pairs = cut(_similar_sketches(pairs, classes, percent / 100 - SKETCH_SLACK), "close")
+    # the likeliest pair of each two components first: one link settles all their other pairs
+    likeliest = pairs.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(
+        F.max(F.struct("same", "a", "b", "ca", "cb")).alias("m")).select("m.a", "m.b", "m.ca", "m.cb")
+    met = cut(verify(likeliest, texts, k, percent), "verified")
+    if not met.isEmpty():
+        label = cut(merged(label, met), "labels")
+        pairs = _still_open(pairs, label)
+    more = cut(verify(pairs, texts, k, percent), "verified")
     final = cut(merged(label, more), "labels") if not more.isEmpty() else label
     own = F.struct("doc_id", "mark")
     linked = classes.join(final, "rep").select("digest", "component", own.alias("own"))
