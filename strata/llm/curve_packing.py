@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ FEATURES = 4096
 DIMS = 4
 CURVE_BITS = 8  # per dimension
 SEED = 3
+TEXT_BYTES = 8 << 20  # of texts that are encoded at once
 
 
 def projection(vocabulary_size: int, seed: int = SEED) -> np.ndarray:
@@ -81,18 +83,31 @@ def hilbert_keys(cells: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
 
 def _encoded(batches, enc, end_id: int):
     table_ = projection(enc.tokenizer.get_vocab_size())
+    width = enc.dtype.itemsize
     for batch in batches:
-        blobs = [enc.encode_text(t, end_id) for t in batch["text"].to_pylist()]
-        means = np.empty((len(blobs), DIMS), np.float32)
-        for i, b in enumerate(blobs):
-            means[i] = table_[np.frombuffer(b, enc.dtype)].mean(axis=0)
-        width = enc.dtype.itemsize
-        yield pa.RecordBatch.from_pydict({
-            "row": batch["row"], "doc_id": batch["doc_id"],
-            "n": pa.array([len(b) // width for b in blobs], pa.int64()),
-            **{f"v{i}": pa.array(means[:, i], pa.float32()) for i in range(DIMS)},
-            "ids": pa.array(blobs, pa.binary()),
-            "width": pa.array([width] * len(blobs), pa.int64())})
+        for part in _slices(batch):
+            ids = enc.encode_texts(part["text"], end_id)
+            n = pc.binary_length(ids).to_numpy() // width
+            flat, at = np.frombuffer(ids.buffers()[2], enc.dtype), np.cumsum(n) - n
+            means = np.empty((len(n), DIMS), np.float32)
+            for i, (a, m) in enumerate(zip(at.tolist(), n.tolist(), strict=True)):
+                means[i] = table_.take(flat[a:a + m], axis=0).mean(axis=0)
+            yield pa.RecordBatch.from_pydict({
+                "row": part["row"], "doc_id": part["doc_id"], "n": pa.array(n, pa.int64()),
+                **{f"v{i}": pa.array(means[:, i], pa.float32()) for i in range(DIMS)},
+                "ids": ids,
+                "width": pa.array(np.full(len(n), width), pa.int64())})
+
+
+def _slices(batch: pa.RecordBatch):
+    """A batch's rows in order, about ``TEXT_BYTES`` of text at a time."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(size):
+        done = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, done + TEXT_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, end_id: int,

@@ -5,8 +5,8 @@ so a text's ids are its words' ids in order, and each distinct word of a task
 is encoded once. Words that are letters with plain trailing punctuation go to
 the library's BPE model directly; every other word (digits, apostrophes,
 special-token strings, unusual letters) goes through its whole pipeline.
-``encode_text`` is the same as the library's ``encode`` of the whole text, which
-the tests check.
+``encode_text`` is the same as the library's ``encode`` of the whole text, and
+``encode_texts`` does it for many texts at once, which the tests check.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 # Bytes of words and ids that a task keeps; beyond it the cache starts anew.
@@ -75,30 +77,35 @@ class WordEncoder(dict):
         """Ids of one pre-token in the model's byte alphabet."""
         return b"".join([self.id_bytes[t.id] for t in self.tokenizer.model.tokenize(part)])
 
-    def _encode(self, word: bytes) -> bytes:
-        core = word.rstrip(_PLAIN)
-        found = self.cores.get(core)
-        if found is None:
-            text = core.decode("utf-8", "replace").lower()
-            if text.isalpha() and "\u03c3" not in text and "\u03c2" not in text:
-                if not text.isascii():
-                    if not unicodedata.is_normalized("NFC", text):
-                        return self._whole(word)
-                    text = text.encode().decode("latin-1").translate(_BYTE_ALPHABET)
-                found = self._model_ids(text)
-                if len(core) < len(word):  # else the word itself is kept
-                    self._keep(self.cores, core, found)
-            else:
-                return self._whole(word)
-        if len(core) == len(word):
-            return found
-        tail = word[len(core):]
+    def _letters(self, core: bytes) -> bytes | None:
+        """Ids of a word of plain letters; None for any other word."""
+        text = core.decode("utf-8", "replace").lower()
+        if not text.isalpha() or "\u03c3" in text or "\u03c2" in text:
+            return None
+        if not text.isascii():
+            if not unicodedata.is_normalized("NFC", text):
+                return None
+            text = text.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+        return self._model_ids(text)
+
+    def _tail(self, tail: bytes) -> bytes:
         end = self.tails.get(tail)
         if end is None:
             end = self._model_ids(tail.decode())
             if len(tail) <= 8:
                 self._keep(self.tails, tail, end)
-        return found + end
+        return end
+
+    def _encode(self, word: bytes) -> bytes:
+        core = word.rstrip(_PLAIN)
+        found = self.cores.get(core)
+        if found is None:
+            found = self._letters(core)
+            if found is None:
+                return self._whole(word)
+            if len(core) < len(word):  # else the word itself is kept
+                self._keep(self.cores, core, found)
+        return found if len(core) == len(word) else found + self._tail(word[len(core):])
 
     def _whole(self, word: bytes) -> bytes:
         """Ids of a word by the library's whole pipeline."""
@@ -117,6 +124,45 @@ class WordEncoder(dict):
         body = b"".join(map(self.__getitem__, (text or b"").split()))
         return body if end is None else body + np.array([end], dtype=self.dtype).tobytes()
 
+    def encode_texts(self, texts: pa.Array, end: int) -> pa.Array:
+        """What ``encode_text`` gives for each binary of ``texts``.
+
+        The texts' distinct words are looked up once, and words that differ in
+        A-Z or in plain punctuation at their end share their letters' ids.
+        """
+        if not len(texts):
+            return pa.array([], pa.binary())
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, b"").view(pa.string()))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary
+        core = pc.ascii_rtrim(distinct, characters=_PLAIN.decode())
+        tail = pc.subtract(pc.binary_length(distinct), pc.binary_length(core)).to_numpy(zero_copy_only=False)
+        core = pc.ascii_lower(core).dictionary_encode()
+        letters = []
+        for c in core.dictionary.view(pa.binary()).to_pylist():
+            ids = self.cores.get(c)
+            if ids is None:
+                ids = self._letters(c)
+                if ids is not None:
+                    if self.held > CACHE_BYTES:
+                        self.forget()
+                    self._keep(self.cores, c, ids)
+            letters.append(ids)
+        found = [letters[i] for i in core.indices.to_pylist()]
+        other = np.array([ids is None for ids in found], bool)
+        at = np.flatnonzero((tail > 0) | other)
+        for i, n, word in zip(at.tolist(), tail[at].tolist(), distinct.view(pa.binary()).take(at).to_pylist(),
+                              strict=True):
+            found[i] = self._whole(word) if found[i] is None else found[i] + self._tail(word[-n:])
+        # the words of a text, then the end
+        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        order = np.insert(words.indices.to_numpy(), ends, len(found))
+        found.append(self.id_bytes[end])
+        ids = pa.array(found, pa.binary()).take(pa.array(order))
+        places = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset)
+        offsets = places[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), ids.buffers()[2]])
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 

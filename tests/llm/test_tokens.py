@@ -4,13 +4,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strata.llm import curve_packing as P
 from strata.llm import elias_fano as E
-from strata.llm.tokens import default_vocabulary, encoder
+from strata.llm.tokens import WordEncoder, default_vocabulary, encoder
 from tests.llm.util import awkward, frame
 
 
@@ -28,6 +29,36 @@ def test_words_encode_as_the_whole_text_does(text):
     assert got == enc.tokenizer.encode(body.decode(), add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text("aB.,é <|\t", max_size=20)), max_size=6))
+def test_texts_encode_together_as_one_by_one(texts):
+    enc = encoder(default_vocabulary())
+    bodies = [None if t is None else t.encode("utf-8", "replace") for t in texts]
+    got = enc.encode_texts(pa.array(bodies, pa.binary()), 2)
+    assert got.to_pylist() == [enc.encode_text(b, 2) for b in bodies]
+
+
+def test_forms_of_a_word_share_its_ids(monkeypatch):
+    enc, seen = WordEncoder(default_vocabulary()), []
+    letters = WordEncoder._letters
+    monkeypatch.setattr(WordEncoder, "_letters", lambda self, core: seen.append(core) or letters(self, core))
+    bodies = [b"Word word, WORD. \xff\xfe.", b"", None, b"word; " * 50 + b"w" * 400, b"<|endoftext|> it's. ,"]
+    got = enc.encode_texts(pa.array([b"not this one", *bodies])[1:], 2).to_pylist()
+    assert sorted(seen) == sorted([b"word", b"\xff\xfe", b"w" * 400, b"<|endoftext|>", b"it's", b""])
+    assert got == [WordEncoder(default_vocabulary()).encode_text(b, 2) for b in bodies]
+
+
+def test_batches_are_encoded_in_parts_of_a_bounded_size(monkeypatch):
+    enc = encoder(default_vocabulary())
+    monkeypatch.setattr(P, "TEXT_BYTES", 300)
+    texts = [t and t.encode() for _, t in awkward()]
+    batch = pa.RecordBatch.from_pydict({"row": list(range(len(texts))), "doc_id": list(range(len(texts))),
+                                        "text": pa.array(texts, pa.binary())})
+    got = pa.Table.from_batches(P._encoded([batch], enc, 2))
+    assert got["ids"].to_pylist() == [enc.encode_text(t, 2) for t in texts]
+    assert got["row"].to_pylist() == batch["row"].to_pylist() and got["ids"].num_chunks > 3
+
+
 @pytest.mark.parametrize("values", [[0], [0, 0, 0], [5, 5, 9, 1000], list(range(0, 3000, 7)), [0, 1 << 40], []])
 def test_elias_fano_round_trip(values):
     coded = E.EliasFano.encode(np.array(values, np.uint64))
