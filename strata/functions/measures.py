@@ -6,7 +6,8 @@ added as whole numbers, and the total is turned into a double once. So a sum
 does not depend on the order or the number of partitions, nothing is rounded
 before it is added, and averages are one division of the sum. A value that has
 digits beyond those (smaller than about 1e-11 and not zero), is 2**62 or more,
-or is no number, raises, as does a total of 2**63.
+or is no number, raises, as does a total of 2**63. With ``endless``, NaN and
+infinite values do not raise: the sum is theirs, as Spark's ``sum`` gives it.
 """
 
 from __future__ import annotations
@@ -74,10 +75,11 @@ def with_parts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def exact_sum(value: Column | str, ready: bool = False) -> Column:
+def exact_sum(value: Column | str, ready: bool = False, endless: bool = False) -> Column:
     """The sum of a double column, exact and then turned into a double; NULL without values.
 
-    ``ready``: the parts of the named column are there (``with_parts``).
+    ``ready``: the parts of the named column are there (``with_parts``);
+    ``endless``: NaN and infinite values make the sum instead of raising.
     """
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
     if ready:
@@ -90,12 +92,16 @@ def exact_sum(value: Column | str, ready: bool = False) -> Column:
             shifted = rest * F.lit(_UNIT)
             digits.append(shifted.cast("bigint"))
             rest = shifted - digits[-1]
-    misfits = F.count_if(x.isNotNull() & (digits[0].isNull() | (rest != 0)))
+    fits = x.isNotNull()
+    if endless:
+        fits = F.abs(x) < float("inf")  # NaN is above infinity
+    misfits = F.count_if(fits & (digits[0].isNull() | (rest != 0)))
     # NULL where a sum leaves the long range: a total of 2**63, or 2**33 rows of a group
-    return _total([F.try_sum(d) for d in digits], misfits, F.count(x))
+    total = _total([F.try_sum(d) for d in digits], misfits, F.count(x))
+    return F.coalesce(F.sum(F.when(~fits, x)), total) if endless else total
 
 
-def exact_average(value: Column | str, ready: bool = False) -> Column:
+def exact_average(value: Column | str, ready: bool = False, endless: bool = False) -> Column:
     """The exact sum divided once by the number of values; NULL without values."""
     x = F.col(value) if isinstance(value, str) else value
-    return F.when(F.count(x) > 0, exact_sum(value, ready) / F.count(x).cast("double"))
+    return F.when(F.count(x) > 0, exact_sum(value, ready, endless) / F.count(x).cast("double"))

@@ -34,11 +34,11 @@ def total_trips(monthly: DataFrame) -> DataFrame:
 
 
 def total_amount(monthly: DataFrame) -> DataFrame:
-    return monthly.agg(exact_sum("total_amount").alias("total_amount"))
+    return monthly.agg(exact_sum("total_amount", endless=True).alias("total_amount"))
 
 
 def total_distance(monthly: DataFrame) -> DataFrame:
-    return monthly.agg(exact_sum("total_distance_miles").alias("total_distance_miles"))
+    return monthly.agg(exact_sum("total_distance_miles", endless=True).alias("total_distance_miles"))
 
 
 def average_amount_for_month(monthly: DataFrame, month: date | str) -> DataFrame:
@@ -61,7 +61,7 @@ def daily_average_amount(daily: DataFrame) -> DataFrame:
     """``AVG`` of the per-day ratio by day (one row per day, so the value itself)."""
     day = F.to_date(F.date_trunc("DAY", F.col("pickup_date").cast("timestamp_ntz")))
     return daily.groupBy(day.alias("pickup_day")).agg(
-        exact_average("average_amount_per_trip").alias("average_amount_per_trip")
+        exact_average("average_amount_per_trip", endless=True).alias("average_amount_per_trip")
     )
 
 

@@ -67,12 +67,12 @@ def daily_mart(enriched: DataFrame) -> DataFrame:
         trips.alias("trip_count"),
         F.count("passenger_count").alias("trips_with_passenger_count"),
         F.sum(F.col("passenger_count").cast("bigint")).alias("known_passenger_count"),
-        M.exact_sum("trip_distance_miles", ready=True).alias("total_distance_miles"),
-        M.exact_average("trip_distance_miles", ready=True).alias("average_trip_distance_miles"),
-        M.exact_average("trip_duration_minutes", ready=True).alias("average_trip_duration_minutes"),
-        M.exact_sum("fare_amount", ready=True).alias("total_fare_amount"),
-        M.exact_sum("total_amount", ready=True).alias("total_amount"),
-        safe_ratio(M.exact_sum("total_amount", ready=True), trips.cast("double")).alias(
+        M.exact_sum("trip_distance_miles", ready=True, endless=True).alias("total_distance_miles"),
+        M.exact_average("trip_distance_miles", ready=True, endless=True).alias("average_trip_distance_miles"),
+        M.exact_average("trip_duration_minutes", ready=True, endless=True).alias("average_trip_duration_minutes"),
+        M.exact_sum("fare_amount", ready=True, endless=True).alias("total_fare_amount"),
+        M.exact_sum("total_amount", ready=True, endless=True).alias("total_amount"),
+        safe_ratio(M.exact_sum("total_amount", ready=True, endless=True), trips.cast("double")).alias(
             "average_amount_per_trip"
         ),
         M.count_flag("is_zero_distance").alias("zero_distance_trip_count"),
@@ -89,11 +89,11 @@ def pickup_month(date_col: str = "pickup_date"):
 def monthly_mart(daily: DataFrame) -> DataFrame:
     """Monthly KPIs rolled up from the daily mart; the ratio is recomputed."""
     trips = F.sum("trip_count")
-    amount = M.exact_sum("total_amount")
+    amount = M.exact_sum("total_amount", endless=True)
     return daily.groupBy(pickup_month()).agg(
         trips.alias("total_trips"),
         amount.alias("total_amount"),
-        M.exact_sum("total_distance_miles").alias("total_distance_miles"),
+        M.exact_sum("total_distance_miles", endless=True).alias("total_distance_miles"),
         safe_ratio(amount, trips.cast("double")).alias("average_amount_per_trip"),
     )
 
@@ -167,6 +167,6 @@ def daily_study(
     )
     return M.with_parts(days, (distance, "trip_duration_minutes")).groupBy("pickup_date").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        M.exact_sum(distance, ready=True).alias("total_distance"),
-        M.exact_average("trip_duration_minutes", ready=True).alias("avg_duration_minutes"),
+        M.exact_sum(distance, ready=True, endless=True).alias("total_distance"),
+        M.exact_average("trip_duration_minutes", ready=True, endless=True).alias("avg_duration_minutes"),
     )
