@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, table
-from strata.llm.tokens import default_vocabulary, task_encoder
+from strata.llm.tokens import TEXT_BYTES, default_vocabulary, task_encoder, text_slices
 
 LENGTH = 4096
 END_ID = 2
@@ -39,7 +39,6 @@ FEATURES = 4096
 DIMS = 4
 CURVE_BITS = 8  # per dimension
 SEED = 3
-TEXT_BYTES = 8 << 20  # of texts that are encoded at once
 
 
 def projection(vocabulary_size: int, seed: int = SEED) -> np.ndarray:
@@ -85,7 +84,7 @@ def _encoded(batches, enc, end_id: int):
     table_ = projection(enc.tokenizer.get_vocab_size())
     width = enc.dtype.itemsize
     for batch in batches:
-        for part in _slices(batch):
+        for part in text_slices(batch, TEXT_BYTES):
             ids = enc.encode_texts(part["text"], end_id)
             n = pc.binary_length(ids).to_numpy() // width
             flat, at = np.frombuffer(ids.buffers()[2], enc.dtype), np.cumsum(n) - n
@@ -99,17 +98,6 @@ def _encoded(batches, enc, end_id: int):
                 "width": pa.array(np.full(len(n), width), pa.int64())})
 
 
-def _slices(batch: pa.RecordBatch):
-    """A batch's rows in order, about ``TEXT_BYTES`` of text at a time."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(size):
-        done = size[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(size, done + TEXT_BYTES, "right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def encode_documents(docs: DataFrame, vocabulary: str, end_id: int,
                      doc: str, text: str) -> DataFrame:
     """``row, doc_id, n, v0.., ids, width`` per document; ids are packed bytes."""

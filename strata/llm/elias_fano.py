@@ -12,11 +12,12 @@ of 64, and ``select`` finds any boundary from a sample and at most a few words.
 Document ids are ascending, so they are stored the same way (nulls, which sort
 first, as a count).
 
-A shard is written as a stream: a task holds one Arrow batch of ids and sixteen
-bytes per document of its shard (its length and its id), and while the file is
-closed some tens of bytes a document for the boundaries. Files get a new name per attempt and count
-only when the manifest, written by Spark, lists them, so a retried or lost task
-leaves at most a file that nobody reads. Files lie in the shared folder.
+A shard is written as a stream: a task holds one Arrow batch of texts, the ids of
+``TEXT_BYTES`` of them and sixteen bytes per document of its shard (its length
+and its id), and while the file is closed some tens of bytes a document for the
+boundaries. Files get a new name per attempt and count only when the manifest,
+written by Spark, lists them, so a retried or lost task leaves at most a file
+that nobody reads. Files lie in the shared folder.
 
 Defined results: a null or empty text has the end id alone. Documents with
 equal ids are separate documents, next to each other in an order that stays
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, open_fs, scratch_path, table
-from strata.llm.tokens import default_vocabulary, task_encoder
+from strata.llm.tokens import TEXT_BYTES, WordEncoder, default_vocabulary, task_encoder, text_slices
 
 MAGIC = b"EFIDS\x00\x00\x01"
 SAMPLE_EVERY = 256
@@ -130,13 +131,13 @@ class ShardWriter:
         self.doc_ids = array("q")
         self.nulls = 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.out.write(ids)
-        self.lengths.append(len(ids) // self.width)
-        if doc_id is None:
-            self.nulls += 1
-        else:
-            self.doc_ids.append(doc_id)
+    def add_all(self, doc_ids: pa.Array, ids: pa.Array) -> None:
+        """Add documents in order: their ids and, as binaries, their token ids."""
+        ends = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset)
+        self.out.write(ids.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])))
+        self.lengths.frombytes((np.diff(ends) // self.width).astype(np.uint64).tobytes())
+        self.nulls += doc_ids.null_count
+        self.doc_ids.frombytes(doc_ids.drop_null().to_numpy().astype(np.int64).tobytes())
 
     def close(self) -> int:
         """Finish the file; returns the number of ids in it."""
@@ -196,6 +197,16 @@ class ShardReader:
 # Spark jobs
 # --------------------------------------------------------------------------
 
+def _written(batches, enc: WordEncoder, uri: str, end_id: int) -> ShardWriter | None:
+    """The open shard of the batches' documents, encoded ``TEXT_BYTES`` at a time; None without any."""
+    writer = None
+    for batch in batches:
+        for part in text_slices(batch, TEXT_BYTES):
+            writer = writer or ShardWriter(uri, enc.dtype.itemsize)
+            writer.add_all(part["doc_id"], enc.encode_texts(part["text"], end_id))
+    return writer
+
+
 def write_token_shards(docs: DataFrame, out_dir: str, vocabulary: str | None = None,
                        end_id: int = END_ID, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Write shard files in ascending document order; returns the manifest.
@@ -210,11 +221,7 @@ def write_token_shards(docs: DataFrame, out_dir: str, vocabulary: str | None = N
         with task_encoder(vocabulary) as enc:
             shard = TaskContext.get().partitionId()
             uri = f"{out_dir}/shard-{shard:06d}-{uuid.uuid4().hex}.efids"
-            writer = None
-            for batch in batches:
-                for doc_id, body in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                    writer = writer or ShardWriter(uri, enc.dtype.itemsize)
-                    writer.add(doc_id, enc.encode_text(body, end_id))
+            writer = _written(batches, enc, uri, end_id)
             if writer is not None:
                 n_docs, n_tokens = len(writer.lengths), writer.close()
                 yield pa.RecordBatch.from_pylist(

@@ -25,6 +25,7 @@ DEFAULT_VOCABULARY = "word_bpe_49k.json"
 CACHE_BYTES = 48 << 20
 ENTRY_BYTES = 200  # a slot, a key's and a value's headers
 LONGEST_CACHED = 256
+TEXT_BYTES = 8 << 20  # of texts that are encoded at once
 # Punctuation that the pre-tokenizer parts from the letters before it and that
 # starts no special token.
 _PLAIN = b'.,;:!?"()|#*$%&-'
@@ -164,6 +165,17 @@ class WordEncoder(dict):
         return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), ids.buffers()[2]])
 
 
+def text_slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in order, about ``most`` bytes of text at a time."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(size):
+        done = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, done + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 

@@ -59,6 +59,27 @@ def test_batches_are_encoded_in_parts_of_a_bounded_size(monkeypatch):
     assert got["row"].to_pylist() == batch["row"].to_pylist() and got["ids"].num_chunks > 3
 
 
+def test_a_shard_takes_its_texts_together(tmp_path, monkeypatch):
+    """op8 looks words up once for many texts, never text by text, and slices a bounded part of a batch."""
+    rows = sorted(awkward(), key=lambda r: (r[0] is not None, r[0] or 0))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in rows], pa.int64()),
+                                        "text": pa.array([t and t.encode() for _, t in rows], pa.binary())})
+    enc, sizes = WordEncoder(default_vocabulary()), []
+    together = WordEncoder.encode_texts
+    monkeypatch.setattr(E, "TEXT_BYTES", 300)
+    monkeypatch.setattr(WordEncoder, "encode_text", None)
+    monkeypatch.setattr(WordEncoder, "encode_texts", lambda self, t, end: sizes.append(len(t)) or together(self, t, end))
+    assert E._written([], enc, f"file://{tmp_path}/none", 1) is None
+    writer = E._written([batch.slice(0, 5), batch.slice(5)], enc, f"file://{tmp_path}/shard", 1)
+    assert len(sizes) > 3 and sum(sizes) == len(rows)
+    expected = [_ids(t, 1) for _, t in rows]
+    assert writer.close() == sum(map(len, expected))
+    shard = E.ShardReader(f"file://{tmp_path}/shard")
+    ends = shard.bounds.slice(0, len(rows) + 1).tolist()
+    assert shard.doc_ids(0, len(rows)) == [i for i, _ in rows]
+    assert [np.concatenate(list(shard.ids(a, b))).tolist() for a, b in zip(ends, ends[1:])] == expected
+
+
 @pytest.mark.parametrize("values", [[0], [0, 0, 0], [5, 5, 9, 1000], list(range(0, 3000, 7)), [0, 1 << 40], []])
 def test_elias_fano_round_trip(values):
     coded = E.EliasFano.encode(np.array(values, np.uint64))
